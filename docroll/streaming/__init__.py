@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The jobs this library re-expresses are all batch jobs over files; none reads
+a stream, keeps state across batches or handles late data. Every operator
+here is a DataFrame -> DataFrame function, so it can be applied unchanged
+inside ``foreachBatch`` of a Structured Streaming query if a caller needs
+one; no streaming-specific operator is provided.
+"""
