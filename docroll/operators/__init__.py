@@ -9,7 +9,7 @@ from docroll.operators.keyed import (
     keyed_sum,
     row_count,
 )
-from docroll.operators.nest import Child, list_total, nest
+from docroll.operators.nest import Child, group_documents, list_total, nest
 from docroll.operators.rollups import bucket_counts, customer_rollup, order_rollup, sorted_head
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "customer_rollup",
     "first_per_key",
     "global_int_mean",
+    "group_documents",
     "key_match_counts",
     "keyed_last_doubled",
     "keyed_sum",

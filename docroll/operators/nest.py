@@ -158,9 +158,7 @@ def nest(
         docs = docs.withColumns({PART: F.lit(0), PARTS: F.lit(1)})
         return docs.select(*out_cols, PART, PARTS)
 
-    # Some parent is hot: parents are repeated once per part, then every
-    # child's lists join on (key, part), so a hot key's parts land in
-    # different tasks.
+    # Some parent is hot: whole-parent totals first (one row per key).
     docs = parent
     for col in collected:
         if col.stats is not None:
@@ -168,6 +166,15 @@ def nest(
         elif col.n_hot == 0 and (col.child.count_as or col.child.aggs):
             stats_cols = ([col.child.count_as] if col.child.count_as else []) + list(col.child.aggs)
             docs = docs.join(col.lists.select(*keys, *stats_cols), keys, "left")
+    docs = _split_parts(docs, keys, collected, hot_broadcast_rows)
+    return docs.select(*out_cols, PART, PARTS)
+
+
+def _split_parts(
+    docs: DataFrame, keys: list[str], collected: list[_Collected], hot_broadcast_rows: int
+) -> DataFrame:
+    """Repeat each parent row once per part, then join every child's lists on
+    (key, part), so a hot key's parts land in different tasks."""
     hot_tables = [col.hot for col in collected if col.n_hot > 0]
     parts = hot_tables[0]
     for extra in hot_tables[1:]:
@@ -187,8 +194,35 @@ def nest(
             lists = col.lists.select(*keys, ch.into).withColumn("__part", F.lit(0))
         docs = docs.join(lists, [*keys, "__part"], "left")
         docs = _fill(docs, ch, col.lists.schema[ch.into].dataType)
-    docs = docs.withColumnsRenamed({"__part": PART, "__parts": PARTS})
-    return docs.select(*out_cols, PART, PARTS)
+    return docs.withColumnsRenamed({"__part": PART, "__parts": PARTS})
+
+
+def group_documents(
+    child: Child,
+    max_items: int | None = DEFAULT_MAX_ITEMS,
+    hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
+) -> DataFrame:
+    """One document per group of ``child.on``: the key columns, the group's
+    count and aggregates, its sorted list, ``part`` and ``parts``.
+
+    The groups are the parents, so there is no parent table to join: without
+    hot keys this is a single aggregation. A null key is one group of its own
+    (the key is carried as one struct, which joins to itself when a hot group
+    is split).
+    """
+    src_keys = _keys(child.on)
+    key = "__k0"
+    keyed = child.df.withColumn(key, F.struct(*[F.col(k) for k in src_keys]))
+    inner = Child(keyed, key, child.into, child.fields, child.count_as, child.aggs, child.fill)
+    col = _collect(inner, [key], max_items, hot_broadcast_rows)
+    stat_cols = ([child.count_as] if child.count_as else []) + list(child.aggs)
+    key_cols = [F.col(f"{key}.{k}").alias(k) for k in src_keys]
+    if col.n_hot == 0:
+        docs = col.lists.withColumns({PART: F.lit(0), PARTS: F.lit(1)})
+    else:
+        parent = col.stats if col.stats is not None else keyed.select(key).distinct()
+        docs = _split_parts(parent, [key], [col], hot_broadcast_rows)
+    return docs.select(*key_cols, *stat_cols, child.into, PART, PARTS)
 
 
 def list_total(

@@ -24,7 +24,7 @@ from docroll.functions.scalars import (
     java_date_text,
     money_sum,
 )
-from docroll.operators.nest import DEFAULT_MAX_ITEMS, Child, nest
+from docroll.operators.nest import DEFAULT_MAX_ITEMS, Child, group_documents, nest
 from docroll.operators.rollups import customer_rollup, order_rollup
 
 
@@ -236,21 +236,20 @@ def names_with_descriptions(
 
     ``order_groups`` is the right-join/count result (one row per customer
     and description). Namesakes share a document; a null name (orders
-    without a customer) is its own document. The name is wrapped in a struct
-    so the null name joins to itself.
+    without a customer) is its own document. The groups are the documents,
+    so lists and the siren come from one aggregation.
     """
-    keyed = order_groups.withColumn("__name", F.struct(F.col("c_name").alias("v")))
-    parent = keyed.groupBy("__name").agg(
-        F.min("c_nationkey").alias("customerSiren")
-    ).select(F.col("__name.v").alias("customerName"), "customerSiren", "__name")
     child = Child(
-        keyed.select("__name", F.col("o_orderpriority").alias("desc"), F.col("c_custkey").alias("customerId")),
-        on="__name",
+        order_groups.select(
+            "c_name", "c_nationkey", F.col("o_orderpriority").alias("desc"), F.col("c_custkey").alias("customerId")
+        ),
+        on="c_name",
         into="orderList",
         fields=("desc", "customerId"),
+        aggs={"customerSiren": F.min("c_nationkey")},
     )
-    docs = nest(parent, "__name", [child], max_items=max_items)
-    return docs.drop("__name")
+    docs = group_documents(child, max_items=max_items)
+    return docs.withColumnRenamed("c_name", "customerName")
 
 
 # --- flat summaries of nested documents (used by checks) -----------------
