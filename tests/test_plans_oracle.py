@@ -1,0 +1,88 @@
+"""Plan properties and the DuckDB oracle over the driver's tables."""
+
+import datetime as dt
+import decimal
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+
+SMALL = "/root/testdata/sf0.001"
+HAS_DATA = os.path.isdir(SMALL)
+pytestmark = pytest.mark.skipif(not HAS_DATA, reason="driver tables not present")
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert {"customerId", "orders", "contacts", "part", "parts"} <= set(df.columns)
+
+
+def test_no_python_and_no_cross_products(spark):
+    for name, fn in E.queries().items():
+        text = _plan(fn(spark, SMALL))
+        for marker in FORBIDDEN:
+            assert marker not in text, f"{name} plans {marker}"
+
+
+def test_order_rollup_one_exchange_per_input(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = _plan(E.queries()["order_rollup"](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" in text
+
+
+def test_scan_prunes_columns_and_pushes_filters(spark):
+    # the term filter runs in the scan's stage: no shuffle at all
+    assert "Exchange" not in _plan(E.queries()["search_any_field"](spark, SMALL))
+    text = _plan(E.queries()["order_rollup"](spark, SMALL))
+    # lineitem is read for two columns only
+    assert "struct<l_orderkey:bigint,l_extendedprice:double>" in text
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else v
+    if isinstance(v, decimal.Decimal):
+        return int(v) if v == v.to_integral_value() else float(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def _key(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    con.sql("SET TimeZone = 'UTC'")
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SMALL)
+    res = duck.sql(E.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(res.columns)
+    assert _key([tuple(r) for r in df.collect()], df.columns) == _key(res.fetchall(), res.columns)
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
