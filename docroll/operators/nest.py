@@ -79,25 +79,45 @@ def _stat_exprs(child: Child) -> list[Column]:
     return out
 
 
-def _collect(
-    child: Child, keys: list[str], max_items: int | None, hot_broadcast_rows: int
-) -> _Collected:
+def _prepared(child: Child, keys: list[str]) -> DataFrame:
     ck = _keys(child.on)
     if len(ck) != len(keys):
         raise ValueError(f"child key {ck} does not match parent key {keys}")
-    c = child.df.withColumns({k: F.col(src) for k, src in zip(keys, ck)})
+    return child.df.withColumns({k: F.col(src) for k, src in zip(keys, ck)})
+
+
+def _hot_keys(c: DataFrame, keys: list[str], max_items: int) -> DataFrame:
+    """Keys with more than ``max_items`` children and their part count
+    (a key-only partial aggregate; Catalyst prunes everything else)."""
+    counts = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > F.lit(max_items)).select(
+        *keys, F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts")
+    )
+
+
+def _count_hot(hots: list[DataFrame | None]) -> list[int]:
+    """Hot-key counts of several children in one job (a few rows reach the driver)."""
+    tagged = [h.select(F.lit(i).alias("__child")) for i, h in enumerate(hots) if h is not None]
+    if not tagged:
+        return [0] * len(hots)
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    found = {r["__child"]: r["n"] for r in union.groupBy("__child").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [found.get(i, 0) for i in range(len(hots))]
+
+
+def _collect(
+    child: Child,
+    c: DataFrame,
+    keys: list[str],
+    hot: DataFrame | None,
+    n_hot: int,
+    hot_broadcast_rows: int,
+) -> _Collected:
     items = _fields(child.fields)
     item = F.struct(*items)
     sorted_list = F.sort_array(F.collect_list(item)).alias(child.into)
-
-    n_hot = 0
-    hot = None
-    if max_items is not None:
-        counts = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot = counts.where(F.col("__n") > F.lit(max_items)).select(
-            *keys, F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts")
-        )
-        n_hot = hot.count()
     if n_hot == 0:
         lists = c.groupBy(*keys).agg(sorted_list, *_stat_exprs(child))
         return _Collected(child, lists, None, None, 0)
@@ -115,6 +135,18 @@ def _collect(
     return _Collected(child, lists, stats, hot, n_hot)
 
 
+def _collect_all(
+    children: Sequence[Child], keys: list[str], max_items: int | None, hot_broadcast_rows: int
+) -> list[_Collected]:
+    prepared = [_prepared(ch, keys) for ch in children]
+    hots = [None if max_items is None else _hot_keys(c, keys, max_items) for c in prepared]
+    n_hots = _count_hot(hots)
+    return [
+        _collect(ch, c, keys, h, n, hot_broadcast_rows)
+        for ch, c, h, n in zip(children, prepared, hots, n_hots)
+    ]
+
+
 def _fill(df: DataFrame, child: Child, list_type: T.DataType) -> DataFrame:
     fills: dict[str, Column] = {
         child.into: F.coalesce(F.col(child.into), F.array().cast(list_type))
@@ -145,7 +177,7 @@ def nest(
     keys = [f"__k{i}" for i in range(len(parent_keys))]
     out_cols = list(parent.columns)
     parent = parent.withColumns({k: F.col(src) for k, src in zip(keys, parent_keys)})
-    collected = [_collect(ch, keys, max_items, hot_broadcast_rows) for ch in children]
+    collected = _collect_all(children, keys, max_items, hot_broadcast_rows)
     for col in collected:
         ch = col.child
         out_cols += ([ch.count_as] if ch.count_as else []) + list(ch.aggs) + [ch.into]
@@ -214,7 +246,7 @@ def group_documents(
     key = "__k0"
     keyed = child.df.withColumn(key, F.struct(*[F.col(k) for k in src_keys]))
     inner = Child(keyed, key, child.into, child.fields, child.count_as, child.aggs, child.fill)
-    col = _collect(inner, [key], max_items, hot_broadcast_rows)
+    col = _collect_all([inner], [key], max_items, hot_broadcast_rows)[0]
     stat_cols = ([child.count_as] if child.count_as else []) + list(child.aggs)
     key_cols = [F.col(f"{key}.{k}").alias(k) for k in src_keys]
     if col.n_hot == 0:
