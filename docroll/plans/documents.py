@@ -263,3 +263,51 @@ def summed_over_parts(docs: DataFrame, key: str, sums: dict, keep: Sequence[str]
 
 def line_cents(x) -> F.Column:
     return cents(x["amount"])
+
+
+# --- the README job end to end ----------------------------------------------
+
+def run_rollup_job(
+    spark,
+    customers: DataFrame,
+    orders: DataFrame,
+    lines: DataFrame,
+    events: DataFrame,
+    target: str,
+    cutoff: str | _dt.date = REFERENCE_CUTOFF,
+    thresholds: Sequence[float] = REFERENCE_BUCKET_THRESHOLDS,
+    fmt: str = "json",
+    options: dict | None = None,
+    stage_dir: str | None = None,
+    max_items: int | None = DEFAULT_MAX_ITEMS,
+) -> dict[str, str]:
+    """Order rollup -> customer rollup -> flat customer documents (search
+    index) and nested customer documents (document store).
+
+    Each rollup is used twice, so each is computed once: the order rollup is
+    written as a parquet table under ``stage_dir`` (default: a fresh folder
+    below the shared ``spark.checkpoint.dir``), the customer rollup *is* the
+    flat document output, and both are read back from storage. This cuts the
+    lineage (a lost executor re-reads files instead of recomputing the line
+    aggregation) without holding anything in executor memory. Returns the
+    written paths.
+    """
+    from docroll.session import scratch_path
+    from docroll.sinks.documents import read_docs, write_docs
+
+    stage = stage_dir or scratch_path(spark, "rollup-stage")
+    orders_path = f"{stage}/orders_rolled"
+    rolled_orders(orders, lines).write.mode("overwrite").parquet(orders_path)
+    ro = spark.read.parquet(orders_path)
+
+    flat = flat_customer_documents(rolled_customers(ro, customers, cutoff, thresholds))
+    flat_path = f"{target}/customers_flat"
+    write_docs(flat, flat_path, fmt=fmt, options=options)
+    back = read_docs(spark, flat_path, flat.schema, fmt=fmt)
+    rc = back.select(
+        F.col("id").alias("c_custkey"), F.col("name").alias("c_name"), "total",
+        F.col("numberOfOrder").alias("n_orders"), "avg", "max", F.col("range").alias("bucket"),
+    )
+    nested_path = f"{target}/customers"
+    write_docs(rollup_documents(rc, ro, events, max_items=max_items), nested_path, fmt=fmt, options=options)
+    return {"orders_rolled": orders_path, "customers_flat": flat_path, "customers": nested_path}
