@@ -107,6 +107,15 @@ def _count_hot(hots: list[DataFrame | None]) -> list[int]:
     return [found.get(i, 0) for i in range(len(hots))]
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    from docroll.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "hot-keys")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _collect(
     child: Child,
     c: DataFrame,
@@ -141,6 +150,9 @@ def _collect_all(
     prepared = [_prepared(ch, keys) for ch in children]
     hots = [None if max_items is None else _hot_keys(c, keys, max_items) for c in prepared]
     n_hots = _count_hot(hots)
+    # A hot-key table is joined twice (children, parents): write it once to
+    # the shared folder, so it is computed once and stable across retries.
+    hots = [_materialize(h) if n else h for h, n in zip(hots, n_hots)]
     return [
         _collect(ch, c, keys, h, n, hot_broadcast_rows)
         for ch, c, h, n in zip(children, prepared, hots, n_hots)

@@ -124,3 +124,32 @@ def test_nest_without_split(spark):
     child = Child(_hot_child(spark), "pk", "items", ("id",))
     docs = nest(parent, "pk", [child], max_items=None).collect()
     assert len(docs) == 1 and len(docs[0].items) == 23
+
+
+def test_hot_split_without_broadcast_matches(spark):
+    parent = spark.createDataFrame([(1, "hot"), (2, "cold")], "pk int, name string")
+    child = Child(_hot_child(spark), "pk", "items", ("id", "amount"), count_as="n")
+    small = nest(parent, "pk", [child], max_items=5).collect()
+    shuffled = nest(parent, "pk", [child], max_items=5, hot_broadcast_rows=0).collect()
+    key = lambda rows: sorted((r.pk, r.part, tuple(i.id for i in r.items), r.n) for r in rows)
+    assert key(small) == key(shuffled)
+
+
+def test_report_policy_returns_orphans(spark):
+    report = check_orphans(X.events(spark), X.customers(spark), "user_id", "c_custkey", policy="report")
+    assert rows(report, "event_id") == [(103,)]
+    with pytest.raises(ValueError):
+        check_orphans(X.events(spark), X.customers(spark), "user_id", "c_custkey", policy="ignore")
+
+
+def test_run_rollup_job_writes_both_documents(spark, tmp_dir):
+    out = D.run_rollup_job(
+        spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), tmp_dir
+    )
+    flat = spark.read.json(out["customers_flat"])
+    assert sorted(r.id for r in flat.collect()) == [1, 2, 3]
+    assert set(flat.columns) == {"id", "name", "total", "max", "avg", "numberOfOrder", "range"}
+    nested = spark.read.json(out["customers"])
+    got = {r.customerId: r for r in nested.collect()}
+    assert [o.orderId for o in got[1].orders] == [10, 11] and len(got[1].contacts) == 2
+    assert spark.read.parquet(out["orders_rolled"]).count() == 6
