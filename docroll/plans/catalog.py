@@ -476,9 +476,12 @@ def search_any_field_q(spark, d):
     return search(_t(spark, d, "part"), SEARCH_TERM)
 
 
-@register("search_count", f"SELECT COUNT(*) AS n FROM part WHERE {_SEARCH_WHERE}")
+@register("search_count", f"""
+SELECT COUNT(*) AS n, 'Number of hits: ' || CAST(COUNT(*) AS VARCHAR) AS message
+FROM part WHERE {_SEARCH_WHERE}""")
 def search_count_q(spark, d):
-    return row_count(search(_t(spark, d, "part"), SEARCH_TERM))
+    counted = row_count(search(_t(spark, d, "part"), SEARCH_TERM))
+    return counted.withColumn("message", F.format_string("Number of hits: %d", F.col("n")))
 
 
 # 7. Scans ----------------------------------------------------------------------------

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -280,6 +281,7 @@ def run_rollup_job(
     options: dict | None = None,
     stage_dir: str | None = None,
     max_items: int | None = DEFAULT_MAX_ITEMS,
+    cache: bool = False,
 ) -> dict[str, str]:
     """Order rollup -> customer rollup -> flat customer documents (search
     index) and nested customer documents (document store).
@@ -289,25 +291,39 @@ def run_rollup_job(
     below the shared ``spark.checkpoint.dir``), the customer rollup *is* the
     flat document output, and both are read back from storage. This cuts the
     lineage (a lost executor re-reads files instead of recomputing the line
-    aggregation) without holding anything in executor memory. Returns the
-    written paths.
+    aggregation) without holding anything in executor memory. With
+    ``cache=True`` the two rollups are persisted (memory and disk) instead
+    and unpersisted after the writes; a lost executor then recomputes its
+    cached blocks from the lineage. Returns the written paths.
     """
     from docroll.session import scratch_path
     from docroll.sinks.documents import read_docs, write_docs
 
+    flat_path = f"{target}/customers_flat"
+    nested_path = f"{target}/customers"
+    if cache:
+        ro = rolled_orders(orders, lines).persist(StorageLevel.MEMORY_AND_DISK)
+        rc = rolled_customers(ro, customers, cutoff, thresholds).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_docs(flat_customer_documents(rc), flat_path, fmt=fmt, options=options)
+            docs = rollup_documents(rc, ro, events, max_items=max_items)
+            write_docs(docs, nested_path, fmt=fmt, options=options)
+        finally:
+            rc.unpersist()
+            ro.unpersist()
+        return {"customers_flat": flat_path, "customers": nested_path}
+
     stage = stage_dir or scratch_path(spark, "rollup-stage")
     orders_path = f"{stage}/orders_rolled"
     rolled_orders(orders, lines).write.mode("overwrite").parquet(orders_path)
     ro = spark.read.parquet(orders_path)
 
     flat = flat_customer_documents(rolled_customers(ro, customers, cutoff, thresholds))
-    flat_path = f"{target}/customers_flat"
     write_docs(flat, flat_path, fmt=fmt, options=options)
     back = read_docs(spark, flat_path, flat.schema, fmt=fmt)
     rc = back.select(
         F.col("id").alias("c_custkey"), F.col("name").alias("c_name"), "total",
         F.col("numberOfOrder").alias("n_orders"), "avg", "max", F.col("range").alias("bucket"),
     )
-    nested_path = f"{target}/customers"
     write_docs(rollup_documents(rc, ro, events, max_items=max_items), nested_path, fmt=fmt, options=options)
     return {"orders_rolled": orders_path, "customers_flat": flat_path, "customers": nested_path}

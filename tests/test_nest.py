@@ -153,3 +153,14 @@ def test_run_rollup_job_writes_both_documents(spark, tmp_dir):
     got = {r.customerId: r for r in nested.collect()}
     assert [o.orderId for o in got[1].orders] == [10, 11] and len(got[1].contacts) == 2
     assert spark.read.parquet(out["orders_rolled"]).count() == 6
+
+
+def test_run_rollup_job_cached_gives_same_documents(spark, tmp_dir):
+    args = (spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark))
+    staged = D.run_rollup_job(*args, tmp_dir + "-staged")
+    cached = D.run_rollup_job(*args, tmp_dir + "-cached", cache=True)
+    for key in ("customers_flat", "customers"):
+        a = sorted(map(str, spark.read.json(staged[key]).collect()))
+        b = sorted(map(str, spark.read.json(cached[key]).collect()))
+        assert a == b
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # nothing left cached
