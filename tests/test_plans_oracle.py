@@ -86,3 +86,35 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_skewed_customer_is_split_and_complete(spark):
+    """One customer owns a third of all orders: its list is split into
+    bounded parts; every order is in exactly one document part."""
+    from pyspark.sql import functions as F
+
+    from docroll.operators import Child, nest
+    from docroll.sources.tables import table
+
+    data = "/root/testdata/sf0.01"
+    orders = table(spark, data, "orders")
+    hot = orders.agg(F.min("o_custkey")).first()[0]
+    skewed = orders.withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot)).otherwise(F.col("o_custkey"))
+    )
+    n_orders = orders.count()
+    n_hot = skewed.where(F.col("o_custkey") == hot).count()
+    assert n_hot >= n_orders // 3
+    child = Child(skewed, "o_custkey", "orders", ("o_orderkey",), count_as="n")
+    docs = nest(table(spark, data, "customer"), "c_custkey", [child], max_items=1000)
+    per_doc = docs.select("c_custkey", "part", "parts", "n", F.size("orders").alias("k")).collect()
+    hot_docs = [r for r in per_doc if r.c_custkey == hot]
+    assert hot_docs[0].parts == -(-n_hot // 1000)
+    assert len(hot_docs) == hot_docs[0].parts
+    assert max(r.k for r in hot_docs) <= 2 * 1000
+    assert sum(r.k for r in hot_docs) == n_hot and all(r.n == n_hot for r in hot_docs)
+    assert sum(r.k for r in per_doc) == n_orders
+    ids = docs.select(F.explode("orders.o_orderkey").alias("k")).agg(
+        F.count("k").alias("n"), F.countDistinct("k").alias("d")
+    ).first()
+    assert ids.n == ids.d == n_orders
