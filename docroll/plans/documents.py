@@ -282,6 +282,7 @@ def run_rollup_job(
     stage_dir: str | None = None,
     max_items: int | None = DEFAULT_MAX_ITEMS,
     cache: bool = False,
+    keep_stage: bool = False,
 ) -> dict[str, str]:
     """Order rollup -> customer rollup -> flat customer documents (search
     index) and nested customer documents (document store).
@@ -294,9 +295,10 @@ def run_rollup_job(
     aggregation) without holding anything in executor memory. With
     ``cache=True`` the two rollups are persisted (memory and disk) instead
     and unpersisted after the writes; a lost executor then recomputes its
-    cached blocks from the lineage. Returns the written paths.
+    cached blocks from the lineage. The stage table is deleted after the
+    writes unless ``keep_stage``. Returns the written paths.
     """
-    from docroll.session import scratch_path
+    from docroll.session import remove_path, scratch_path
     from docroll.sinks.documents import read_docs, write_docs
 
     flat_path = f"{target}/customers_flat"
@@ -326,4 +328,7 @@ def run_rollup_job(
         F.col("numberOfOrder").alias("n_orders"), "avg", "max", F.col("range").alias("bucket"),
     )
     write_docs(rollup_documents(rc, ro, events, max_items=max_items), nested_path, fmt=fmt, options=options)
+    if not keep_stage:
+        remove_path(spark, stage)
+        return {"customers_flat": flat_path, "customers": nested_path}
     return {"orders_rolled": orders_path, "customers_flat": flat_path, "customers": nested_path}

@@ -81,3 +81,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/docroll-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, through Hadoop's FileSystem (works
+    for any shared store the cluster names)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)

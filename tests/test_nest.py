@@ -144,7 +144,7 @@ def test_report_policy_returns_orphans(spark):
 
 def test_run_rollup_job_writes_both_documents(spark, tmp_dir):
     out = D.run_rollup_job(
-        spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), tmp_dir
+        spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), tmp_dir, keep_stage=True
     )
     flat = spark.read.json(out["customers_flat"])
     assert sorted(r.id for r in flat.collect()) == [1, 2, 3]
@@ -164,3 +164,14 @@ def test_run_rollup_job_cached_gives_same_documents(spark, tmp_dir):
         b = sorted(map(str, spark.read.json(cached[key]).collect()))
         assert a == b
     assert not spark.sparkContext._jsc.getPersistentRDDs()  # nothing left cached
+
+
+def test_run_rollup_job_removes_its_stage(spark, tmp_dir):
+    import os
+
+    stage = tmp_dir + "-stage"
+    out = D.run_rollup_job(
+        spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), tmp_dir, stage_dir=stage
+    )
+    assert "orders_rolled" not in out and not os.path.exists(stage)
+    assert spark.read.json(out["customers"]).count() == 3
