@@ -545,14 +545,14 @@ def sink_flat_typed_q(spark, d):
 
 @register("sink_flat_constant", f"""
 SELECT c_custkey AS customerId, c_name AS customerName, c_nationkey AS customerSiren,
-       o_orderpriority AS orderDescription, 'alex' AS test
+       o_orderpriority AS orderDescription, 'constant' AS test
 FROM ({S.RIGHT_JOIN_GROUPS}) g""")
 def sink_flat_constant_q(spark, d):
     docs = flat_docs(
         S.right_join_count(spark, d),
         {"customerId": "c_custkey", "customerName": "c_name", "customerSiren": "c_nationkey",
          "orderDescription": "o_orderpriority"},
-        constants={"test": "alex"},
+        constants={"test": "constant"},
     )
     path = scratch_path(spark, "flat-const-docs")
     write_docs(docs, path, fmt="parquet")

@@ -62,7 +62,7 @@ def contact_items(events: DataFrame) -> DataFrame:
 CONTACT_FIELDS = ("id", "customerId", "type", "at", "value")
 
 
-# --- SAMPLE_Join: order documents with their lines -----------------------
+# --- order documents with their lines (two-way cogroup) ------------------
 
 def order_documents(
     orders: DataFrame, lines: DataFrame, max_items: int | None = DEFAULT_MAX_ITEMS
@@ -88,7 +88,7 @@ def order_documents(
     return nest(parent, "id", [child], max_items=max_items)
 
 
-# --- SAMPLE_Join: customer documents with orders and contacts -----------
+# --- customer documents with orders and contacts (three-way cogroup) ----
 
 def customer_documents(
     customers: DataFrame,
@@ -125,7 +125,7 @@ def customer_documents(
     return nest(parent, "id", [contact_child, order_child], max_items=max_items)
 
 
-# --- SAMPLE_NestedCustomerWithNestedOrder: three levels -----------------
+# --- three levels: customer -> orders -> lines, plus contacts ------------
 
 def three_level_documents(
     customers: DataFrame,
@@ -148,7 +148,7 @@ def three_level_documents(
     return nest(parent, "customerId", [contact_child, order_child], max_items=max_items)
 
 
-# --- SAMPLE_NestedCustomerWithReduceOrder: rollups and their documents --
+# --- rollups and their documents ----------------------------------------
 
 def rolled_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Order rollup (orders with at least one line)."""
@@ -228,7 +228,7 @@ def flat_customer_documents(customers_rolled: DataFrame) -> DataFrame:
     )
 
 
-# --- SAMPLE_SqlJoinWithMongo: customers nested from a SQL join -----------
+# --- customers nested from a SQL join -----------------------------------
 
 def names_with_descriptions(
     order_groups: DataFrame, max_items: int | None = DEFAULT_MAX_ITEMS

@@ -23,9 +23,9 @@ D = dt.datetime
 def customers(spark):
     return spark.createDataFrame(
         [
-            (1, "alex", 10, 1.0, "A"),
+            (1, "anna", 10, 1.0, "A"),
             (2, "fred", 20, 2.0, "B"),
-            (3, "alex", 30, 3.0, "C"),   # namesake of 1
+            (3, "anna", 30, 3.0, "C"),   # namesake of 1
             (4, "nobody", 40, 4.0, "D"),  # contacts, no orders
             (5, "empty", 50, 5.0, "E"),   # neither
         ],

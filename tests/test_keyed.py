@@ -23,9 +23,9 @@ def _cust(cid, name, oid, oname, lid, amount):
 def nested_customers(spark, repeat_row_two=False):
     # FIXTURES 1a (1c when row 3 repeats row 2)
     data = [
-        _cust(1, "alex", 1, "a_", 1, 91),
-        _cust(1, "alex", 2, "aa", 2, 92),
-        _cust(1, "alex", 2, "aa", 2, 92) if repeat_row_two else _cust(1, "alex", 2, "aa", 3, 93),
+        _cust(1, "anna", 1, "a_", 1, 91),
+        _cust(1, "anna", 2, "aa", 2, 92),
+        _cust(1, "anna", 2, "aa", 2, 92) if repeat_row_two else _cust(1, "anna", 2, "aa", 3, 93),
         _cust(2, "fred", 3, "f_", 4, 94),
         _cust(2, "fred", 4, "ff", 5, 95),
         _cust(2, "fred", 4, "ff", 6, 96),
@@ -39,7 +39,7 @@ def test_nested_path_projection(spark):
         F.col("customer.name").alias("name"),
         F.col("customer.order.orderLine.lineAmount").alias("amount"),
     )
-    assert rows(df) == [(1, "alex", 91), (1, "alex", 92), (1, "alex", 93), (2, "fred", 94), (2, "fred", 95), (2, "fred", 96)]
+    assert rows(df) == [(1, "anna", 91), (1, "anna", 92), (1, "anna", 93), (2, "fred", 94), (2, "fred", 95), (2, "fred", 96)]
 
 
 def _flat(spark):
@@ -74,10 +74,10 @@ def test_count_by_whole_struct(spark):
 
 
 def test_combine_mean(spark):
-    df = spark.createDataFrame([("Alex", 10), ("Alex", 5), ("Tomy", 2)], "key string, value int")
+    df = spark.createDataFrame([("Anna", 10), ("Anna", 5), ("Ben", 2)], "key string, value int")
     got = {r.key: r for r in combine_mean(df, "key", "value").collect()}
-    assert (got["Alex"].mean, got["Alex"].sum, int(got["Alex"].square), got["Alex"].above) == (7.5, 15, 225, True)
-    assert (got["Tomy"].mean, got["Tomy"].sum, int(got["Tomy"].square), got["Tomy"].above) == (2.0, 2, 4, False)
+    assert (got["Anna"].mean, got["Anna"].sum, int(got["Anna"].square), got["Anna"].above) == (7.5, 15, 225, True)
+    assert (got["Ben"].mean, got["Ben"].sum, int(got["Ben"].square), got["Ben"].above) == (2.0, 2, 4, False)
     assert dict(combine_mean(df, "key", "value").dtypes)["mean"] == "float"
 
 

@@ -16,15 +16,15 @@ def test_nested_documents_roundtrip_json(spark, tmp_dir):
 
 
 def test_flat_and_string_documents(spark, tmp_dir):
-    df = spark.createDataFrame([(1, "alex", 7, 3)], "c_custkey bigint, c_name string, c_nationkey int, n bigint")
-    flat = flat_docs(df, {"customerId": "c_custkey", "customerName": "c_name"}, constants={"test": "alex"})
-    assert rows(flat) == [(1, "alex", "alex")]
+    df = spark.createDataFrame([(1, "anna", 7, 3)], "c_custkey bigint, c_name string, c_nationkey int, n bigint")
+    flat = flat_docs(df, {"customerId": "c_custkey", "customerName": "c_name"}, constants={"test": "constant"})
+    assert rows(flat) == [(1, "anna", "constant")]
     strs = string_docs(df, {"id": "c_custkey", "nom": "c_name", "siren": "c_nationkey", "totalOrder": "n"})
     assert set(dict(strs.dtypes).values()) == {"string"}
     write_docs(strs, tmp_dir, fmt="json")
-    assert rows(read_docs(spark, tmp_dir, strs.schema)) == [("1", "alex", "7", "3")]
+    assert rows(read_docs(spark, tmp_dir, strs.schema)) == [("1", "anna", "7", "3")]
     m = string_map_docs(df, {"id": "c_custkey", "nom": "c_name"}).first().doc
-    assert m == {"id": "1", "nom": "alex"}
+    assert m == {"id": "1", "nom": "anna"}
 
 
 def test_sql_jobs_on_fixture_tables(spark, tmp_dir):
@@ -33,16 +33,16 @@ def test_sql_jobs_on_fixture_tables(spark, tmp_dir):
     got = rows(rj)
     # the order of missing customer 99 is kept with null customer fields
     assert (None, None, None, None, "d5", 1) in got
-    assert (1, "alex", 10, "A", "d1", 1) in got and len(got) == 7
+    assert (1, "anna", 10, "A", "d1", 1) in got and len(got) == 7
     assert rj.collect()[0].c_name is None  # nulls first
     # namesakes merge when grouped by name
-    assert rows(S.inner_join_sum(spark, data)) == [("alex", 1500.0), ("fred", 700.0)]
+    assert rows(S.inner_join_sum(spark, data)) == [("anna", 1500.0), ("fred", 700.0)]
 
 
 def test_names_with_descriptions_keeps_all_orders(spark, tmp_dir):
     data = X.write_tables(spark, tmp_dir)
     docs = {r.customerName: r for r in D.names_with_descriptions(S.right_join_count(spark, data)).collect()}
-    assert [x.desc for x in docs["alex"].orderList] == ["d1", "d1", "d2", "d3"]
-    assert docs["alex"].customerSiren == 10
+    assert [x.desc for x in docs["anna"].orderList] == ["d1", "d1", "d2", "d3"]
+    assert docs["anna"].customerSiren == 10
     assert [x.desc for x in docs["fred"].orderList] == ["d3", "d4"]
     assert [x.desc for x in docs[None].orderList] == ["d5"]

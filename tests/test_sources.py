@@ -29,19 +29,19 @@ def test_delimited_keeps_empty_text_and_trailing_fields(spark, tmp_dir):
 
 
 def test_delimited_bad_rows_fail(spark, tmp_dir):
-    short = _write_lines(tmp_dir + "-short", ["1;alex"])
+    short = _write_lines(tmp_dir + "-short", ["1;anna"])
     with pytest.raises(Exception):
         read_delimited(spark, short, LAYOUTS["customer_join"]).collect()
-    bad = _write_lines(tmp_dir + "-bad", ["x;alex;c;s"])
+    bad = _write_lines(tmp_dir + "-bad", ["x;anna;c;s"])
     with pytest.raises(Exception):
         read_delimited(spark, bad, LAYOUTS["customer_join"]).collect()
 
 
 def test_delimited_quarantine(spark, tmp_dir):
-    p = _write_lines(tmp_dir, ["1;alex;c;s", "x;bad;c;s", "2;short", ' 12 ;blank;c;s', '3;"lone;c;s'])
+    p = _write_lines(tmp_dir, ["1;anna;c;s", "x;bad;c;s", "2;short", ' 12 ;blank;c;s', '3;"lone;c;s'])
     good, bad = read_delimited(spark, p, LAYOUTS["customer_join"], on_bad="quarantine")
     # Spark trims blanks around numbers; a lone quote is plain text (no quoting)
-    assert rows(good) == sorted([(1, "alex", "c", "s"), (3, '"lone', "c", "s"), (12, "blank", "c", "s")], key=repr)
+    assert rows(good) == sorted([(1, "anna", "c", "s"), (3, '"lone', "c", "s"), (12, "blank", "c", "s")], key=repr)
     assert rows(bad) == [("2;short",), ("x;bad;c;s",)]
 
 
@@ -59,7 +59,7 @@ def test_delimited_roundtrip(spark, tmp_dir):
 
 
 def test_json_inferred_schema_and_view(spark, tmp_dir):
-    _write_lines(tmp_dir, ['{"id": 1, "name": "alex", "siren": "123"}', '{"id": 2, "name": "fred"}'])
+    _write_lines(tmp_dir, ['{"id": 1, "name": "anna", "siren": "123"}', '{"id": 2, "name": "fred"}'])
     df = read_json_table(spark, tmp_dir, name="customers_json")
     assert dict(df.dtypes)["id"] == "bigint"  # JSON integers infer as bigint
     assert "|-- siren: string" in schema_text(df)
@@ -68,10 +68,10 @@ def test_json_inferred_schema_and_view(spark, tmp_dir):
 
 def test_search_whole_word_any_case_any_field(spark):
     df = spark.createDataFrame(
-        [(1, "Alex Martin", None), (2, "alexis", "x"), (3, None, "met ALEX."), (4, None, None), (5, "alex-b", "")],
+        [(1, "Anna Martin", None), (2, "annabel", "x"), (3, None, "met ANNA."), (4, None, None), (5, "anna-b", "")],
         "id int, a string, b string",
     )
-    assert rows(search(df, "alex"), "id") == [(1,), (3,), (5,)]
-    flags = rows(df.select("id", any_field_matches(df, "alex").alias("m")))
+    assert rows(search(df, "anna"), "id") == [(1,), (3,), (5,)]
+    flags = rows(df.select("id", any_field_matches(df, "anna").alias("m")))
     assert flags == [(1, True), (2, False), (3, True), (4, False), (5, True)]
-    assert rows(search(df, "alex", columns=["b"]), "id") == [(3,)]
+    assert rows(search(df, "anna", columns=["b"]), "id") == [(3,)]
