@@ -288,22 +288,25 @@ def nest_from_join_q(spark, d):
     )
 
 
-@register("nest_json_text", """
+@register("nest_json_text", f"""
 SELECT o.o_orderkey AS o_orderkey, 0 AS part,
        to_json(struct_pack(id := o.o_orderkey, customerId := o.o_custkey,
                            orderDescription := o.o_orderpriority,
                            createDate := strftime(o.o_orderdate, '%a %b %d %H:%M:%S UTC %Y'),
                            lineCount := COALESCE(x.n, 0),
-                           lineIds := COALESCE(x.ids, [])))::VARCHAR AS doc
+                           orderAmount := CAST(COALESCE(x.cents, 0) AS DOUBLE) / 100,
+                           orderLines := COALESCE(x.lines, [])))::VARCHAR AS doc
 FROM orders o LEFT JOIN (
-  SELECT l_orderkey, COUNT(*) AS n, list(l_linenumber ORDER BY l_linenumber, l_partkey, l_suppkey) AS ids
+  SELECT l_orderkey, COUNT(*) AS n, SUM({_CENTS.format(x='l_extendedprice')}) AS cents,
+         list(struct_pack(id := l_linenumber, partId := l_partkey, suppId := l_suppkey,
+                          orderId := l_orderkey, quantity := l_quantity, amount := l_extendedprice,
+                          returnFlag := l_returnflag, lineStatus := l_linestatus)
+              ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines
   FROM lineitem GROUP BY l_orderkey) x ON x.l_orderkey = o.o_orderkey""")
 def nest_json_text_q(spark, d):
+    """Each order document (header, totals, nested lines) as JSON text."""
     docs = D.order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"))
-    doc = F.struct(
-        "id", "customerId", "orderDescription", "createDate", "lineCount",
-        F.transform("orderLines", lambda x: x["id"]).alias("lineIds"),
-    )
+    doc = F.struct("id", "customerId", "orderDescription", "createDate", "lineCount", "orderAmount", "orderLines")
     return docs.select(F.col("id").alias("o_orderkey"), "part", doc_json(doc).alias("doc"))
 
 
