@@ -301,7 +301,8 @@ FROM orders o LEFT JOIN (
          list(struct_pack(id := l_linenumber, partId := l_partkey, suppId := l_suppkey,
                           orderId := l_orderkey, quantity := l_quantity, amount := l_extendedprice,
                           returnFlag := l_returnflag, lineStatus := l_linestatus)
-              ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines
+              ORDER BY l_linenumber, l_partkey, l_suppkey, l_orderkey, l_quantity, l_extendedprice,
+                       l_returnflag, l_linestatus) AS lines
   FROM lineitem GROUP BY l_orderkey) x ON x.l_orderkey = o.o_orderkey""")
 def nest_json_text_q(spark, d):
     """Each order document (header, totals, nested lines) as JSON text."""
