@@ -355,7 +355,8 @@ def orphan_report_q(spark, d):
 @register("first_parent", """
 SELECT * FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey
-                           ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1""")
+                           ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""")
 def first_parent_q(spark, d):
     return first_per_key(_t(spark, d, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"])
 
