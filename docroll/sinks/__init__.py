@@ -1,11 +1,21 @@
 """Document sinks (any Spark data source)."""
 
 from docroll.sinks.documents import (
+    LEGACY_NAMES,
     flat_docs,
+    rename_fields,
     read_docs,
     string_docs,
     string_map_docs,
     write_docs,
 )
 
-__all__ = ["flat_docs", "read_docs", "string_docs", "string_map_docs", "write_docs"]
+__all__ = [
+    "LEGACY_NAMES",
+    "flat_docs",
+    "read_docs",
+    "rename_fields",
+    "string_docs",
+    "string_map_docs",
+    "write_docs",
+]

@@ -65,5 +65,31 @@ def string_map_docs(df: DataFrame, names: Mapping[str, Column | str], into: str
     return df.select(string_map(names).alias(into))
 
 
-# Output names of the reference's documents that had typos (old -> fixed).
+# Output names whose original spelling had typos (fixed name -> original).
 LEGACY_NAMES = {"orderAmount": "orderAmout", "orderLines": "orderlines", "amount": "amout"}
+
+
+def _renamed(dtype: T.DataType, names: Mapping[str, str]) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType(
+            [T.StructField(names.get(f.name, f.name), _renamed(f.dataType, names), f.nullable) for f in dtype.fields]
+        )
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_renamed(dtype.elementType, names), dtype.containsNull)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(dtype.keyType, _renamed(dtype.valueType, names), dtype.valueContainsNull)
+    return dtype
+
+
+def rename_fields(df: DataFrame, names: Mapping[str, str] = LEGACY_NAMES) -> DataFrame:
+    """Rename fields at any depth (inside structs, lists of structs, maps).
+
+    One cast per top-level column to the same shape with other field names:
+    structs cast by position, so no data is rebuilt by hand.
+    """
+    cols = []
+    for f in df.schema.fields:
+        target = _renamed(f.dataType, names)
+        c = F.col(f.name) if target == f.dataType else F.col(f.name).cast(target)
+        cols.append(c.alias(names.get(f.name, f.name)))
+    return df.select(*cols)

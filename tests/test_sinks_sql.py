@@ -46,3 +46,28 @@ def test_names_with_descriptions_keeps_all_orders(spark, tmp_dir):
     assert docs["anna"].customerSiren == 10
     assert [x.desc for x in docs["fred"].orderList] == ["d3", "d4"]
     assert [x.desc for x in docs[None].orderList] == ["d5"]
+
+
+def test_rename_fields_gives_original_spellings_at_any_depth(spark):
+    from docroll.sinks import rename_fields
+
+    docs = D.order_documents(X.orders(spark), X.lineitem(spark))
+    legacy = rename_fields(docs)
+    assert "orderAmout" in legacy.columns and "orderlines" in legacy.columns
+    line_fields = legacy.schema["orderlines"].dataType.elementType.fieldNames()
+    assert "amout" in line_fields and "amount" not in line_fields
+    a = {r.id: (r.orderAmount, [x.amount for x in r.orderLines]) for r in docs.collect()}
+    b = {r.id: (r.orderAmout, [x.amout for x in r.orderlines]) for r in legacy.collect()}
+    assert a == b
+
+
+def test_command_line_jobs(spark, tmp_dir):
+    from docroll.__main__ import main
+
+    data = X.write_tables(spark, tmp_dir + "-data")
+    out = main(["rollup-job", "--data", data, "--target", tmp_dir + "-job"])
+    assert spark.read.json(out["customers"]).count() == 3
+    res = main(["order-docs", "--data", data, "--target", tmp_dir + "-orders", "--legacy-names"])
+    assert "orderAmout" in spark.read.json(res["written"]).columns
+    assert main(["search", "--data", data, "--table", "customer", "--term", "anna"]) == {"rows": 2}
+    assert main(["query", "orphan_report", "--data", data]) == {"rows": 4}
