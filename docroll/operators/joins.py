@@ -54,16 +54,18 @@ def check_orphans(
 
 
 def first_per_key(df: DataFrame, on: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by ``order_by`` (then by the whole row).
+    """One row per key: the smallest by ``order_by``, then by the other columns.
 
-    ``min_by`` is a partial aggregate, so a duplicated key costs one buffered
-    row per task, never a sort or a list of the group.
+    A single ``min`` over one struct (order columns first, then the rest of
+    the row) is a partial aggregate: a duplicated key costs one buffered row
+    per task, never a sort or a list of the group, and ties are broken by the
+    whole row, so the pick is deterministic.
     """
     keys = _keys(on)
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
-    picked = F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("__row")
-    return df.groupBy(*keys).agg(picked).select(*keys, "__row.*").select(*df.columns)
+    order = [c for c in order_by if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    row = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("__row")
+    return df.groupBy(*keys).agg(row).select(*keys, "__row.*").select(*df.columns)
 
 
 def key_match_counts(
