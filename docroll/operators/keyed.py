@@ -35,10 +35,11 @@ def keyed_last_doubled(
     """The reference's literal reduce ``(a, b) => b doubled``, made deterministic.
 
     Folding rows r1..rn in ``order_by`` order gives r1 when n = 1, else
-    2 * rn. ``max_by`` over a struct of the order columns (the value last as a
-    final tie-breaker) picks rn with a partial aggregate, no sort of the group.
+    2 * rn. ``max`` of a struct of the order columns and the value (the value
+    last, as the final tie-breaker) picks rn with a partial aggregate and one
+    buffer per key, no sort of the group.
     """
-    last = F.max_by(F.col(value), F.struct(*[F.col(c) for c in order_by], F.col(value)))
+    last = F.max(F.struct(*[F.col(c) for c in order_by], F.col(value).alias("__v")))["__v"]
     return df.groupBy(key).agg(
         F.when(F.count(F.lit(1)) == 1, last).otherwise(last * 2).alias(name)
     )
