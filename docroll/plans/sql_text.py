@@ -29,7 +29,11 @@ GROUP BY c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, p.o_orderpriority
 
 # Ordered by name; the unique tie-breakers let the range-partitioned sort
 # split a name shared by many customers across tasks.
-RIGHT_JOIN_COUNT = RIGHT_JOIN_GROUPS + "\nORDER BY c_name NULLS FIRST, c_custkey NULLS FIRST, o_orderpriority NULLS FIRST"
+ORDER_BY_NAME = "ORDER BY c_name NULLS FIRST, c_custkey NULLS FIRST, o_orderpriority NULLS FIRST"
+RIGHT_JOIN_COUNT = RIGHT_JOIN_GROUPS + "\n" + ORDER_BY_NAME
+
+# The grouped result registered as a table of its own and queried again.
+DERIVED_VIEW = "order_documents"
 
 INNER_JOIN_SUM = """
 SELECT c.c_name AS c_name, CAST(SUM(p.cents) AS DOUBLE) / 100 AS amount
@@ -47,10 +51,15 @@ def _views(spark: SparkSession, data_dir: str) -> None:
 
 def right_join_count(spark: SparkSession, data_dir: str, ordered: bool = False) -> DataFrame:
     """Per (customer, order description): order count; orders without a
-    customer kept with null customer fields. ``ordered`` adds the ORDER BY
-    name (nulls first, unique tie-breakers), a range-partitioned global sort."""
+    customer kept with null customer fields. ``ordered`` registers the
+    result as the view ``order_documents`` and selects from it ordered by
+    name (nulls first, unique tie-breakers): a range-partitioned global sort."""
     _views(spark, data_dir)
-    return spark.sql(RIGHT_JOIN_COUNT if ordered else RIGHT_JOIN_GROUPS)
+    groups = spark.sql(RIGHT_JOIN_GROUPS)
+    if not ordered:
+        return groups
+    groups.createOrReplaceTempView(DERIVED_VIEW)
+    return spark.sql(f"SELECT * FROM {DERIVED_VIEW} {ORDER_BY_NAME}")
 
 
 def inner_join_sum(spark: SparkSession, data_dir: str) -> DataFrame:

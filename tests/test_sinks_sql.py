@@ -71,3 +71,55 @@ def test_command_line_jobs(spark, tmp_dir):
     assert "orderAmout" in spark.read.json(res["written"]).columns
     assert main(["search", "--data", data, "--table", "customer", "--term", "anna"]) == {"rows": 2}
     assert main(["query", "orphan_report", "--data", data]) == {"rows": 4}
+
+
+def test_sql_job_over_delimited_layouts(spark, tmp_dir):
+    """Delimited files in the SQL job's layouts -> views -> SUM per name ->
+    text lines and all-string documents."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from docroll.sources import LAYOUTS, read_delimited
+
+    def lines(name, rows):
+        path = f"{tmp_dir}-{name}"
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/part-0", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        return path
+
+    cust = read_delimited(spark, lines("c", ["1;anna;fast;111", "2;fred;slow;222", "3;anna;calm;333"]), LAYOUTS["customer_sql"])
+    orders = read_delimited(spark, lines("o", ["10;1;d1;5", "11;1;d2;7", "12;2;d3;11", "13;3;d4;2"]), LAYOUTS["order_sql"])
+    cust.createOrReplaceTempView("customers")
+    orders.createOrReplaceTempView("orders_sql")
+    req = spark.sql(
+        "SELECT c.name AS name, SUM(o.amount) AS amount FROM customers c "
+        "JOIN orders_sql o ON c.customerId = o.customerId GROUP BY c.name"
+    )
+    assert dict(req.dtypes)["amount"] == "bigint"
+    assert rows(req) == [("anna", 14), ("fred", 11)]
+    text = rows(req.select(F.format_string("result: [%s,%d]", "name", "amount").alias("t")))
+    assert text == [("result: [anna,14]",), ("result: [fred,11]",)]
+    assert rows(string_docs(req, {"name": "name", "amount": "amount"})) == [("anna", "14"), ("fred", "11")]
+
+
+def test_car_layout_to_string_map(spark, tmp_dir):
+    import os
+
+    from docroll.sources import LAYOUTS, read_delimited
+
+    os.makedirs(tmp_dir, exist_ok=True)
+    with open(f"{tmp_dir}/part-0", "w") as fh:
+        fh.write("1997;Ford;E350;ac, abs, moon;3000.0\n2000;Mercury;Cougar;;12.5\n")
+    cars = read_delimited(spark, tmp_dir, LAYOUTS["car"])
+    maps = [r.doc for r in string_map_docs(cars, {n: n for n in cars.columns}).collect()]
+    assert {"year": "1997", "make": "Ford", "model": "E350", "desc": "ac, abs, moon", "price": "3000.0"} in maps
+    assert {"year": "2000", "make": "Mercury", "model": "Cougar", "desc": "", "price": "12.5"} in maps
+
+
+def test_ordered_report_reads_the_registered_derived_view(spark, tmp_dir):
+    data = X.write_tables(spark, tmp_dir)
+    ordered = S.right_join_count(spark, data, ordered=True)
+    assert spark.catalog.tableExists(S.DERIVED_VIEW)
+    assert [r.c_name for r in ordered.collect()][:2] == [None, "anna"]
