@@ -78,17 +78,27 @@ def key_match_counts(
     """Matches of text keys compared as text and compared as numbers.
 
     ``'01'`` and ``'1'`` differ as text and match as ints. One row:
-    n_text, n_typed. Two inner joins on the full tables, counted by partial
-    aggregates; text that is not a number never matches as a number.
+    n_text, n_typed. Each side is first counted per key (partial
+    aggregates, so a hot key is one row per task), then the counts are joined
+    and ``n_child * n_parent`` summed: the number of matching row pairs,
+    without moving the rows. Text that is not a number never matches as a
+    number.
     """
-    p = parent.select(F.col(parent_key).cast("string").alias("__k"))
-    c = child.select(F.col(child_key).cast("string").alias("__k"))
-    by_text = c.join(p, "__k", "inner").select(F.lit("text").alias("__kind"))
-    pt = p.select(F.col("__k").try_cast(as_type).alias("__t"))
-    ct = c.select(F.col("__k").try_cast(as_type).alias("__t"))
-    by_type = ct.join(pt, "__t", "inner").select(F.lit("typed").alias("__kind"))
-    both = by_text.unionByName(by_type)
+
+    def per_key(df: DataFrame, key: str, typed: bool, side: str) -> DataFrame:
+        k = F.col(key).cast("string")
+        k = k.try_cast(as_type) if typed else k
+        return df.groupBy(k.alias("__k")).agg(F.count(F.lit(1)).alias(side))
+
+    def matches(typed: bool) -> DataFrame:
+        c = per_key(child, child_key, typed, "__nc")
+        p = per_key(parent, parent_key, typed, "__np")
+        return c.join(p, "__k", "inner").select(
+            F.lit("typed" if typed else "text").alias("__kind"), (F.col("__nc") * F.col("__np")).alias("__pairs")
+        )
+
+    both = matches(False).unionByName(matches(True))
     return both.agg(
-        F.count(F.when(F.col("__kind") == "text", 1)).alias("n_text"),
-        F.count(F.when(F.col("__kind") == "typed", 1)).alias("n_typed"),
+        F.coalesce(F.sum(F.when(F.col("__kind") == "text", F.col("__pairs"))), F.lit(0).cast("long")).alias("n_text"),
+        F.coalesce(F.sum(F.when(F.col("__kind") == "typed", F.col("__pairs"))), F.lit(0).cast("long")).alias("n_typed"),
     )

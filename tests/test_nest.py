@@ -175,3 +175,13 @@ def test_run_rollup_job_removes_its_stage(spark, tmp_dir):
     )
     assert "orders_rolled" not in out and not os.path.exists(stage)
     assert spark.read.json(out["customers"]).count() == 3
+
+
+def test_key_match_counts_text_vs_int_with_duplicates(spark):
+    from docroll.operators import key_match_counts
+
+    child = spark.createDataFrame([("1",), ("1",), ("01",), ("x",), (None,)], "k string")
+    parent = spark.createDataFrame([("1",), ("01",), ("01",)], "k string")
+    r = key_match_counts(child, parent, "k", "k").first()
+    # text: '1' 2x1 + '01' 1x2 = 4; int: 1 -> 3 child rows x 3 parent rows = 9
+    assert (r.n_text, r.n_typed) == (4, 9)
