@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ORPHAN_POLICIES = ("report", "drop", "fail")
+ORPHAN_BROADCAST_ROWS = 1_000_000
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -19,18 +20,30 @@ def orphans(
     parent: DataFrame,
     child_on: str | Sequence[str],
     parent_on: str | Sequence[str] | None = None,
+    broadcast_rows: int = ORPHAN_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Child rows whose key has no parent (``left_anti``).
+    """Child rows whose key has no parent.
 
     The reference fails on such rows (``head`` of an empty group); here they
-    are a report. Only the parent's key columns are read and shuffled; a
-    null key never matches, so it is always reported.
+    are a report. Only keys move: the child's distinct keys (a partial
+    aggregate, so a hot key is one row per task) are anti-joined with the
+    parent's keys, the orphan keys are counted, and the child rows are then
+    semi-joined with them, broadcast when the counted set is under
+    ``broadcast_rows`` (the usual case: no child row is shuffled), shuffled
+    otherwise. A null key never matches a parent, so it is reported.
     """
     ck = _keys(child_on)
     pk = _keys(parent_on) if parent_on is not None else ck
-    keys = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pk)])
-    cond = [child[c] == keys[f"__pk{i}"] for i, c in enumerate(ck)]
-    return child.join(keys, cond, "left_anti")
+    names = [f"__ok{i}" for i in range(len(ck))]
+    child_keys = child.select(*[F.col(c).alias(n) for c, n in zip(ck, names)]).distinct()
+    parent_keys = parent.select(*[F.col(p).alias(n) for p, n in zip(pk, names)]).distinct()
+    orphan_keys = child_keys.join(parent_keys, names, "left_anti")
+    n = orphan_keys.count()
+    if n == 0:
+        return child.where(F.lit(False))
+    side = F.broadcast(orphan_keys) if n <= broadcast_rows else orphan_keys
+    cond = [child[c].eqNullSafe(side[k]) for c, k in zip(ck, names)]
+    return child.join(side, cond, "left_semi")
 
 
 def check_orphans(
@@ -48,7 +61,7 @@ def check_orphans(
     report = orphans(child, parent, child_on, parent_on)
     if policy == "report":
         return report
-    if policy == "fail" and report.limit(1).count() > 0:
+    if policy == "fail" and not report.isEmpty():
         raise ValueError("child rows without a parent key")
     return None
 

@@ -185,3 +185,12 @@ def test_key_match_counts_text_vs_int_with_duplicates(spark):
     r = key_match_counts(child, parent, "k", "k").first()
     # text: '1' 2x1 + '01' 1x2 = 4; int: 1 -> 3 child rows x 3 parent rows = 9
     assert (r.n_text, r.n_typed) == (4, 9)
+
+
+def test_orphans_null_keys_and_shuffled_path(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (9, "d"), (9, "e")], "k int, v string")
+    parent = spark.createDataFrame([(1,), (2,)], "k int")
+    assert rows(orphans(child, parent, "k"), "v") == [("c",), ("d",), ("e",)]
+    assert rows(orphans(child, parent, "k", broadcast_rows=0), "v") == [("c",), ("d",), ("e",)]
+    none = orphans(child.where("k = 1"), parent, "k")
+    assert none.count() == 0 and none.columns == child.columns
