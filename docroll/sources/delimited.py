@@ -20,15 +20,23 @@ from docroll.sources.schemas import Layout
 BAD_ROW_POLICIES = ("fail", "quarantine")
 
 
+DATE_FORMAT = "yyyy-MM-dd"
+
+
 def _typed(raw: Column, dtype: T.DataType, ts_format: str, strict: bool) -> Column:
     if isinstance(dtype, T.StringType):
         return raw
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        width = len(ts_format.replace("'", ""))
-        head = F.substring(raw, 1, width)
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        fmt = DATE_FORMAT if isinstance(dtype, T.DateType) else ts_format
+        head = F.substring(raw, 1, len(fmt.replace("'", "")))
         if strict:
-            return F.to_timestamp_ntz(head, F.lit(ts_format))
-        return F.try_to_timestamp(head, F.lit(ts_format)).cast("timestamp_ntz")
+            parsed = F.to_timestamp_ntz(head, F.lit(fmt))
+        else:
+            parsed = F.try_to_timestamp(head, F.lit(fmt)).cast("timestamp_ntz")
+        if isinstance(dtype, T.TimestampNTZType):
+            return parsed
+        # a wall-clock time read in the session zone
+        return parsed.cast("date") if isinstance(dtype, T.DateType) else parsed.cast("timestamp")
     return raw.cast(dtype) if strict else raw.try_cast(dtype)
 
 
@@ -82,5 +90,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overw
         c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, DATE_FORMAT)
         parts.append(F.coalesce(c.cast("string"), F.lit("")))
     df.select(F.concat_ws(sep, *parts).alias("value")).write.mode(mode).text(path)

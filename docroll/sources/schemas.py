@@ -20,6 +20,8 @@ _TYPES = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampNTZType(),
+    "timestamp_ltz": T.TimestampType(),
+    "date": T.DateType(),
 }
 
 

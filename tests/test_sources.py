@@ -75,3 +75,23 @@ def test_search_whole_word_any_case_any_field(spark):
     flags = rows(df.select("id", any_field_matches(df, "anna").alias("m")))
     assert flags == [(1, True), (2, False), (3, True), (4, False), (5, True)]
     assert rows(search(df, "anna", columns=["b"]), "id") == [(3,)]
+
+
+def test_delimited_roundtrip_dates_and_timestamps(spark, tmp_dir):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([
+        T.StructField("k", T.LongType()),
+        T.StructField("d", T.DateType()),
+        T.StructField("ntz", T.TimestampNTZType()),
+        T.StructField("ltz", T.TimestampType()),
+    ])
+    src = spark.createDataFrame(
+        [(1, dt.date(2010, 1, 5), dt.datetime(2010, 1, 5, 3, 4, 5), dt.datetime(2011, 2, 3, 4, 5, 6))], schema
+    )
+    write_delimited(src, tmp_dir)
+    back = read_delimited(spark, tmp_dir, layout_of("t", src.schema))
+    assert back.schema == src.schema
+    assert back.collect() == src.collect()
