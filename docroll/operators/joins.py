@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docroll.operators.counting import count_each
+
 ORPHAN_POLICIES = ("report", "drop", "fail")
 ORPHAN_BROADCAST_ROWS = 1_000_000
 
@@ -15,6 +17,32 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def orphan_reports(
+    specs: Sequence[tuple[DataFrame, DataFrame, str | Sequence[str], str | Sequence[str] | None]],
+    broadcast_rows: int = ORPHAN_BROADCAST_ROWS,
+) -> list[DataFrame]:
+    """Orphan rows for several (child, parent, child key, parent key) pairs;
+    all orphan-key sets are counted in one job. See ``orphans``."""
+    prepared = []
+    for child, parent, child_on, parent_on in specs:
+        ck = _keys(child_on)
+        pk = _keys(parent_on) if parent_on is not None else ck
+        names = [f"__ok{i}" for i in range(len(ck))]
+        child_keys = child.select(*[F.col(c).alias(n) for c, n in zip(ck, names)]).distinct()
+        parent_keys = parent.select(*[F.col(p).alias(n) for p, n in zip(pk, names)]).distinct()
+        prepared.append((child, ck, names, child_keys.join(parent_keys, names, "left_anti")))
+    counts = count_each([keys for *_, keys in prepared])
+    reports = []
+    for (child, ck, names, orphan_keys), n in zip(prepared, counts):
+        if n == 0:
+            reports.append(child.where(F.lit(False)))
+            continue
+        side = F.broadcast(orphan_keys) if n <= broadcast_rows else orphan_keys
+        cond = [child[c].eqNullSafe(side[k]) for c, k in zip(ck, names)]
+        reports.append(child.join(side, cond, "left_semi"))
+    return reports
+
+
 def orphans(
     child: DataFrame,
     parent: DataFrame,
@@ -32,18 +60,7 @@ def orphans(
     ``broadcast_rows`` (the usual case: no child row is shuffled), shuffled
     otherwise. A null key never matches a parent, so it is reported.
     """
-    ck = _keys(child_on)
-    pk = _keys(parent_on) if parent_on is not None else ck
-    names = [f"__ok{i}" for i in range(len(ck))]
-    child_keys = child.select(*[F.col(c).alias(n) for c, n in zip(ck, names)]).distinct()
-    parent_keys = parent.select(*[F.col(p).alias(n) for p, n in zip(pk, names)]).distinct()
-    orphan_keys = child_keys.join(parent_keys, names, "left_anti")
-    n = orphan_keys.count()
-    if n == 0:
-        return child.where(F.lit(False))
-    side = F.broadcast(orphan_keys) if n <= broadcast_rows else orphan_keys
-    cond = [child[c].eqNullSafe(side[k]) for c, k in zip(ck, names)]
-    return child.join(side, cond, "left_semi")
+    return orphan_reports([(child, parent, child_on, parent_on)], broadcast_rows)[0]
 
 
 def check_orphans(

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docroll.operators.counting import count_each
+
 DEFAULT_MAX_ITEMS = 100_000
 HOT_BROADCAST_ROWS = 1_000_000
 
@@ -95,18 +97,6 @@ def _hot_keys(c: DataFrame, keys: list[str], max_items: int) -> DataFrame:
     )
 
 
-def _count_hot(hots: list[DataFrame | None]) -> list[int]:
-    """Hot-key counts of several children in one job (a few rows reach the driver)."""
-    tagged = [h.select(F.lit(i).alias("__child")) for i, h in enumerate(hots) if h is not None]
-    if not tagged:
-        return [0] * len(hots)
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    found = {r["__child"]: r["n"] for r in union.groupBy("__child").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [found.get(i, 0) for i in range(len(hots))]
-
-
 def _materialize(df: DataFrame) -> DataFrame:
     from docroll.session import scratch_path
 
@@ -149,7 +139,7 @@ def _collect_all(
 ) -> list[_Collected]:
     prepared = [_prepared(ch, keys) for ch in children]
     hots = [None if max_items is None else _hot_keys(c, keys, max_items) for c in prepared]
-    n_hots = _count_hot(hots)
+    n_hots = count_each(hots)
     # A hot-key table is joined twice (children, parents): write it once to
     # the shared folder, so it is computed once and stable across retries.
     hots = [_materialize(h) if n else h for h, n in zip(hots, n_hots)]

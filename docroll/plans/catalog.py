@@ -21,7 +21,7 @@ from docroll.functions.scalars import (
     java_date_text,
     parse_ts,
 )
-from docroll.operators.joins import first_per_key, key_match_counts, orphans
+from docroll.operators.joins import first_per_key, key_match_counts, orphan_reports
 from docroll.operators.keyed import (
     combine_mean,
     count_by,
@@ -339,16 +339,23 @@ SELECT 'order_without_lines', o.o_orderkey FROM orders o
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def orphan_report_q(spark, d):
     c, o, l, e = (_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events"))
-    parts = [
-        orphans(l, o, "l_orderkey", "o_orderkey").select(F.lit("line_without_order").alias("kind"), F.col("l_orderkey").alias("child_key")),
-        orphans(o, c, "o_custkey", "c_custkey").select(F.lit("order_without_customer").alias("kind"), F.col("o_orderkey").alias("child_key")),
-        orphans(e, c, "user_id", "c_custkey").select(F.lit("contact_without_customer").alias("kind"), F.col("event_id").alias("child_key")),
+    reports = orphan_reports([
+        (l, o, "l_orderkey", "o_orderkey"),
+        (o, c, "o_custkey", "c_custkey"),
+        (e, c, "user_id", "c_custkey"),
         # Parents the rollup drops: an order needs a line to be rolled up.
-        orphans(o, l, "o_orderkey", "l_orderkey").select(F.lit("order_without_lines").alias("kind"), F.col("o_orderkey").alias("child_key")),
+        (o, l, "o_orderkey", "l_orderkey"),
+    ])
+    kinds = [
+        ("line_without_order", "l_orderkey"),
+        ("order_without_customer", "o_orderkey"),
+        ("contact_without_customer", "event_id"),
+        ("order_without_lines", "o_orderkey"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for rep, (kind, key) in zip(reports, kinds):
+        part = rep.select(F.lit(kind).alias("kind"), F.col(key).alias("child_key"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
