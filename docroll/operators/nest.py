@@ -122,9 +122,12 @@ def _collect(
         return _Collected(child, lists, None, None, 0)
 
     side = F.broadcast(hot) if n_hot <= hot_broadcast_rows else hot
+    # Part by item hash, mixed with the task's partition so that identical
+    # items of a hot parent spread too; both depend only on which rows a
+    # partition holds, not their order, so a retried task assigns the same parts.
     part = (
         F.when(F.col("__parts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*items), F.col("__parts").cast("long")))
+        .otherwise(F.pmod(F.xxhash64(*items, F.spark_partition_id()), F.col("__parts").cast("long")))
         .cast("int")
     )
     tagged = c.join(side, keys, "left").withColumn("__part", part)

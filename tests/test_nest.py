@@ -194,3 +194,10 @@ def test_orphans_null_keys_and_shuffled_path(spark):
     assert rows(orphans(child, parent, "k", broadcast_rows=0), "v") == [("c",), ("d",), ("e",)]
     none = orphans(child.where("k = 1"), parent, "k")
     assert none.count() == 0 and none.columns == child.columns
+
+
+def test_identical_items_of_a_hot_parent_spread(spark):
+    parent = spark.createDataFrame([(1, "hot")], "pk int, name string")
+    same = spark.createDataFrame([(1, 7)] * 40, "pk int, id int").repartition(8)
+    docs = nest(parent, "pk", [Child(same, "pk", "items", ("id",), count_as="n")], max_items=10).collect()
+    assert sum(len(d.items) for d in docs) == 40 and len(docs) > 1
