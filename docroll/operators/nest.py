@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docroll.operators.counting import count_each
+from docroll.session import stage
 
 DEFAULT_MAX_ITEMS = 100_000
 HOT_BROADCAST_ROWS = 1_000_000
@@ -97,15 +98,6 @@ def _hot_keys(c: DataFrame, keys: list[str], max_items: int) -> DataFrame:
     )
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    from docroll.session import scratch_path
-
-    spark = df.sparkSession
-    path = scratch_path(spark, "hot-keys")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _collect(
     child: Child,
     c: DataFrame,
@@ -145,7 +137,7 @@ def _collect_all(
     n_hots = count_each(hots)
     # A hot-key table is joined twice (children, parents): write it once to
     # the shared folder, so it is computed once and stable across retries.
-    hots = [_materialize(h) if n else h for h, n in zip(hots, n_hots)]
+    hots = [stage(h, "hot-keys") if n else h for h, n in zip(hots, n_hots)]
     return [
         _collect(ch, c, keys, h, n, hot_broadcast_rows)
         for ch, c, h, n in zip(children, prepared, hots, n_hots)

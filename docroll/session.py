@@ -90,3 +90,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(hpath, True)
+
+
+def stage(df, name: str):
+    """Write a (small) intermediate result once to the shared folder and read
+    it back: computed once, and stable when a later task is retried."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
