@@ -32,7 +32,8 @@ from docroll.operators.rollups import customer_rollup, order_rollup
 # --- entity projections --------------------------------------------------
 
 def line_items(lines: DataFrame) -> DataFrame:
-    """Order lines with document field names; (orderId, id, partId, suppId) is unique."""
+    """Order lines with document field names. (orderId, id, partId, suppId) is
+    not always unique in the data, so lists are ordered by the whole item."""
     return lines.select(
         F.col("l_orderkey").alias("orderId"),
         F.col("l_linenumber").alias("id"),
@@ -262,10 +263,6 @@ def summed_over_parts(docs: DataFrame, key: str, sums: dict, keep: Sequence[str]
     return docs.groupBy(key).agg(*aggs)
 
 
-def line_cents(x) -> F.Column:
-    return cents(x["amount"])
-
-
 # --- the README job end to end ----------------------------------------------
 
 def run_rollup_job(
