@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from docroll.functions.scalars import (
     REFERENCE_BUCKET_THRESHOLDS,
     REFERENCE_CUTOFF,
-    cents,
     java_date_text,
     money_sum,
 )
