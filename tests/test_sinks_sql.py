@@ -123,3 +123,39 @@ def test_ordered_report_reads_the_registered_derived_view(spark, tmp_dir):
     ordered = S.right_join_count(spark, data, ordered=True)
     assert spark.catalog.tableExists(S.DERIVED_VIEW)
     assert [r.c_name for r in ordered.collect()][:2] == [None, "anna"]
+
+
+def test_json_sql_right_join_and_nesting(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from docroll.operators import Child, group_documents
+    from docroll.sources import read_json_table
+
+    def lines(name, rows):
+        path = f"{tmp_dir}-{name}"
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/part-0.json", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        return path
+
+    read_json_table(spark, lines("c", [
+        '{"id": 1, "name": "anna", "siren": "111", "catchPhrase": "fast"}',
+        '{"id": 2, "name": "ben", "siren": "222", "catchPhrase": "slow"}',
+    ]), name="customers_j")
+    read_json_table(spark, lines("o", [
+        '{"customerId": 1, "description": "d1"}', '{"customerId": 1, "description": "d2"}',
+        '{"customerId": 2, "description": "d3"}', '{"customerId": 2, "description": "d4"}',
+        '{"customerId": 9, "description": "d5"}',
+    ]), name="orders_j")
+    grouped = spark.sql(
+        "SELECT c.id, c.name, c.siren, c.catchPhrase, o.description, COUNT(*) AS n "
+        "FROM customers_j c RIGHT JOIN orders_j o ON c.id = o.customerId "
+        "GROUP BY c.id, c.name, c.siren, c.catchPhrase, o.description ORDER BY c.name NULLS FIRST"
+    )
+    assert grouped.first().name is None and grouped.count() == 5
+    docs = group_documents(Child(grouped, "name", "orderList", (F.col("description").alias("desc"),),
+                                 aggs={"customerSiren": F.min("siren")}))
+    got = {r.name: ([x.desc for x in r.orderList], r.customerSiren) for r in docs.collect()}
+    assert got == {"anna": (["d1", "d2"], "111"), "ben": (["d3", "d4"], "222"), None: (["d5"], None)}
