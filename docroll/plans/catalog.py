@@ -126,6 +126,15 @@ def rollup_top100_q(spark, d):
     return sorted_head(_customers_rolled(spark, d), ["c_custkey"], 100)
 
 
+@register("order_top100", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate,
+       CAST(cents AS DOUBLE) / 100 AS total, n_lines
+FROM ({_ROLLED_ORDERS}) r ORDER BY o_custkey, o_orderkey LIMIT 100""")
+def order_top100_q(spark, d):
+    """Rolled-up orders, first 100 by customer key (order key breaks ties)."""
+    return sorted_head(_orders_rolled(spark, d), ["o_custkey", "o_orderkey"], 100)
+
+
 # 2. Nesting -----------------------------------------------------------------
 
 def _line_cents(x):
