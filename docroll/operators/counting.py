@@ -1,24 +1,47 @@
-"""Row counts of several (small) DataFrames in one Spark job."""
+"""Sizes of several (small) DataFrames in one Spark job."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A broadcast side must stay under both limits (checked, not estimated).
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+class Size(NamedTuple):
+    rows: int
+    bytes: int  # sum of each row's JSON text length: a measured size, not a plan estimate
+
+    def broadcastable(self, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+        return self.rows <= max_rows and self.bytes <= max_bytes
 
-def count_each(dfs: Sequence[DataFrame | None]) -> list[int]:
-    """``[df.count() for df in dfs]`` as one job (None counts as 0).
 
-    Each input is tagged and the union is counted per tag, so the inputs'
-    stages run side by side and only one row per input reaches the driver.
+def size_each(dfs: Sequence[DataFrame | None]) -> list[Size]:
+    """Rows and bytes of each input, as one job (None is empty).
+
+    Each input is tagged and the union is aggregated per tag, so the inputs'
+    stages run side by side and one row per input reaches the driver.
     """
-    tagged = [df.select(F.lit(i).alias("__i")) for i, df in enumerate(dfs) if df is not None]
+    tagged = [
+        df.select(F.lit(i).alias("__i"), F.octet_length(F.to_json(F.struct(*df.columns))).alias("__b"))
+        for i, df in enumerate(dfs)
+        if df is not None
+    ]
     if not tagged:
-        return [0] * len(dfs)
+        return [Size(0, 0)] * len(dfs)
     union = tagged[0]
     for t in tagged[1:]:
         union = union.unionByName(t)
-    found = {r["__i"]: r["n"] for r in union.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [found.get(i, 0) for i in range(len(dfs))]
+    rows = union.groupBy("__i").agg(F.count(F.lit(1)).alias("n"), F.sum("__b").alias("b")).collect()
+    found = {r["__i"]: Size(r["n"], r["b"] or 0) for r in rows}
+    return [found.get(i, Size(0, 0)) for i in range(len(dfs))]
+
+
+def count_each(dfs: Sequence[DataFrame | None]) -> list[int]:
+    """``[df.count() for df in dfs]`` as one job (None counts as 0)."""
+    return [s.rows for s in size_each(dfs)]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.operators.counting import count_each
+from docroll.operators.counting import BROADCAST_MAX_BYTES, size_each
 
 ORPHAN_POLICIES = ("report", "drop", "fail")
 ORPHAN_BROADCAST_ROWS = 1_000_000
@@ -31,13 +31,14 @@ def orphan_reports(
         child_keys = child.select(*[F.col(c).alias(n) for c, n in zip(ck, names)]).distinct()
         parent_keys = parent.select(*[F.col(p).alias(n) for p, n in zip(pk, names)]).distinct()
         prepared.append((child, ck, names, child_keys.join(parent_keys, names, "left_anti")))
-    counts = count_each([keys for *_, keys in prepared])
+    sizes = size_each([keys for *_, keys in prepared])
     reports = []
-    for (child, ck, names, orphan_keys), n in zip(prepared, counts):
-        if n == 0:
+    for (child, ck, names, orphan_keys), size in zip(prepared, sizes):
+        if size.rows == 0:
             reports.append(child.where(F.lit(False)))
             continue
-        side = F.broadcast(orphan_keys) if n <= broadcast_rows else orphan_keys
+        small = size.broadcastable(broadcast_rows, BROADCAST_MAX_BYTES)
+        side = F.broadcast(orphan_keys) if small else orphan_keys
         cond = [child[c].eqNullSafe(side[k]) for c, k in zip(ck, names)]
         reports.append(child.join(side, cond, "left_semi"))
     return reports
@@ -56,9 +57,9 @@ def orphans(
     are a report. Only keys move: the child's distinct keys (a partial
     aggregate, so a hot key is one row per task) are anti-joined with the
     parent's keys, the orphan keys are counted, and the child rows are then
-    semi-joined with them, broadcast when the counted set is under
-    ``broadcast_rows`` (the usual case: no child row is shuffled), shuffled
-    otherwise. A null key never matches a parent, so it is reported.
+    semi-joined with them, broadcast when the measured set is under
+    ``broadcast_rows`` rows and 64 MB (the usual case: no child row is
+    shuffled), shuffled otherwise. A null key never matches a parent, so it is reported.
     """
     return orphan_reports([(child, parent, child_on, parent_on)], broadcast_rows)[0]
 

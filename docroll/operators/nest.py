@@ -29,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docroll.operators.counting import count_each
+from docroll.operators.counting import BROADCAST_MAX_BYTES, Size, size_each
 from docroll.session import stage
 
 DEFAULT_MAX_ITEMS = 100_000
 HOT_BROADCAST_ROWS = 1_000_000
+HOT_BROADCAST_BYTES = BROADCAST_MAX_BYTES
 
 PART = "part"
 PARTS = "parts"
@@ -73,6 +74,7 @@ class _Collected:
     stats: DataFrame | None  # keys + count + aggs, only when hot
     hot: DataFrame | None  # keys + __parts, only when hot
     n_hot: int
+    hot_bytes: int = 0
 
 
 def _stat_exprs(child: Child) -> list[Column]:
@@ -103,9 +105,10 @@ def _collect(
     c: DataFrame,
     keys: list[str],
     hot: DataFrame | None,
-    n_hot: int,
+    size: Size,
     hot_broadcast_rows: int,
 ) -> _Collected:
+    n_hot = size.rows
     items = _fields(child.fields)
     item = F.struct(*items)
     sorted_list = F.sort_array(F.collect_list(item)).alias(child.into)
@@ -113,7 +116,7 @@ def _collect(
         lists = c.groupBy(*keys).agg(sorted_list, *_stat_exprs(child))
         return _Collected(child, lists, None, None, 0)
 
-    side = F.broadcast(hot) if n_hot <= hot_broadcast_rows else hot
+    side = F.broadcast(hot) if size.broadcastable(hot_broadcast_rows, HOT_BROADCAST_BYTES) else hot
     # Part by item hash, mixed with the task's partition so that identical
     # items of a hot parent spread too; both depend only on which rows a
     # partition holds, not their order, so a retried task assigns the same parts.
@@ -126,7 +129,7 @@ def _collect(
     lists = tagged.groupBy(*keys, "__part").agg(sorted_list)
     stats_exprs = _stat_exprs(child)
     stats = c.groupBy(*keys).agg(*stats_exprs) if stats_exprs else None
-    return _Collected(child, lists, stats, hot, n_hot)
+    return _Collected(child, lists, stats, hot, n_hot, size.bytes)
 
 
 def _collect_all(
@@ -134,13 +137,13 @@ def _collect_all(
 ) -> list[_Collected]:
     prepared = [_prepared(ch, keys) for ch in children]
     hots = [None if max_items is None else _hot_keys(c, keys, max_items) for c in prepared]
-    n_hots = count_each(hots)
+    sizes = size_each(hots)
     # A hot-key table is joined twice (children, parents): write it once to
     # the shared folder, so it is computed once and stable across retries.
-    hots = [stage(h, "hot-keys") if n else h for h, n in zip(hots, n_hots)]
+    hots = [stage(h, "hot-keys") if z.rows else h for h, z in zip(hots, sizes)]
     return [
-        _collect(ch, c, keys, h, n, hot_broadcast_rows)
-        for ch, c, h, n in zip(children, prepared, hots, n_hots)
+        _collect(ch, c, keys, h, z, hot_broadcast_rows)
+        for ch, c, h, z in zip(children, prepared, hots, sizes)
     ]
 
 
@@ -209,8 +212,8 @@ def _split_parts(
     for extra in hot_tables[1:]:
         parts = parts.unionByName(extra)
     parts = parts.groupBy(*keys).agg(F.max("__parts").alias("__parts"))
-    n_parts_rows = sum(col.n_hot for col in collected)
-    side = F.broadcast(parts) if n_parts_rows <= hot_broadcast_rows else parts
+    total = Size(sum(col.n_hot for col in collected), sum(col.hot_bytes for col in collected))
+    side = F.broadcast(parts) if total.broadcastable(hot_broadcast_rows, HOT_BROADCAST_BYTES) else parts
     docs = docs.join(side, keys, "left").withColumn(
         "__parts", F.coalesce(F.col("__parts"), F.lit(1))
     )

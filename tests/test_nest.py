@@ -201,3 +201,16 @@ def test_identical_items_of_a_hot_parent_spread(spark):
     same = spark.createDataFrame([(1, 7)] * 40, "pk int, id int").repartition(8)
     docs = nest(parent, "pk", [Child(same, "pk", "items", ("id",), count_as="n")], max_items=10).collect()
     assert sum(len(d.items) for d in docs) == 40 and len(docs) > 1
+
+
+def test_size_each_measures_rows_and_bytes_in_one_job(spark):
+    from docroll.operators.counting import Size, size_each
+
+    small = spark.createDataFrame([(1,), (2,)], "k bigint")
+    wide = spark.createDataFrame([("x" * 1000,)] * 3, "k string")
+    empty = spark.createDataFrame([], "k int")
+    a, b, c, d = size_each([small, wide, empty, None])
+    assert (a.rows, b.rows, c, d) == (2, 3, Size(0, 0), Size(0, 0))
+    assert 0 < a.bytes < 40 and b.bytes > 3000
+    assert Size(10, 10).broadcastable() and not Size(10, 10**9).broadcastable()
+    assert not Size(2_000_000, 10).broadcastable()
