@@ -164,15 +164,22 @@ def nest(
     children: Sequence[Child],
     max_items: int | None = DEFAULT_MAX_ITEMS,
     hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Documents: parent columns, then per child its count, aggregates and
     sorted list, then ``part`` and ``parts``.
 
     Children whose key has no parent are not in any document (see
     ``joins.orphans`` for the report). ``max_items=None`` turns splitting off
-    (every parent one document, however large).
+    (every parent one document, however large). ``one_per_key`` keeps one
+    parent row per key, the smallest (``joins.first_per_key``), as the
+    reference keeps one; its aggregate shares the join's key partitioning.
     """
     parent_keys = _keys(on)
+    if one_per_key:
+        from docroll.operators.joins import first_per_key
+
+        parent = first_per_key(parent, parent_keys, [])
     # Joins run on reserved key columns so child fields may reuse key names.
     keys = [f"__k{i}" for i in range(len(parent_keys))]
     out_cols = list(parent.columns)

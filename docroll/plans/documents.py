@@ -85,7 +85,7 @@ def order_documents(
         aggs={"orderAmount": money_sum("amount")},
         fill={"orderAmount": 0.0},
     )
-    return nest(parent, "id", [child], max_items=max_items)
+    return nest(parent, "id", [child], max_items=max_items, one_per_key=True)
 
 
 # --- customer documents with orders and contacts (three-way cogroup) ----
@@ -122,7 +122,7 @@ def customer_documents(
         fields=CONTACT_FIELDS,
         count_as="contactCount",
     )
-    return nest(parent, "id", [contact_child, order_child], max_items=max_items)
+    return nest(parent, "id", [contact_child, order_child], max_items=max_items, one_per_key=True)
 
 
 # --- three levels: customer -> orders -> lines, plus contacts ------------
@@ -145,7 +145,7 @@ def three_level_documents(
         fields=("id", "part", "customerId", "orderDescription", "orderAmount", "lineCount", "orderLines"),
     )
     contact_child = Child(contact_items(events), on="customerId", into="contacts", fields=CONTACT_FIELDS)
-    return nest(parent, "customerId", [contact_child, order_child], max_items=max_items)
+    return nest(parent, "customerId", [contact_child, order_child], max_items=max_items, one_per_key=True)
 
 
 # --- rollups and their documents ----------------------------------------
@@ -212,7 +212,7 @@ def rollup_documents(
         fields=("orderId", "customerId", "orderType", "orderDescription", "orderTotal", "orderDate"),
     )
     contact_child = Child(contact_items(events), on="customerId", into="contacts", fields=CONTACT_FIELDS)
-    return nest(parent, "customerId", [contact_child, order_child], max_items=max_items)
+    return nest(parent, "customerId", [contact_child, order_child], max_items=max_items, one_per_key=True)
 
 
 def flat_customer_documents(customers_rolled: DataFrame) -> DataFrame:

@@ -214,3 +214,12 @@ def test_size_each_measures_rows_and_bytes_in_one_job(spark):
     assert 0 < a.bytes < 40 and b.bytes > 3000
     assert Size(10, 10).broadcastable() and not Size(10, 10**9).broadcastable()
     assert not Size(2_000_000, 10).broadcastable()
+
+
+def test_one_parent_per_key(spark):
+    parent = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "pk int, name string")
+    child = Child(spark.createDataFrame([(1, 10), (2, 20)], "pk int, id int"), "pk", "items", ("id",))
+    dup = nest(parent, "pk", [child]).collect()
+    one = nest(parent, "pk", [child], one_per_key=True).collect()
+    assert len(dup) == 3
+    assert sorted((r.pk, r.name, [i.id for i in r.items]) for r in one) == [(1, "a", [10]), (2, "c", [20])]
