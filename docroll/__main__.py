@@ -98,5 +98,11 @@ def main(argv: list[str] | None = None) -> dict:
     return result
 
 
+def cli() -> int:
+    """Console entry point (exit status 0 on success)."""
+    main()
+    return 0
+
+
 if __name__ == "__main__":
     main()
