@@ -23,3 +23,13 @@ def test_no_rdds_udfs_or_local_checkpoints():
 def test_no_machine_local_scratch_outside_local_mode():
     text = SOURCES["session.py"]
     assert "tempfile.mkdtemp" in text and 'sc.master.startswith("local")' in text
+
+
+def test_registered_queries_use_whole_tables():
+    import __spark_entry__ as E
+
+    text = SOURCES["plans/catalog.py"] + SOURCES["plans/sql_text.py"]
+    assert not re.search(r"\s%\s*\d|\bMOD\s*\(|pmod\(", text)
+    limits = [sql for sql in E.oracle_sql().values() if re.search(r"\bLIMIT\b", sql)]
+    assert len(limits) == 3  # two top-100 reports and the unsorted preview, where the limit is the feature
+    assert "sample(" not in text and "TABLESAMPLE" not in text.upper()
