@@ -74,3 +74,49 @@ def test_bucket_matches_python(spark, values):
         return sum(1 for t in (2500, 3500, 4500, 5500, 6000) if v > t)
 
     assert got == [py_bucket(v) for v in values]
+
+
+lines_st = st.lists(
+    st.tuples(st.integers(0, 9), st.integers(1, 500_000)),  # (order key, amount in cents)
+    min_size=0, max_size=40,
+)
+orders_st = st.lists(
+    st.tuples(st.integers(0, 4), st.integers(0, 3)),  # (customer key, day offset around the cutoff)
+    min_size=10, max_size=10,
+)
+
+
+@SETTINGS
+@given(lines=lines_st, orders=orders_st)
+def test_rollups_match_python(spark, lines, orders):
+    import datetime as dt
+
+    from docroll.plans import documents as D
+
+    cutoff = dt.datetime(2010, 1, 1)
+    order_rows = [(k, c, "O", 0.0, cutoff + dt.timedelta(days=off - 1), "p") for k, (c, off) in enumerate(orders)]
+    line_rows = [(k, 1, 1, i, 1.0, cents / 100, 0.0, 0.0, "N", "O", cutoff) for i, (k, cents) in enumerate(lines)]
+    o = spark.createDataFrame(order_rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                              "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    l = spark.createDataFrame(line_rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                              "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                              "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    c = spark.createDataFrame([(k, f"c{k}") for k in range(4)], "c_custkey bigint, c_name string")
+    rc = {r.c_custkey: r for r in D.rolled_customers(D.rolled_orders(o, l), c, "2010-01-01", [10, 20, 30, 40, 5000]).collect()}
+
+    order_cents = Counter()
+    for k, cents in lines:
+        order_cents[k] += cents
+    want = {}
+    for k, (cust, off) in enumerate(orders):
+        if k not in order_cents or cust >= 4:
+            continue  # orders without lines and orders of missing customers are not rolled up
+        tot, n, mx = want.get(cust, (0, 0, 0))
+        after = cutoff + dt.timedelta(days=off - 1) > cutoff
+        want[cust] = (tot + (order_cents[k] if after else 0), n + 1, max(mx, order_cents[k]))
+    assert set(rc) == set(want)
+    for cust, (tot, n, mx) in want.items():
+        r = rc[cust]
+        assert (round(r.total * 100), r.n_orders, round(r.max * 100)) == (tot, n, mx)
+        assert r.avg == (tot / 100) / n
+        assert r.bucket == sum(1 for t in (10, 20, 30, 40, 5000) if tot / 100 > t)
