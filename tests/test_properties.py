@@ -120,3 +120,29 @@ def test_rollups_match_python(spark, lines, orders):
         assert (round(r.total * 100), r.n_orders, round(r.max * 100)) == (tot, n, mx)
         assert r.avg == (tot / 100) / n
         assert r.bucket == sum(1 for t in (10, 20, 30, 40, 5000) if tot / 100 > t)
+
+
+text_st = st.one_of(st.none(), st.text(alphabet="abcAB xé Ö1,-.;'", max_size=12))
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(text_st, text_st), min_size=1, max_size=15),
+       term=st.text(alphabet="abxé1", min_size=1, max_size=3))
+def test_search_matches_whole_tokens(spark, rows, term):
+    from docroll.sources import any_field_matches
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a string, b string")
+    got = [r.m for r in df.select("i", any_field_matches(df, term).alias("m")).orderBy("i").collect()]
+
+    def tokens(v):
+        out, cur = set(), ""
+        for ch in (v or "").lower():
+            if ch.isalnum():
+                cur += ch
+            else:
+                out.add(cur)
+                cur = ""
+        out.add(cur)
+        return out - {""}
+
+    assert got == [term.lower() in tokens(a) | tokens(b) for a, b in rows]
