@@ -12,11 +12,13 @@ built in one row or one task: a parent with more than ``max_items``
 children is emitted as ``parts`` documents (``part`` = 0 .. parts-1), each
 holding the children whose item hash falls in that part, each carrying the
 parent's fields and its whole-parent totals. Which parents are hot is found
-exactly by a key-only partial aggregate before the plan is built. The hot-key
-table has at most rows/max_items entries; it is broadcast only when its
-counted size is under ``hot_broadcast_rows``, and shuffle-joined otherwise.
-Without hot keys (the usual case) the plan is one aggregate per child and
-one join per child, all on the same hash partitioning.
+exactly by a key-only partial aggregate before the plan is built (one small
+job per call for all children). The hot-key table has at most
+rows/max_items entries; it is written once to the shared folder, and
+broadcast only when its measured rows and bytes are under the limits,
+shuffle-joined otherwise. Without hot keys (the usual case) the plan is one
+aggregate per child and one join per child, all on the same hash
+partitioning.
 """
 
 from __future__ import annotations
