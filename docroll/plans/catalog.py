@@ -388,7 +388,7 @@ def key_text_vs_int_q(spark, d):
     return key_match_counts(_t(spark, d, "orders"), padded, "o_custkey", "key")
 
 
-# 5. Small keyed aggregates ----------------------------------------------------
+# 5. Nested records and small keyed aggregates --------------------------------
 
 @register("count_by_struct", """
 SELECT l_returnflag, l_linestatus, l_discount, COUNT(*) AS n
