@@ -49,7 +49,10 @@ class Child:
     ``fields`` are the list item's fields; the list is sorted by them in
     order, so put a unique id first. ``aggs`` are aggregate columns over all
     of a parent's children (whole parent, even when split into parts);
-    ``fill`` gives their value for a parent without children.
+    ``fill`` gives their value for a parent without children. ``weight``
+    (default 1 per item) is what ``max_items`` bounds: for items that carry
+    lists of their own, weigh them by their size, so a parent is split by
+    what its document really holds.
     """
 
     df: DataFrame
@@ -59,6 +62,7 @@ class Child:
     count_as: str | None = None
     aggs: Mapping[str, Column] = field(default_factory=dict)
     fill: Mapping[str, Any] = field(default_factory=dict)
+    weight: Column | None = None
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -93,10 +97,12 @@ def _prepared(child: Child, keys: list[str]) -> DataFrame:
     return child.df.withColumns({k: F.col(src) for k, src in zip(keys, ck)})
 
 
-def _hot_keys(c: DataFrame, keys: list[str], max_items: int) -> DataFrame:
-    """Keys with more than ``max_items`` children and their part count
-    (a key-only partial aggregate; Catalyst prunes everything else)."""
-    counts = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+def _hot_keys(c: DataFrame, keys: list[str], max_items: int, weight: Column | None = None) -> DataFrame:
+    """Keys whose children weigh more than ``max_items`` (one per item by
+    default) and their part count (a partial aggregate over the key and the
+    weight only; Catalyst prunes everything else)."""
+    w = F.count(F.lit(1)) if weight is None else F.sum(weight.cast("long"))
+    counts = c.groupBy(*keys).agg(w.alias("__n"))
     return counts.where(F.col("__n") > F.lit(max_items)).select(
         *keys, F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts")
     )
@@ -138,7 +144,10 @@ def _collect_all(
     children: Sequence[Child], keys: list[str], max_items: int | None, hot_broadcast_rows: int
 ) -> list[_Collected]:
     prepared = [_prepared(ch, keys) for ch in children]
-    hots = [None if max_items is None else _hot_keys(c, keys, max_items) for c in prepared]
+    hots = [
+        None if max_items is None else _hot_keys(c, keys, max_items, ch.weight)
+        for ch, c in zip(children, prepared)
+    ]
     sizes = size_each(hots)
     # A hot-key table is joined twice (children, parents): write it once to
     # the shared folder, so it is computed once and stable across retries.
@@ -254,7 +263,7 @@ def group_documents(
     src_keys = _keys(child.on)
     key = "__k0"
     keyed = child.df.withColumn(key, F.struct(*[F.col(k) for k in src_keys]))
-    inner = Child(keyed, key, child.into, child.fields, child.count_as, child.aggs, child.fill)
+    inner = Child(keyed, key, child.into, child.fields, child.count_as, child.aggs, child.fill, child.weight)
     col = _collect_all([inner], [key], max_items, hot_broadcast_rows)[0]
     stat_cols = ([child.count_as] if child.count_as else []) + list(child.aggs)
     key_cols = [F.col(f"{key}.{k}").alias(k) for k in src_keys]

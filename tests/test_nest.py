@@ -223,3 +223,18 @@ def test_one_parent_per_key(spark):
     one = nest(parent, "pk", [child], one_per_key=True).collect()
     assert len(dup) == 3
     assert sorted((r.pk, r.name, [i.id for i in r.items]) for r in one) == [(1, "a", [10]), (2, "c", [20])]
+
+
+def test_weighted_split_bounds_nested_size(spark):
+    # one order with 30 lines under one customer: by item count the customer
+    # document is one order, by weight it is 31 and gets split
+    orders = spark.createDataFrame([(1, 10), (1, 11)], "cust int, oid int")
+    lines = spark.createDataFrame([(10, i) for i in range(30)] + [(11, 0)], "oid int, lid int")
+    order_docs = nest(orders, "oid", [Child(lines, "oid", "lines", ("lid",))], max_items=None)
+    parent = spark.createDataFrame([(1, "c")], "cust int, name string")
+    by_count = nest(parent, "cust", [Child(order_docs, "cust", "orders", ("oid", "lines"))], max_items=5).collect()
+    weighted = nest(parent, "cust", [Child(order_docs, "cust", "orders", ("oid", "lines"),
+                                           weight=F.size("lines") + 1)], max_items=5).collect()
+    assert len(by_count) == 1
+    assert weighted[0].parts == 7  # ceil(33 / 5)
+    assert sorted(o.oid for d in weighted for o in d.orders) == [10, 11]
