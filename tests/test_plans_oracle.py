@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from docroll.plans import catalog
 
 SMALL = "/root/testdata/sf0.001"
 HAS_DATA = os.path.isdir(SMALL)
@@ -28,7 +29,7 @@ def test_entry_runs(spark):
 
 
 def test_no_python_and_no_cross_products(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         text = _plan(fn(spark, SMALL))
         for marker in FORBIDDEN:
             assert marker not in text, f"{name} plans {marker}"
@@ -76,7 +77,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SMALL)
     res = duck.sql(E.oracle_sql()[name])
@@ -85,7 +86,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
 def test_skewed_customer_is_split_and_complete(spark):
