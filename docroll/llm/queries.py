@@ -8,8 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docroll.llm import langid, quality
+from docroll.llm.decontam import contaminations
 from docroll.llm.jaccard_join import jaccard_components
+from docroll.llm.line_dedup import line_digests
+from docroll.llm.mixing import copies
+from docroll.llm.sample import held_out
+from docroll.llm.sharding import shard_rows
 from docroll.llm.ship import ship
+from docroll.llm.suffix_dedup import suffix_digests
+from docroll.llm.unit_dedup import unit_digests
+
+#: Documents that must hold a line before it counts as boilerplate.
+COMMON_LINE = 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,7 +40,83 @@ def real_id(column: str = "doc_key"):
     return F.when(F.col(column) != F.lit(-(1 << 63)), F.col(column))
 
 
+@register
+def op2_decontamination(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Every benchmark passage found in a document, with its place and edits."""
+    got = contaminations(read(spark, data_dir, "documents"), read(spark, data_dir, "benchmark"))
+    return got.select(real_id().alias("doc_id"), real_id("item_key").alias("item_id"), "edits", "budget", "item_chars", "start", "end")
+
+
+@register
+def op3_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = read(spark, data_dir, "documents")
+    got = langid.identify(docs.select("doc_id", "text"), langid.fit(docs, ~held_out()))
+    return got.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
+
+
+@register
+def op4_source_mix(spark: SparkSession, data_dir: str) -> DataFrame:
+    got = copies(read(spark, data_dir, "documents"))
+    return got.select(real_id().alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@register
+def op5_suffix_array_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    got = suffix_digests(read(spark, data_dir, "documents"))
+    return got.select(real_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register
+def op6_line_hash_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Repeated lines of at least ten words, cut but for the earliest."""
+    got = unit_digests(read(spark, data_dir, "documents"))
+    return got.select(real_id().alias("doc_id"), "n_units", "n_removed", "kept_sha256", "removed")
+
+
+@register
+def op7_quality(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = read(spark, data_dir, "documents")
+    model = quality.fit(docs, read(spark, data_dir, "labels"), ~held_out())
+    got = quality.score_documents(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register
 def op8_ngram_jaccard_join(spark: SparkSession, data_dir: str) -> DataFrame:
     got = jaccard_components(read(spark, data_dir, "documents"))
     return got.select(real_id().alias("doc_id"), "n_shingles", real_id("component_id").alias("component_id"), "copies")
+
+
+@register
+def op9_bounded_ring_shards(spark: SparkSession, data_dir: str) -> DataFrame:
+    got = shard_rows(read(spark, data_dir, "documents"))
+    return got.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op10_line_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    got = line_digests(read(spark, data_dir, "documents"), COMMON_LINE)
+    return got.select(real_id().alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+
+
+# DuckDB: A-Z lowered by translate, since lower() folds all of Unicode.
+_LINES = r"""
+lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents)"""
+
+ORACLE["op10_line_dedup"] = rf"""
+WITH {_LINES.strip()},
+keyed AS (
+  SELECT doc_id, line, pos,
+         translate(regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+common AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= {COMMON_LINE})
+SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key
+GROUP BY k.doc_id
+"""
