@@ -6,8 +6,8 @@ from docroll.functions.scalars import (
     REFERENCE_TS_FORMAT,
     as_strings,
     bucket,
-    cents,
     doc_json,
+    exact_sum,
     java_date_text,
     money_sum,
     parse_ts,
@@ -21,8 +21,8 @@ __all__ = [
     "REFERENCE_TS_FORMAT",
     "as_strings",
     "bucket",
-    "cents",
     "doc_json",
+    "exact_sum",
     "java_date_text",
     "money_sum",
     "parse_ts",

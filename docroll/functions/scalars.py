@@ -29,19 +29,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(c: Column | str) -> Column:
-    """A money amount as whole cents (bigint): exact, associative sums."""
-    return F.round(_col(c) * 100).cast("long")
+#: Decimal places that sums of fractional amounts keep.
+MONEY_SCALE = 4
 
 
-def money_sum(c: Column | str) -> Column:
-    """Sum of money amounts, exact to the cent and independent of row order.
-
-    A bigint sum of cents keeps the fast codegen path of ``sum(long)`` and the
-    map-side partial aggregate; the double is produced once at the end. ANSI
-    mode raises on overflow instead of wrapping.
+def money_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """Sum of fractional amounts as a double, exact to ``scale`` decimal places
+    and independent of row order: amounts are added as decimals and converted
+    once. A NaN among the amounts makes the sum NaN; nulls do not count, and a
+    sum of nothing is null. ANSI mode raises when an amount or a sum needs more
+    than 38 digits.
     """
-    return F.sum(cents(c)) / F.lit(100.0)
+    v = _col(c).cast("double")
+    exact = F.sum(F.when(~F.isnan(v), v.cast(f"decimal({24 + scale},{scale})"))).cast("double")
+    return F.when(F.max(F.isnan(v)), F.lit(float("nan"))).otherwise(exact)
+
+
+def exact_sum(df: DataFrame, c: str, scale: int = MONEY_SCALE, where: Column | None = None) -> Column:
+    """Sum of a column of ``df`` by its type: integers give an integer, anything
+    else ``money_sum``. Rows that ``where`` does not hold for count as zero."""
+    whole = isinstance(df.schema[c].dataType, T.IntegralType)
+    value = F.col(c) if where is None else F.when(where, F.col(c)).otherwise(F.lit(0))
+    return F.sum(value) if whole else money_sum(value, scale)
 
 
 def ts_literal(value: str | _dt.date | _dt.datetime, like: T.DataType) -> Column:
@@ -73,15 +82,15 @@ def parse_ts(c: Column | str, fmt: str = REFERENCE_TS_FORMAT, strict: bool = Tru
     return F.try_to_timestamp(head, F.lit(fmt)).cast("timestamp_ntz")
 
 
-def java_date_text(c: Column | str, dtype: T.DataType | None = None, zone: str = "UTC") -> Column:
-    """Timestamp -> the text ``java.util.Date#toString`` gives.
+def java_date_text(c: Column | str, dtype: T.DataType, zone: str = "UTC") -> Column:
+    """Timestamp of type ``dtype`` -> the text ``java.util.Date#toString`` gives.
 
-    A timestamp without zone is a wall-clock time in ``zone``; a timestamp with
-    zone is printed in the session zone, whose short name is printed.
+    A timestamp without zone (or a date) is a wall-clock time in ``zone``; a
+    timestamp with zone is printed in the session zone, whose short name is
+    printed.
     """
-    if dtype is None or isinstance(dtype, T.TimestampNTZType):
-        return F.date_format(_col(c), _JAVA_DATE_PATTERN.format(zone=f"'{zone}'"))
-    return F.date_format(_col(c), _JAVA_DATE_PATTERN.format(zone="zzz"))
+    named = "zzz" if isinstance(dtype, T.TimestampType) else f"'{zone}'"
+    return F.date_format(_col(c), _JAVA_DATE_PATTERN.format(zone=named))
 
 
 def bucket(c: Column | str, thresholds: Sequence[float] = REFERENCE_BUCKET_THRESHOLDS) -> Column:
@@ -90,7 +99,7 @@ def bucket(c: Column | str, thresholds: Sequence[float] = REFERENCE_BUCKET_THRES
     ``thresholds`` ascending. With the reference's list: >6000 -> 5,
     >5500 -> 4, >4500 -> 3, >3500 -> 2, >2500 -> 1, else 0.
     """
-    v = _col(c)
+    v = _col(c).cast("double")
     bounds = sorted(float(t) for t in thresholds)
     expr = F.when(F.isnan(v), F.lit(0))
     for i in range(len(bounds), 0, -1):

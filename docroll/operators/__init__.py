@@ -1,11 +1,9 @@
 """DataFrame -> DataFrame operators: rollups, keyed aggregates, nesting, key checks."""
 
-from docroll.operators.counting import count_each
 from docroll.operators.joins import (
     check_orphans,
     first_per_key,
     key_match_counts,
-    orphan_reports,
     orphans,
 )
 from docroll.operators.keyed import (
@@ -24,7 +22,6 @@ __all__ = [
     "bucket_counts",
     "check_orphans",
     "combine_mean",
-    "count_each",
     "count_by",
     "customer_rollup",
     "first_per_key",
@@ -36,7 +33,6 @@ __all__ = [
     "list_total",
     "nest",
     "order_rollup",
-    "orphan_reports",
     "orphans",
     "row_count",
     "sorted_head",

@@ -7,61 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.operators.counting import BROADCAST_MAX_BYTES, size_each
-
 ORPHAN_POLICIES = ("report", "drop", "fail")
-ORPHAN_BROADCAST_ROWS = 1_000_000
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def orphan_reports(
-    specs: Sequence[tuple[DataFrame, DataFrame, str | Sequence[str], str | Sequence[str] | None]],
-    broadcast_rows: int = ORPHAN_BROADCAST_ROWS,
-) -> list[DataFrame]:
-    """Orphan rows for several (child, parent, child key, parent key) pairs;
-    all orphan-key sets are counted in one job. See ``orphans``."""
-    prepared = []
-    for child, parent, child_on, parent_on in specs:
-        ck = _keys(child_on)
-        pk = _keys(parent_on) if parent_on is not None else ck
-        names = [f"__ok{i}" for i in range(len(ck))]
-        child_keys = child.select(*[F.col(c).alias(n) for c, n in zip(ck, names)]).distinct()
-        parent_keys = parent.select(*[F.col(p).alias(n) for p, n in zip(pk, names)]).distinct()
-        prepared.append((child, ck, names, child_keys.join(parent_keys, names, "left_anti")))
-    sizes = size_each([keys for *_, keys in prepared])
-    reports = []
-    for (child, ck, names, orphan_keys), size in zip(prepared, sizes):
-        if size.rows == 0:
-            reports.append(child.where(F.lit(False)))
-            continue
-        small = size.broadcastable(broadcast_rows, BROADCAST_MAX_BYTES)
-        side = F.broadcast(orphan_keys) if small else orphan_keys
-        cond = [child[c].eqNullSafe(side[k]) for c, k in zip(ck, names)]
-        reports.append(child.join(side, cond, "left_semi"))
-    return reports
-
-
 def orphans(
     child: DataFrame,
     parent: DataFrame,
     child_on: str | Sequence[str],
     parent_on: str | Sequence[str] | None = None,
-    broadcast_rows: int = ORPHAN_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Child rows whose key has no parent.
+    """Child rows whose key has no parent (a null key never has one).
 
     The reference fails on such rows (``head`` of an empty group); here they
-    are a report. Only keys move: the child's distinct keys (a partial
-    aggregate, so a hot key is one row per task) are anti-joined with the
-    parent's keys, the orphan keys are counted, and the child rows are then
-    semi-joined with them, broadcast when the measured set is under
-    ``broadcast_rows`` rows and 64 MB (the usual case: no child row is
-    shuffled), shuffled otherwise. A null key never matches a parent, so it is reported.
+    are a report: one anti-join with the parent's keys, evaluated when the
+    report is.
     """
-    return orphan_reports([(child, parent, child_on, parent_on)], broadcast_rows)[0]
+    ck = _keys(child_on)
+    names = [f"__ok{i}" for i in range(len(ck))]
+    keys = parent.select(*[F.col(p).alias(n) for p, n in zip(_keys(parent_on) if parent_on is not None else ck, names)])
+    return child.join(keys, [child[c] == keys[n] for c, n in zip(ck, names)], "left_anti")
 
 
 def check_orphans(
@@ -89,7 +57,7 @@ def first_per_key(df: DataFrame, on: str | Sequence[str], order_by: Sequence[str
 
     A single ``min`` over one struct (order columns first, then the rest of
     the row) is a partial aggregate: a duplicated key costs one buffered row
-    per task, never a sort or a list of the group, and ties are broken by the
+    per task, never a list of the group, and ties are broken by the
     whole row, so the pick is deterministic.
     """
     keys = _keys(on)

@@ -1,4 +1,4 @@
-"""Nest child rows into one document per parent key (cogroup re-expressed).
+"""Nest child rows into documents per parent key (cogroup re-expressed).
 
 The reference cogroups parent and children and walks the groups in Scala.
 Here each child is aggregated on its own first (``collect_list`` of a
@@ -7,36 +7,39 @@ parent; parents without children get an empty list. Aggregating before the
 join avoids both the fan-out of joining two children at once and the
 ``[{null}]`` item a left join would put in an empty group.
 
-Hot keys. A parent may own a third of all child rows. Its list is never
-built in one row or one task: a parent with more than ``max_items``
-children is emitted as ``parts`` documents (``part`` = 0 .. parts-1), each
-holding the children whose item hash falls in that part, each carrying the
-parent's fields and its whole-parent totals. Which parents are hot is found
-exactly by a key-only partial aggregate before the plan is built (one small
-job per call for all children). The hot-key table has at most
-rows/max_items entries; it is written once to the shared folder, and
-broadcast only when its measured rows and bytes are under the limits,
-shuffle-joined otherwise. Without hot keys (the usual case) the plan is one
-aggregate per child and one join per child, all on the same hash
-partitioning.
+Pages. A parent may own a third of all child rows, so its list is never built
+in one row. One rule holds for every parent, whatever its size: items stand in
+the order (bucket, item), where the bucket is a fixed function of the item's
+first field (``bucket_of``), and page p holds the items whose running weight
+ends in (p * page_size, (p + 1) * page_size]. An item weighs 1 by default, so
+this is rank - 1 div page_size. A document is one page (``part``, of ``parts``) with
+the parent's fields, the whole parent's totals, and page p of every child list.
+Pages depend on the rows' values alone.
+
+The running weight needs no task that sees a whole parent: weights are summed
+per (parent, bucket) by a partial aggregate, a running sum over a parent's
+buckets (at most ``BUCKETS`` rows) gives where each bucket begins, and a window per
+(parent, bucket) places the items. Documents are joined on (key, part), so the
+pages of one parent land in different tasks.
+
+``page_size=None`` asks for one document per parent, however large: one
+aggregate and one join per child.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docroll.operators.counting import BROADCAST_MAX_BYTES, Size, size_each
-from docroll.session import stage
-
-DEFAULT_MAX_ITEMS = 100_000
-HOT_BROADCAST_ROWS = 1_000_000
-HOT_BROADCAST_BYTES = BROADCAST_MAX_BYTES
+#: Items (or weight) of one page.
+PAGE_SIZE = 10_000
+#: Buckets that a parent's items are placed in.
+BUCKETS = 64
 
 PART = "part"
 PARTS = "parts"
@@ -46,13 +49,13 @@ PARTS = "parts"
 class Child:
     """One child collection of a document.
 
-    ``fields`` are the list item's fields; the list is sorted by them in
-    order, so put a unique id first. ``aggs`` are aggregate columns over all
-    of a parent's children (whole parent, even when split into parts);
-    ``fill`` gives their value for a parent without children. ``weight``
-    (default 1 per item) is what ``max_items`` bounds: for items that carry
-    lists of their own, weigh them by their size, so a parent is split by
-    what its document really holds.
+    ``fields`` are the list item's fields; lists are sorted by them in order,
+    so put a unique id first. ``aggs`` are aggregate columns over all of a
+    parent's children (whole parent, on every page); ``fill`` gives their value
+    for a parent without children. ``weight`` (default 1 per item, and at most
+    the page size) is what ``page_size`` bounds: weigh items that carry lists of
+    their own by what they hold. ``count_as`` names the whole parent's count,
+    ``held_as`` the count of items on the page.
     """
 
     df: DataFrame
@@ -63,24 +66,21 @@ class Child:
     aggs: Mapping[str, Column] = field(default_factory=dict)
     fill: Mapping[str, Any] = field(default_factory=dict)
     weight: Column | None = None
+    held_as: str | None = None
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _fields(fields: Sequence[str | Column]) -> list[Column]:
-    return [F.col(f) if isinstance(f, str) else f for f in fields]
-
-
-@dataclass
-class _Collected:
-    child: Child
-    lists: DataFrame  # keys (+ __part when hot) + into (+ stats when not hot)
-    stats: DataFrame | None  # keys + count + aggs, only when hot
-    hot: DataFrame | None  # keys + __parts, only when hot
-    n_hot: int
-    hot_bytes: int = 0
+def bucket_of(item: Column, dtype: T.DataType) -> Column:
+    """The bucket of an item's first field: an integer modulo ``BUCKETS``, the
+    CRC-32 of other values' text modulo ``BUCKETS``, 0 for a null."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        value = item
+    else:
+        value = F.crc32(item.cast("string").cast("binary"))
+    return F.coalesce(F.pmod(value, F.lit(BUCKETS)).cast("int"), F.lit(0))
 
 
 def _stat_exprs(child: Child) -> list[Column]:
@@ -97,94 +97,65 @@ def _prepared(child: Child, keys: list[str]) -> DataFrame:
     return child.df.withColumns({k: F.col(src) for k, src in zip(keys, ck)})
 
 
-def _hot_keys(c: DataFrame, keys: list[str], max_items: int, weight: Column | None = None) -> DataFrame:
-    """Keys whose children weigh more than ``max_items`` (one per item by
-    default) and their part count (a partial aggregate over the key and the
-    weight only; Catalyst prunes everything else)."""
-    w = F.count(F.lit(1)) if weight is None else F.sum(weight.cast("long"))
-    counts = c.groupBy(*keys).agg(w.alias("__n"))
-    return counts.where(F.col("__n") > F.lit(max_items)).select(
-        *keys, F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts")
-    )
-
-
-def _collect(
-    child: Child,
-    c: DataFrame,
-    keys: list[str],
-    hot: DataFrame | None,
-    size: Size,
-    hot_broadcast_rows: int,
-) -> _Collected:
-    n_hot = size.rows
-    items = _fields(child.fields)
-    item = F.struct(*items)
-    sorted_list = F.sort_array(F.collect_list(item)).alias(child.into)
-    if n_hot == 0:
-        lists = c.groupBy(*keys).agg(sorted_list, *_stat_exprs(child))
-        return _Collected(child, lists, None, None, 0)
-
-    side = F.broadcast(hot) if size.broadcastable(hot_broadcast_rows, HOT_BROADCAST_BYTES) else hot
-    # Part by item hash, mixed with the task's partition so that identical
-    # items of a hot parent spread too; both depend only on which rows a
-    # partition holds, not their order, so a retried task assigns the same parts.
-    part = (
-        F.when(F.col("__parts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*items, F.spark_partition_id()), F.col("__parts").cast("long")))
-        .cast("int")
-    )
-    tagged = c.join(side, keys, "left").withColumn("__part", part)
-    lists = tagged.groupBy(*keys, "__part").agg(sorted_list)
-    stats_exprs = _stat_exprs(child)
-    stats = c.groupBy(*keys).agg(*stats_exprs) if stats_exprs else None
-    return _Collected(child, lists, stats, hot, n_hot, size.bytes)
-
-
-def _collect_all(
-    children: Sequence[Child], keys: list[str], max_items: int | None, hot_broadcast_rows: int
-) -> list[_Collected]:
-    prepared = [_prepared(ch, keys) for ch in children]
-    hots = [
-        None if max_items is None else _hot_keys(c, keys, max_items, ch.weight)
-        for ch, c in zip(children, prepared)
-    ]
-    sizes = size_each(hots)
-    # A hot-key table is joined twice (children, parents): write it once to
-    # the shared folder, so it is computed once and stable across retries.
-    hots = [stage(h, "hot-keys") if z.rows else h for h, z in zip(hots, sizes)]
-    return [
-        _collect(ch, c, keys, h, z, hot_broadcast_rows)
-        for ch, c, h, z in zip(children, prepared, hots, sizes)
-    ]
-
-
-def _fill(df: DataFrame, child: Child, list_type: T.DataType) -> DataFrame:
-    fills: dict[str, Column] = {
-        child.into: F.coalesce(F.col(child.into), F.array().cast(list_type))
-    }
-    if child.count_as:
-        fills[child.count_as] = F.coalesce(F.col(child.count_as), F.lit(0).cast("long"))
+def _list_exprs(child: Child, item: Column) -> list[Column]:
+    out = [F.sort_array(F.collect_list(item)).alias(child.into)]
+    if child.held_as:
+        out.append(F.count(F.lit(1)).alias(child.held_as))
+    return out
+
+
+def _item(child: Child) -> Column:
+    return F.struct(*[F.col(f) if isinstance(f, str) else f for f in child.fields])
+
+
+def _paged(child: Child, c: DataFrame, keys: list[str], page_size: int) -> tuple[DataFrame, DataFrame]:
+    """(keys, totals, __pages) per parent and (keys, __part, list) per page."""
+    weight = F.lit(1) if child.weight is None else F.least(F.greatest(child.weight, F.lit(1)), F.lit(page_size))
+    c = c.withColumns({"__w": weight.cast("long"), "__item": _item(child)})
+    first = c.schema["__item"].dataType.fields[0]
+    c = c.withColumn("__bucket", bucket_of(F.col("__item").getField(first.name), first.dataType))
+    pages = F.ceil(F.sum("__w") / F.lit(page_size)).cast("int").alias("__pages")
+    totals = c.groupBy(*keys).agg(pages, *_stat_exprs(child))
+    sums = c.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__sum"))
+    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select(*keys, "__bucket", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__begin"))
+    upto = Window.partitionBy(*keys, "__bucket").orderBy("__item").rowsBetween(Window.unboundedPreceding, 0)
+    placed = c.select(*keys, "__bucket", "__item", "__w").join(begins, [*keys, "__bucket"])
+    end = F.col("__begin") + F.sum("__w").over(upto)
+    placed = placed.withColumn("__part", F.floor((end - 1) / F.lit(page_size)).cast("int"))
+    return totals, placed.groupBy(*keys, "__part").agg(*_list_exprs(child, F.col("__item")))
+
+
+def _filled(df: DataFrame, child: Child, list_type: T.DataType) -> DataFrame:
+    fills: dict[str, Column] = {child.into: F.coalesce(F.col(child.into), F.array().cast(list_type))}
+    for name in (child.count_as, child.held_as):
+        if name:
+            fills[name] = F.coalesce(F.col(name), F.lit(0).cast("long"))
     for name, value in child.fill.items():
         fills[name] = F.coalesce(F.col(name), F.lit(value))
     return df.withColumns(fills)
 
 
+def _out_columns(child: Child) -> list[str]:
+    named = [child.count_as] if child.count_as else []
+    held = [child.held_as] if child.held_as else []
+    return named + list(child.aggs) + held + [child.into]
+
+
 def nest(
     parent: DataFrame,
     on: str | Sequence[str],
     children: Sequence[Child],
-    max_items: int | None = DEFAULT_MAX_ITEMS,
-    hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
+    page_size: int | None = PAGE_SIZE,
     one_per_key: bool = False,
 ) -> DataFrame:
     """Documents: parent columns, then per child its count, aggregates and
     sorted list, then ``part`` and ``parts``.
 
     Children whose key has no parent are not in any document (see
-    ``joins.orphans`` for the report). ``max_items=None`` turns splitting off
-    (every parent one document, however large). ``one_per_key`` keeps one
-    parent row per key, the smallest (``joins.first_per_key``), as the
-    reference keeps one; its aggregate shares the join's key partitioning.
+    ``joins.orphans`` for the report). ``one_per_key`` keeps one parent row per
+    key, the smallest (``joins.first_per_key``), as the reference keeps one;
+    its aggregate shares the join's key partitioning.
     """
     parent_keys = _keys(on)
     if one_per_key:
@@ -193,86 +164,43 @@ def nest(
         parent = first_per_key(parent, parent_keys, [])
     # Joins run on reserved key columns so child fields may reuse key names.
     keys = [f"__k{i}" for i in range(len(parent_keys))]
-    out_cols = list(parent.columns)
-    parent = parent.withColumns({k: F.col(src) for k, src in zip(keys, parent_keys)})
-    collected = _collect_all(children, keys, max_items, hot_broadcast_rows)
-    for col in collected:
-        ch = col.child
-        out_cols += ([ch.count_as] if ch.count_as else []) + list(ch.aggs) + [ch.into]
-
-    if all(col.n_hot == 0 for col in collected):
-        docs = parent
-        for col in collected:
-            docs = docs.join(col.lists, keys, "left")
-            docs = _fill(docs, col.child, col.lists.schema[col.child.into].dataType)
-        docs = docs.withColumns({PART: F.lit(0), PARTS: F.lit(1)})
-        return docs.select(*out_cols, PART, PARTS)
-
-    # Some parent is hot: whole-parent totals first (one row per key).
-    docs = parent
-    for col in collected:
-        if col.stats is not None:
-            docs = docs.join(col.stats, keys, "left")
-        elif col.n_hot == 0 and (col.child.count_as or col.child.aggs):
-            stats_cols = ([col.child.count_as] if col.child.count_as else []) + list(col.child.aggs)
-            docs = docs.join(col.lists.select(*keys, *stats_cols), keys, "left")
-    docs = _split_parts(docs, keys, collected, hot_broadcast_rows)
-    return docs.select(*out_cols, PART, PARTS)
-
-
-def _split_parts(
-    docs: DataFrame, keys: list[str], collected: list[_Collected], hot_broadcast_rows: int
-) -> DataFrame:
-    """Repeat each parent row once per part, then join every child's lists on
-    (key, part), so a hot key's parts land in different tasks."""
-    hot_tables = [col.hot for col in collected if col.n_hot > 0]
-    parts = hot_tables[0]
-    for extra in hot_tables[1:]:
-        parts = parts.unionByName(extra)
-    parts = parts.groupBy(*keys).agg(F.max("__parts").alias("__parts"))
-    total = Size(sum(col.n_hot for col in collected), sum(col.hot_bytes for col in collected))
-    side = F.broadcast(parts) if total.broadcastable(hot_broadcast_rows, HOT_BROADCAST_BYTES) else parts
-    docs = docs.join(side, keys, "left").withColumn(
-        "__parts", F.coalesce(F.col("__parts"), F.lit(1))
-    )
+    out = [*parent.columns, *(c for ch in children for c in _out_columns(ch))]
+    docs = parent.withColumns({k: F.col(src) for k, src in zip(keys, parent_keys)})
+    prepared = [(ch, _prepared(ch, keys)) for ch in children]
+    if page_size is None:
+        for ch, c in prepared:
+            lists = c.groupBy(*keys).agg(*_list_exprs(ch, _item(ch)), *_stat_exprs(ch))
+            docs = _filled(docs.join(lists, keys, "left"), ch, lists.schema[ch.into].dataType)
+        return docs.select(*out, F.lit(0).alias(PART), F.lit(1).alias(PARTS))
+
+    paged = [(ch, *_paged(ch, c, keys, page_size)) for ch, c in prepared]
+    docs = docs.withColumn("__parts", F.lit(1))
+    for _, totals, _ in paged:
+        docs = docs.join(totals, keys, "left").withColumn("__parts", F.greatest("__parts", "__pages")).drop("__pages")
     docs = docs.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    for col in collected:
-        ch = col.child
-        if col.n_hot > 0:
-            lists = col.lists
-        else:
-            lists = col.lists.select(*keys, ch.into).withColumn("__part", F.lit(0))
-        docs = docs.join(lists, [*keys, "__part"], "left")
-        docs = _fill(docs, ch, col.lists.schema[ch.into].dataType)
-    return docs.withColumnsRenamed({"__part": PART, "__parts": PARTS})
-
-
-def group_documents(
-    child: Child,
-    max_items: int | None = DEFAULT_MAX_ITEMS,
-    hot_broadcast_rows: int = HOT_BROADCAST_ROWS,
-) -> DataFrame:
-    """One document per group of ``child.on``: the key columns, the group's
-    count and aggregates, its sorted list, ``part`` and ``parts``.
+    for ch, _, lists in paged:
+        docs = _filled(docs.join(lists, [*keys, "__part"], "left"), ch, lists.schema[ch.into].dataType)
+    return docs.select(*out, F.col("__part").alias(PART), F.col("__parts").alias(PARTS))
 
-    The groups are the parents, so there is no parent table to join: without
-    hot keys this is a single aggregation. A null key is one group of its own
-    (the key is carried as one struct, which joins to itself when a hot group
-    is split).
+
+def group_documents(child: Child, page_size: int | None = PAGE_SIZE) -> DataFrame:
+    """Documents per group of ``child.on``: the key columns, the group's count
+    and aggregates, its sorted list, ``part`` and ``parts``.
+
+    The groups are the parents, so there is no parent table to join. A null
+    key is one group of its own (the key is carried as one struct, which joins
+    to itself).
     """
-    src_keys = _keys(child.on)
-    key = "__k0"
-    keyed = child.df.withColumn(key, F.struct(*[F.col(k) for k in src_keys]))
-    inner = Child(keyed, key, child.into, child.fields, child.count_as, child.aggs, child.fill, child.weight)
-    col = _collect_all([inner], [key], max_items, hot_broadcast_rows)[0]
-    stat_cols = ([child.count_as] if child.count_as else []) + list(child.aggs)
-    key_cols = [F.col(f"{key}.{k}").alias(k) for k in src_keys]
-    if col.n_hot == 0:
-        docs = col.lists.withColumns({PART: F.lit(0), PARTS: F.lit(1)})
-    else:
-        parent = col.stats if col.stats is not None else keyed.select(key).distinct()
-        docs = _split_parts(parent, [key], [col], hot_broadcast_rows)
-    return docs.select(*key_cols, *stat_cols, child.into, PART, PARTS)
+    source, key = _keys(child.on), "__k0"
+    keyed = child.df.withColumn(key, F.struct(*[F.col(k) for k in source]))
+    inner = replace(child, df=keyed, on=key)
+    names = [F.col(f"{key}.{k}").alias(k) for k in source]
+    if page_size is None:
+        docs = keyed.groupBy(key).agg(*_list_exprs(inner, _item(inner)), *_stat_exprs(inner))
+        return docs.select(*names, *_out_columns(child), F.lit(0).alias(PART), F.lit(1).alias(PARTS))
+    totals, lists = _paged(inner, keyed, [key], page_size)
+    docs = lists.join(totals, key)
+    return docs.select(*names, *_out_columns(child), F.col("__part").alias(PART), F.col("__pages").alias(PARTS))
 
 
 def list_total(

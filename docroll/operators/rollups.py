@@ -20,8 +20,7 @@ from docroll.functions.scalars import (
     REFERENCE_BUCKET_THRESHOLDS,
     REFERENCE_CUTOFF,
     bucket,
-    cents,
-    money_sum,
+    exact_sum,
     ts_literal,
 )
 
@@ -40,7 +39,7 @@ def order_rollup(
     ``reduceByKey``). Output: order_key, *order_cols, total, n_lines.
     """
     stats = lines.groupBy(F.col(line_order_key).alias(order_key)).agg(
-        money_sum(amount).alias("total"),
+        exact_sum(lines, amount).alias("total"),
         F.count(F.lit(1)).alias("n_lines"),
     )
     wanted = [order_key, *[c for c in order_cols if c != order_key]]
@@ -72,9 +71,7 @@ def customer_rollup(
     stats = (
         orders_rolled.groupBy(F.col(order_customer_key).alias(customer_key))
         .agg(
-            (F.sum(F.when(after, cents(total_col)).otherwise(F.lit(0))) / F.lit(100.0)).alias(
-                "total"
-            ),
+            exact_sum(orders_rolled, total_col, where=after).alias("total"),
             F.count(F.lit(1)).alias("n_orders"),
             F.max(total_col).alias("max"),
         )

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from docroll.functions.scalars import (
     REFERENCE_BUCKET_THRESHOLDS,
-    cents,
     doc_json,
     java_date_text,
     parse_ts,
 )
-from docroll.operators.joins import first_per_key, key_match_counts, orphan_reports
+from docroll.operators.joins import first_per_key, key_match_counts, orphans
 from docroll.operators.keyed import (
     combine_mean,
     count_by,
@@ -34,11 +33,12 @@ from docroll.operators.nest import list_total
 from docroll.operators.rollups import bucket_counts, sorted_head
 from docroll.plans import documents as D
 from docroll.plans import sql_text as S
+from docroll.plans.columns import LAYOUT_COLUMNS
 from docroll.session import scratch_path
-from docroll.sinks.documents import flat_docs, read_docs, string_docs, write_docs
+from docroll.sinks.documents import flat_docs, read_docs, string_docs, string_map_docs, write_docs
 from docroll.sources.delimited import read_delimited, write_delimited
 from docroll.sources.json_files import read_json_table
-from docroll.sources.schemas import layout_of
+from docroll.sources.schemas import LAYOUTS, layout_of, text_keyed
 from docroll.sources.search import search
 from docroll.sources.tables import table
 
@@ -99,6 +99,13 @@ _ROLLED_CUSTOMERS = f"""
   JOIN customer c ON c.c_custkey = s.o_custkey"""
 
 
+# The reference's statements join first and count then; so do the oracles.
+_RIGHT_JOIN = """
+SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, o.o_orderpriority, COUNT(*) AS n
+FROM customer c RIGHT JOIN orders o ON c.c_custkey = o.o_custkey
+GROUP BY c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, o.o_orderpriority"""
+
+
 # 1. Rollups (README job) ---------------------------------------------------
 
 @register("order_rollup", f"""
@@ -138,7 +145,8 @@ def order_top100_q(spark, d):
 # 2. Nesting -----------------------------------------------------------------
 
 def _line_cents(x):
-    return cents(x["amount"])
+    """An amount of the driver's tables in whole cents, for exact check sums."""
+    return F.round(x["amount"] * 100).cast("long")
 
 
 @register("nest_orders_lines", f"""
@@ -244,10 +252,10 @@ def nest_customer_rollup_q(spark, d):
     return _rollup_doc_summary(_rollup_docs(spark, d))
 
 
-def _rollup_docs(spark, d, check_hot=True):
+def _rollup_docs(spark, d):
     ro = _orders_rolled(spark, d)
     rc = D.rolled_customers(ro, _t(spark, d, "customer"), CUTOFF, THRESHOLDS)
-    return D.rollup_documents(rc, ro, _t(spark, d, "events"), max_items=None if not check_hot else D.DEFAULT_MAX_ITEMS)
+    return D.rollup_documents(rc, ro, _t(spark, d, "events"))
 
 
 def _rollup_doc_summary(docs: DataFrame) -> DataFrame:
@@ -272,10 +280,10 @@ SELECT g.c_name AS customer_name, MIN(g.c_nationkey) AS customer_siren,
        CAST(COUNT(*) AS BIGINT) AS n_descriptions,
        MIN(g.o_orderpriority) AS first_desc, MAX(g.o_orderpriority) AS last_desc,
        CAST(SUM(LENGTH(g.o_orderpriority)) AS BIGINT) AS desc_chars
-FROM ({S.RIGHT_JOIN_GROUPS}) g
+FROM ({_RIGHT_JOIN}) g
 GROUP BY g.c_name""")
 def nest_from_join_q(spark, d):
-    docs = D.names_with_descriptions(S.right_join_count(spark, d))
+    docs = D.names_with_descriptions(_right_join(spark, d))
     per_part = docs.select(
         F.col("customerName").alias("customer_name"),
         F.col("customerSiren").alias("customer_siren"),
@@ -320,16 +328,115 @@ def nest_json_text_q(spark, d):
     return docs.select(F.col("id").alias("o_orderkey"), "part", doc_json(doc).alias("doc"))
 
 
+PAGES_OF = 3
+
+_LINE_ORDER = ", ".join(["l_linenumber", "l_partkey", "l_suppkey", "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"])
+
+
+@register("nest_json_pages", f"""
+WITH placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber % 64, {_LINE_ORDER}) - 1) // {PAGES_OF} AS page
+  FROM lineitem),
+pages AS (
+  SELECT l_orderkey, page,
+         list(struct_pack(id := l_linenumber, partId := l_partkey, suppId := l_suppkey,
+                          orderId := l_orderkey, quantity := l_quantity, amount := l_extendedprice,
+                          returnFlag := l_returnflag, lineStatus := l_linestatus)
+              ORDER BY {_LINE_ORDER}) AS lines
+  FROM placed GROUP BY l_orderkey, page),
+totals AS ({_ORDER_CENTS})
+SELECT o.o_orderkey AS o_orderkey, CAST(COALESCE(p.page, 0) AS INTEGER) AS part,
+       to_json(struct_pack(id := o.o_orderkey, customerId := o.o_custkey,
+                           lineCount := COALESCE(x.n_lines, 0),
+                           orderAmount := CAST(COALESCE(x.cents, 0) AS DOUBLE) / 100,
+                           orderLines := COALESCE(p.lines, [])))::VARCHAR AS doc
+FROM orders o LEFT JOIN pages p ON p.l_orderkey = o.o_orderkey LEFT JOIN totals x ON x.l_orderkey = o.o_orderkey""")
+def nest_json_pages_q(spark, d):
+    """Order documents in pages of three lines, so that most orders have several."""
+    docs = D.order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem"), page_size=PAGES_OF)
+    doc = F.struct("id", "customerId", "lineCount", "orderAmount", "orderLines")
+    return docs.select(F.col("id").alias("o_orderkey"), "part", doc_json(doc).alias("doc"))
+
+
+@register("nest_customer_json", """
+WITH o AS (
+  SELECT o_custkey, COUNT(*) AS n,
+         list(struct_pack(id := o_orderkey, customerId := o_custkey, orderDescription := o_orderpriority,
+                          createDate := strftime(o_orderdate, '%a %b %d %H:%M:%S UTC %Y'))
+              ORDER BY o_orderkey, o_orderpriority, o_orderdate) AS items
+  FROM orders GROUP BY o_custkey),
+e AS (
+  SELECT user_id, COUNT(*) AS n,
+         list(struct_pack(id := event_id, customerId := user_id, type := event_type, value := value)
+              ORDER BY event_id, event_type) AS items
+  FROM events GROUP BY user_id)
+SELECT c.c_custkey AS c_custkey,
+       to_json(struct_pack(id := c.c_custkey, name := c.c_name, catchPhrase := c.c_mktsegment, siren := c.c_nationkey,
+                           contactCount := COALESCE(e.n, 0), contacts := COALESCE(e.items, []),
+                           orderCount := COALESCE(o.n, 0), orders := COALESCE(o.items, [])))::VARCHAR AS doc
+FROM customer c LEFT JOIN o ON o.o_custkey = c.c_custkey LEFT JOIN e ON e.user_id = c.c_custkey""")
+def nest_customer_json_q(spark, d):
+    """Each customer document (header, contacts, orders) as JSON text; the
+    contacts' times are left out, since JSON writers print them differently."""
+    docs = D.customer_documents(_t(spark, d, "customer"), _t(spark, d, "orders"), _t(spark, d, "events").drop("ts"))
+    names = ("id", "name", "catchPhrase", "siren", "contactCount", "contacts", "orderCount", "orders")
+    return docs.select(F.col("id").alias("c_custkey"), doc_json(F.struct(*names)).alias("doc"))
+
+
 # 3. SQL jobs -----------------------------------------------------------------
 
-@register("sql_inner_join_sum", S.INNER_JOIN_SUM)
+def _right_join(spark, d, **how):
+    return S.right_join_count(_t(spark, d, "customer"), _t(spark, d, "orders"), **how)
+
+
+def _from_json(spark, d, name):
+    """A table written as JSON lines and read back with its schema inferred."""
+    path = scratch_path(spark, f"{name}-json")
+    write_docs(_t(spark, d, name), path, fmt="json")
+    return read_json_table(spark, path)
+
+
+@register("sql_inner_join_sum", """
+SELECT c.c_name, CAST(SUM(CAST(o.o_totalprice AS DECIMAL(28, 4))) AS DOUBLE) AS amount
+FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_name""")
 def sql_inner_join_sum_q(spark, d):
-    return S.inner_join_sum(spark, d)
+    return S.inner_join_sum(_t(spark, d, "customer"), _t(spark, d, "orders"))
 
 
-@register("sql_right_join_count", S.RIGHT_JOIN_COUNT)
+@register("sql_right_join_count", f"{_RIGHT_JOIN} ORDER BY c_name NULLS FIRST, c_custkey NULLS FIRST, o_orderpriority NULLS FIRST")
 def sql_right_join_count_q(spark, d):
-    return S.right_join_count(spark, d, ordered=True)
+    return _right_join(spark, d, ordered=True)
+
+
+@register("sql_right_join_unmatched", """
+SELECT e.user_id AS c_custkey, e.event_type AS c_name, e.w AS c_nationkey, e.t AS c_mktsegment,
+       c.c_mktsegment AS o_orderpriority, COUNT(*) AS n
+FROM (SELECT *, CAST(event_id % 3 AS INTEGER) AS w, 'event' AS t FROM events) e
+RIGHT JOIN customer c ON e.user_id = c.c_custkey
+GROUP BY e.user_id, e.event_type, e.w, e.t, c.c_mktsegment""")
+def sql_right_join_unmatched_q(spark, d):
+    """The right join where many rows on its right have no partner: customers
+    without an event stay, under nulls."""
+    events = _t(spark, d, "events").select(
+        F.col("user_id").alias("c_custkey"), F.col("event_type").alias("c_name"),
+        (F.col("event_id") - F.floor(F.col("event_id") / 3) * 3).cast("int").alias("c_nationkey"), F.lit("event").alias("c_mktsegment"),
+    )
+    people = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("o_orderpriority"))
+    return S.right_join_count(events, people)
+
+
+@register("sql_json_nested", f"""
+SELECT g.c_name AS customer_name, MIN(g.c_nationkey) AS customer_siren, COUNT(*) AS n_descriptions,
+       string_agg(g.o_orderpriority, ',' ORDER BY g.o_orderpriority, g.c_custkey) AS descriptions
+FROM ({_RIGHT_JOIN}) g GROUP BY g.c_name""")
+def sql_json_nested_q(spark, d):
+    """JSON tables -> SQL right join and count -> one document per name."""
+    docs = D.names_with_descriptions(S.right_join_count(_from_json(spark, d, "customer"), _from_json(spark, d, "orders")), page_size=None)
+    return docs.select(
+        F.col("customerName").alias("customer_name"), F.col("customerSiren").cast("int").alias("customer_siren"),
+        F.size("orderList").cast("long").alias("n_descriptions"),
+        F.array_join(F.transform("orderList", lambda x: x["desc"]), ",").alias("descriptions"),
+    )
 
 
 # 4. Key checks ----------------------------------------------------------------
@@ -348,22 +455,16 @@ SELECT 'order_without_lines', o.o_orderkey FROM orders o
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def orphan_report_q(spark, d):
     c, o, l, e = (_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events"))
-    reports = orphan_reports([
-        (l, o, "l_orderkey", "o_orderkey"),
-        (o, c, "o_custkey", "c_custkey"),
-        (e, c, "user_id", "c_custkey"),
+    checks = [
+        ("line_without_order", l, o, "l_orderkey", "o_orderkey", "l_orderkey"),
+        ("order_without_customer", o, c, "o_custkey", "c_custkey", "o_orderkey"),
+        ("contact_without_customer", e, c, "user_id", "c_custkey", "event_id"),
         # Parents the rollup drops: an order needs a line to be rolled up.
-        (o, l, "o_orderkey", "l_orderkey"),
-    ])
-    kinds = [
-        ("line_without_order", "l_orderkey"),
-        ("order_without_customer", "o_orderkey"),
-        ("contact_without_customer", "event_id"),
-        ("order_without_lines", "o_orderkey"),
+        ("order_without_lines", o, l, "o_orderkey", "l_orderkey", "o_orderkey"),
     ]
     out = None
-    for rep, (kind, key) in zip(reports, kinds):
-        part = rep.select(F.lit(kind).alias("kind"), F.col(key).alias("child_key"))
+    for kind, child, parent, child_on, parent_on, key in checks:
+        part = orphans(child, parent, child_on, parent_on).select(F.lit(kind).alias("kind"), F.col(key).alias("child_key"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -388,6 +489,21 @@ def key_text_vs_int_q(spark, d):
     return key_match_counts(_t(spark, d, "orders"), padded, "o_custkey", "key")
 
 
+@register("text_key_nest", """
+SELECT lpad(CAST(c.c_custkey AS VARCHAR), 6, '0') AS id, c.c_name AS name, COUNT(o.o_orderkey) AS n_orders
+FROM customer c LEFT JOIN orders o ON lpad(CAST(c.c_custkey AS VARCHAR), 6, '0') = CAST(o.o_custkey AS VARCHAR)
+GROUP BY c.c_custkey, c.c_name""")
+def text_key_nest_q(spark, d):
+    """Customer documents whose keys stay text: '000123' and '123' do not match."""
+    people, orders, contacts = (scratch_path(spark, f"text-key-{n}") for n in ("customer", "orders", "events"))
+    write_delimited(_t(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("k"), "c_name", "c_mktsegment", "c_nationkey"), people)
+    write_delimited(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), orders)
+    write_delimited(_t(spark, d, "events").select("event_id", "user_id", *[F.lit("").alias(f"x{i}") for i in range(5)]), contacts)
+    read = lambda path, name: read_delimited(spark, path, text_keyed(LAYOUTS[name]))
+    docs = D.customer_documents(read(people, "customer_join"), read(orders, "order_short"), read(contacts, "contact"), page_size=None, columns=LAYOUT_COLUMNS)
+    return docs.select("id", "name", F.col("orderCount").alias("n_orders"))
+
+
 # 5. Nested records and small keyed aggregates --------------------------------
 
 @register("count_by_struct", """
@@ -412,7 +528,8 @@ SELECT c.c_custkey AS customerId, c.c_name AS name, o.o_orderkey AS orderId,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey""")
 def nested_path_project_q(spark, d):
     l, o, c = (_t(spark, d, n) for n in ("lineitem", "orders", "customer"))
-    rec = l.join(o, l.l_orderkey == o.o_orderkey).join(c, c.c_custkey == o.o_custkey).select(
+    # the narrow tables first: lines move once, on the order key
+    rec = o.join(c, c.c_custkey == o.o_custkey).join(l, l.l_orderkey == o.o_orderkey).select(
         F.struct(
             F.col("c_custkey").alias("customerId"),
             F.col("c_name").alias("name"),
@@ -505,6 +622,19 @@ def search_count_q(spark, d):
     return counted.withColumn("message", F.format_string("Number of hits: %d", F.col("n")))
 
 
+@register("search_nested", f"""
+SELECT o.o_orderkey AS id, COUNT(*) FILTER (WHERE CAST(l.l_linenumber AS VARCHAR) = '7') AS n_seventh
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey
+HAVING bool_or(CAST(l.l_linenumber AS VARCHAR) = '7' OR CAST(l.l_quantity AS VARCHAR) LIKE '7.%' OR CAST(l.l_quantity AS VARCHAR) LIKE '%.7')
+""")
+def search_nested_q(spark, d):
+    """A number searched for in the items of nested lists."""
+    docs = D.order_documents(_t(spark, d, "orders"), _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.lit(0.5).alias("l_extendedprice")))
+    found = search(docs.select("id", F.transform("orderLines", lambda x: F.struct(x["id"].alias("id"), x["quantity"].alias("quantity"))).alias("orderLines")), "7", columns=["orderLines"])
+    return found.select("id", F.size(F.filter("orderLines", lambda x: x["id"] == 7)).cast("long").alias("n_seventh"))
+
+
 # 7. Scans ----------------------------------------------------------------------------
 
 @register("scan_delimited", "SELECT * FROM customer")
@@ -520,7 +650,16 @@ def scan_json_inferred_q(spark, d):
     src = _t(spark, d, "customer")
     path = scratch_path(spark, "customer-json")
     write_docs(src, path, fmt="json")
-    return read_json_table(spark, path, cast_to=src.schema)
+    return read_json_table(spark, path, schema=src.schema)
+
+
+@register("json_schema", """
+SELECT * FROM (VALUES (0, 'c_acctbal', 'double'), (1, 'c_custkey', 'bigint'), (2, 'c_mktsegment', 'string'),
+                      (3, 'c_name', 'string'), (4, 'c_nationkey', 'bigint')) t(position, name, type)""")
+def json_schema_q(spark, d):
+    """The schema that inference finds, read off the data."""
+    found = _from_json(spark, d, "customer")
+    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(found.schema.fields)], "position int, name string, type string")
 
 
 @register("scan_dates", """
@@ -535,12 +674,14 @@ def scan_dates_q(spark, d):
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z")).alias("text"),
     )
     parsed = o.withColumn("parsed", parse_ts("text"))
-    return parsed.withColumn("java_text", java_date_text("parsed"))
+    return parsed.withColumn("java_text", java_date_text("parsed", parsed.schema["parsed"].dataType))
 
 
-@register("scan_head", "SELECT COUNT(*) AS n FROM (SELECT * FROM orders LIMIT 100) t")
+@register("scan_head", "SELECT o_orderkey >= 0 AS is_order FROM orders LIMIT 100")
 def scan_head_q(spark, d):
-    return row_count(_t(spark, d, "orders").limit(100))
+    """Any 100 rows: which ones is open, so the check is that they are orders. The
+    limit is the plan's root (a few partitions are read)."""
+    return _t(spark, d, "orders").select((F.col("o_orderkey") >= 0).alias("is_order")).limit(100)
 
 
 # 8. Sinks (written to the shared scratch folder, read back) ---------------------
@@ -550,8 +691,61 @@ def sink_nested_roundtrip_q(spark, d):
     """The README job end to end (both document outputs), nested docs read back."""
     c, o, l, e = (_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events"))
     out = D.run_rollup_job(spark, c, o, l, e, scratch_path(spark, "rollup-job"), CUTOFF, THRESHOLDS)
-    schema = _rollup_docs(spark, d, check_hot=False).schema
-    return _rollup_doc_summary(read_docs(spark, out["customers"], schema, fmt="json"))
+    return _rollup_doc_summary(read_docs(spark, out["customers"], _rollup_docs(spark, d).schema, fmt="json"))
+
+
+@register("sink_nested_cached", ORACLE["nest_customer_rollup"])
+def sink_nested_cached_q(spark, d):
+    """The same job with its rollups cached instead of staged."""
+    c, o, l, e = (_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events"))
+    out = D.run_rollup_job(spark, c, o, l, e, scratch_path(spark, "rollup-job"), CUTOFF, THRESHOLDS, cache=True, missing="drop")
+    return _rollup_doc_summary(read_docs(spark, out["customers"], _rollup_docs(spark, d).schema, fmt="json"))
+
+
+def _as_layouts(spark, d) -> dict[str, DataFrame]:
+    """The driver's tables written as delimited text in the README job's layouts, and read back."""
+    blank = lambda n: [F.lit("").alias(f"x{i}") for i in range(n)]
+    texts = {
+        "customer_join": _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"),
+        "order_rollup": _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"),
+        "order_line_rollup": _t(spark, d, "lineitem").select("l_linenumber", "l_orderkey", *blank(5), "l_extendedprice"),
+        "contact_typed": _t(spark, d, "events").select("event_id", "user_id", *blank(5), "event_type"),
+    }
+    out = {}
+    for name, df in texts.items():
+        path = scratch_path(spark, f"text-{name}")
+        write_delimited(df, path)
+        out[name] = read_delimited(spark, path, LAYOUTS[name])
+    return out
+
+
+@register("job_from_text", ORACLE["nest_customer_rollup"])
+def job_from_text_q(spark, d):
+    """The README job from delimited files to nested documents."""
+    t = _as_layouts(spark, d)
+    out = D.run_rollup_job(
+        spark, t["customer_join"], t["order_rollup"], t["order_line_rollup"], t["contact_typed"], scratch_path(spark, "text-job"),
+        CUTOFF, THRESHOLDS, fmt="parquet", columns=LAYOUT_COLUMNS, missing="drop",
+    )
+    docs = _rollup_doc_summary(spark.read.parquet(out["customers"]))
+    return docs.withColumns({"c_custkey": F.col("c_custkey").cast("long")})
+
+
+@register("job_missing_report", """
+SELECT 'line_without_order' AS kind, CAST(l.l_linenumber AS VARCHAR) AS id FROM lineitem l
+  WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+UNION ALL
+SELECT 'order_without_customer', CAST(o.o_orderkey AS VARCHAR) FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+UNION ALL
+SELECT 'contact_without_customer', CAST(e.event_id AS VARCHAR) FROM events e
+  WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id)
+UNION ALL
+SELECT 'order_without_lines', CAST(o.o_orderkey AS VARCHAR) FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def job_missing_report_q(spark, d):
+    """Rows that the job's documents leave out, as the job reports them."""
+    return D.missing_rows(*(_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events")))
 
 
 @register("sink_flat_typed", f"""
@@ -567,10 +761,10 @@ def sink_flat_typed_q(spark, d):
 @register("sink_flat_constant", f"""
 SELECT c_custkey AS customerId, c_name AS customerName, c_nationkey AS customerSiren,
        o_orderpriority AS orderDescription, 'constant' AS test
-FROM ({S.RIGHT_JOIN_GROUPS}) g""")
+FROM ({_RIGHT_JOIN}) g""")
 def sink_flat_constant_q(spark, d):
     docs = flat_docs(
-        S.right_join_count(spark, d),
+        _right_join(spark, d),
         {"customerId": "c_custkey", "customerName": "c_name", "customerSiren": "c_nationkey",
          "orderDescription": "o_orderpriority"},
         constants={"test": "constant"},
@@ -583,12 +777,24 @@ def sink_flat_constant_q(spark, d):
 @register("sink_string_map", f"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nom, CAST(c_nationkey AS VARCHAR) AS siren,
        c_mktsegment AS slogan, CAST(n AS VARCHAR) AS totalOrder
-FROM ({S.RIGHT_JOIN_GROUPS}) g""")
+FROM ({_RIGHT_JOIN}) g""")
 def sink_string_map_q(spark, d):
     docs = string_docs(
-        S.right_join_count(spark, d),
+        _right_join(spark, d),
         {"id": "c_custkey", "nom": "c_name", "siren": "c_nationkey", "slogan": "c_mktsegment", "totalOrder": "n"},
     )
     path = scratch_path(spark, "string-docs")
     write_docs(docs, path, fmt="json")
     return read_docs(spark, path, docs.schema, fmt="json")
+
+
+@register("sink_string_map_entries", f"""
+SELECT c_custkey AS customer, o_orderpriority AS description, e.key AS key, e.value AS value
+FROM ({_RIGHT_JOIN}) g,
+  LATERAL (VALUES ('id', CAST(g.c_custkey AS VARCHAR)), ('nom', g.c_name), ('siren', CAST(g.c_nationkey AS VARCHAR)),
+                  ('totalOrder', CAST(g.n AS VARCHAR))) e(key, value)""")
+def sink_string_map_entries_q(spark, d):
+    """String-map documents, one row per entry."""
+    groups = _right_join(spark, d)
+    maps = string_map_docs(groups, {"id": "c_custkey", "nom": "c_name", "siren": "c_nationkey", "totalOrder": "n"}, keep=("c_custkey", "o_orderpriority"))
+    return maps.select(F.col("c_custkey").alias("customer"), F.col("o_orderpriority").alias("description"), F.explode(F.map_entries("doc")).alias("e")).select("customer", "description", "e.key", "e.value")

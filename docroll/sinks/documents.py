@@ -38,10 +38,14 @@ def write_docs(
 
 
 def read_docs(
-    spark: SparkSession, target: str, schema: T.StructType, fmt: str = "json"
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    fmt: str = "json",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read documents back with a known schema (no inference pass)."""
-    return spark.read.format(fmt).schema(schema).load(target)
+    return spark.read.format(fmt).options(**(options or {})).schema(schema).load(target)
 
 
 def flat_docs(
@@ -60,9 +64,11 @@ def string_docs(df: DataFrame, names: Mapping[str, Column | str]) -> DataFrame:
     return as_strings(df, names)
 
 
-def string_map_docs(df: DataFrame, names: Mapping[str, Column | str], into: str = "doc") -> DataFrame:
-    """One ``map<string,string>`` per row."""
-    return df.select(string_map(names).alias(into))
+def string_map_docs(
+    df: DataFrame, names: Mapping[str, Column | str], into: str = "doc", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One ``map<string,string>`` per row, behind the columns ``keep``."""
+    return df.select(*keep, string_map(names).alias(into))
 
 
 # Output names whose original spelling had typos (fixed name -> original).

@@ -2,7 +2,7 @@
 
 from docroll.sources.delimited import read_delimited, write_delimited
 from docroll.sources.json_files import read_json_table, schema_text
-from docroll.sources.schemas import LAYOUTS, Layout, layout_of
+from docroll.sources.schemas import LAYOUTS, Layout, layout_of, text_keyed
 from docroll.sources.search import any_field_matches, search
 from docroll.sources.tables import register_tables, table
 
@@ -17,5 +17,6 @@ __all__ = [
     "schema_text",
     "search",
     "table",
+    "text_keyed",
     "write_delimited",
 ]

@@ -4,7 +4,8 @@
 narrow, splittable scan (one task per file block, no shuffle), with the
 split and casts inside whole-stage codegen. The CSV reader is not used: it
 turns empty fields into nulls, and FAILFAST misses bad fields that column
-pruning skips.
+pruning skips. Here bad rows are found by a filter over all fields, which no
+pruning removes and which does not depend on ANSI mode.
 """
 
 from __future__ import annotations
@@ -23,31 +24,19 @@ BAD_ROW_POLICIES = ("fail", "quarantine")
 DATE_FORMAT = "yyyy-MM-dd"
 
 
-def _typed(raw: Column, dtype: T.DataType, ts_format: str, strict: bool) -> Column:
+def _typed(raw: Column, dtype: T.DataType, ts_format: str) -> Column:
+    """The field in its type; null where it does not convert."""
     if isinstance(dtype, T.StringType):
         return raw
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         fmt = DATE_FORMAT if isinstance(dtype, T.DateType) else ts_format
         head = F.substring(raw, 1, len(fmt.replace("'", "")))
-        if strict:
-            parsed = F.to_timestamp_ntz(head, F.lit(fmt))
-        else:
-            parsed = F.try_to_timestamp(head, F.lit(fmt)).cast("timestamp_ntz")
+        parsed = F.try_to_timestamp(head, F.lit(fmt)).cast("timestamp_ntz")
         if isinstance(dtype, T.TimestampNTZType):
             return parsed
         # a wall-clock time read in the session zone
         return parsed.cast("date") if isinstance(dtype, T.DateType) else parsed.cast("timestamp")
-    return raw.cast(dtype) if strict else raw.try_cast(dtype)
-
-
-def _parse(lines: DataFrame, layout: Layout, sep: str, strict: bool) -> DataFrame:
-    arr = F.split(F.col("value"), re.escape(sep), -1)
-    cols = []
-    for pos, name, _ in layout.fields:
-        dtype = layout.schema()[name].dataType
-        raw = arr.getItem(pos) if strict else F.get(arr, pos)
-        cols.append(_typed(raw, dtype, layout.ts_format, strict).alias(name))
-    return lines.select(*cols, F.col("value").alias("__line"), F.size(arr).alias("__width"))
+    return raw.try_cast(dtype)
 
 
 def read_delimited(
@@ -59,27 +48,27 @@ def read_delimited(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Rows of a delimited file in a layout.
 
-    ``on_bad='fail'``: a short row or a field that is not of its type raises
-    in the task (ANSI index and cast checks), as the reference's split/index/
-    toInt does. ``'quarantine'``: returns ``(good, bad)`` where ``bad`` holds
-    the raw ``line`` of every row that is short or has a field that does not
-    convert. Empty text stays ``''``; extra trailing fields are ignored.
+    A row is bad when it is short or has a field that is not of its type.
+    ``on_bad='fail'``: reading a bad row raises, whichever columns are asked
+    for, as the reference's split/index/toInt does. ``'quarantine'``: returns
+    ``(good, bad)`` where ``bad`` holds the raw ``line`` of every bad row. Empty
+    text stays ``''``; extra trailing fields are ignored.
     """
     if on_bad not in BAD_ROW_POLICIES:
         raise ValueError(f"on_bad must be one of {BAD_ROW_POLICIES}")
+    fields = F.split(F.col("value"), re.escape(sep), -1)
+    schema = layout.schema()
+    typed = {name: _typed(F.get(fields, pos), schema[name].dataType, layout.ts_format) for pos, name, _ in layout.fields}
+    fits = F.size(fields) >= F.lit(layout.width)
+    for _, name, kind in layout.fields:
+        if kind != "string":
+            fits = fits & typed[name].isNotNull()
     lines = spark.read.text(path)
-    names = [n for _, n, _ in layout.fields]
-    if on_bad == "fail":
-        return _parse(lines, layout, sep, strict=True).select(*names)
-    parsed = _parse(lines, layout, sep, strict=False)
-    ok = F.col("__width") >= F.lit(layout.width)
-    for _, name, t in layout.fields:
-        if t != "string":
-            ok = ok & F.col(name).isNotNull()
-    flagged = parsed.withColumn("__ok", ok)
-    good = flagged.where(F.col("__ok")).select(*names)
-    bad = flagged.where(~F.col("__ok")).select(F.col("__line").alias("line"))
-    return good, bad
+    columns = [c.alias(n) for n, c in typed.items()]
+    if on_bad == "quarantine":
+        return lines.where(fits).select(*columns), lines.where(~fits).select(F.col("value").alias("line"))
+    message = F.concat(F.lit(f"bad row for layout {layout.name}: "), F.col("value"))
+    return lines.where(F.when(fits, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).select(*columns)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:

@@ -8,7 +8,7 @@ different column positions by different jobs. A layout is a list of
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -40,6 +40,12 @@ class Layout:
         return T.StructType([T.StructField(n, _TYPES[t], True) for _, n, t in self.fields])
 
 
+def text_keyed(layout: Layout) -> Layout:
+    """The layout with its id fields kept as text, for matching keys as text."""
+    fields = tuple((p, n, "string" if n.endswith("Id") else t) for p, n, t in layout.fields)
+    return replace(layout, name=f"{layout.name}_text", fields=fields)
+
+
 def layout_of(name: str, schema: T.StructType) -> Layout:
     """A layout with one position per column of a schema, in column order."""
     back = {type(v): k for k, v in _TYPES.items()}

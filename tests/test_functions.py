@@ -8,6 +8,7 @@ from docroll.functions import (
     as_strings,
     bucket,
     doc_json,
+    exact_sum,
     java_date_text,
     money_sum,
     parse_ts,
@@ -53,7 +54,24 @@ def test_parse_ts_month_13(spark):
 
 def test_java_date_text(spark):
     df = spark.createDataFrame([(dt.datetime(2010, 1, 5, 3, 4, 5),)], T.StructType([T.StructField("t", T.TimestampNTZType())]))
-    assert df.select(java_date_text("t").alias("s")).first().s == "Tue Jan 05 03:04:05 UTC 2010"
+    text = df.select(java_date_text("t", df.schema["t"].dataType).alias("s"))
+    assert text.first().s == "Tue Jan 05 03:04:05 UTC 2010"
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        zoned = spark.sql("SELECT timestamp '2010-01-05 03:04:05 UTC' AS t")
+        assert zoned.select(java_date_text("t", zoned.schema["t"].dataType).alias("s")).first().s == "Tue Jan 05 12:04:05 JST 2010"
+        assert df.select(java_date_text("t", df.schema["t"].dataType).alias("s")).first().s == "Tue Jan 05 03:04:05 UTC 2010"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_sums_keep_small_amounts_integers_and_nan(spark):
+    df = spark.createDataFrame([(0.004, 1)] * 1000, "v double, i int")
+    got = df.agg(exact_sum(df, "v").alias("v"), exact_sum(df, "i").alias("i"), money_sum("v", 2).alias("cents"))
+    assert got.first() == (4.0, 1000, 0.0) and dict(got.dtypes)["i"] == "bigint"
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert nan.agg(money_sum("v").alias("s")).first().s != nan.agg(money_sum("v").alias("s")).first().s
+    assert nan.where("v IS NULL").agg(money_sum("v").alias("s")).first().s is None
 
 
 def test_string_forms(spark):

@@ -1,35 +1,42 @@
-"""Source-level rules for the library (not the tests or scripts)."""
+"""What holds for every registered query of the reference's operators."""
 
-import pathlib
-import re
+import os
 
-LIB = pathlib.Path(__file__).resolve().parents[1] / "docroll"
-SOURCES = {p.relative_to(LIB).as_posix(): p.read_text() for p in LIB.rglob("*.py")}
+import pytest
 
+from docroll.plans import catalog
+from docroll.session import checkpoint_dir
 
-def test_no_driver_collects_except_bounded_counts():
-    for name, text in SOURCES.items():
-        if name == "operators/counting.py":  # one row per counted input
-            continue
-        assert not re.search(r"\.collect\(\)|toPandas\(|\.toLocalIterator\(", text), name
+SMALL = "/root/testdata/sf0.001"
 
 
-def test_no_rdds_udfs_or_local_checkpoints():
-    for name, text in SOURCES.items():
-        assert not re.search(r"\.rdd\b|mapPartitions|\budf\(|pandas_udf|applyInPandas", text), name
-        assert "localCheckpoint" not in text, name
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not present")
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_no_python_rdd_or_single_task_in_the_plan(spark, name):
+    plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    # inline rows are the schema listing's only; there, rows come from Python by design
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "CartesianProduct"):
+        assert marker not in plan
+    limits = {"rollup_top100", "order_top100", "scan_head"}
+    assert ("Limit" in plan or "TakeOrdered" in plan) == (name in limits)
 
 
-def test_no_machine_local_scratch_outside_local_mode():
-    text = SOURCES["session.py"]
-    assert "tempfile.mkdtemp" in text and 'sc.master.startswith("local")' in text
+def test_a_cluster_needs_a_shared_folder(spark):
+    """A named folder wins; without one only a local master may make its own."""
 
+    class Conf:
+        def get(self, *args):
+            return None
 
-def test_registered_queries_use_whole_tables():
-    import __spark_entry__ as E
+    class Context:
+        master = "spark://somewhere:7077"
+        getConf = staticmethod(Conf)
+        getCheckpointDir = staticmethod(lambda: None)
 
-    text = SOURCES["plans/catalog.py"] + SOURCES["plans/sql_text.py"]
-    assert not re.search(r"\s%\s*\d|\bMOD\s*\(|pmod\(", text)
-    limits = [sql for sql in E.oracle_sql().values() if re.search(r"\bLIMIT\b", sql)]
-    assert len(limits) == 3  # two top-100 reports and the unsorted preview, where the limit is the feature
-    assert "sample(" not in text and "TABLESAMPLE" not in text.upper()
+    class Session:
+        sparkContext = Context
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
+    assert checkpoint_dir(spark)

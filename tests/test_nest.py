@@ -73,32 +73,44 @@ def _hot_child(spark, n_hot=23, n_cold=3):
     return spark.createDataFrame(data, "pk int, id int, amount double")
 
 
-def test_hot_parent_split_into_parts_brute_force(spark):
+def test_pages_brute_force(spark):
     child_df = _hot_child(spark)
     parent = spark.createDataFrame([(1, "hot"), (2, "cold"), (3, "none")], "pk int, name string")
     child = Child(child_df, "pk", "items", ("id", "amount"), count_as="n", aggs={"total": money_sum("amount")}, fill={"total": 0.0})
-    docs = nest(parent, "pk", [child], max_items=5).collect()
-    hot = [d for d in docs if d.pk == 1]
-    assert hot[0].parts == 5
-    assert len(hot) >= 2 and len(hot) <= 5
-    # every child lands in exactly one part; whole-parent totals on every part
-    ids = sorted(i.id for d in hot for i in d.items)
-    assert ids == list(range(23))
-    assert all(d.n == 23 and d.total == float(sum(range(23))) for d in hot)
-    assert all(len(d.items) <= 12 for d in hot)  # hash parts stay near max_items
+    docs = nest(parent, "pk", [child], page_size=5).collect()
+    hot = sorted((d for d in docs if d.pk == 1), key=lambda d: d.part)
+    # ids below 64 are buckets of their own, so pages run in id order
+    assert [[i.id for i in d.items] for d in hot] == [list(range(k, min(k + 5, 23))) for k in range(0, 23, 5)]
+    assert all((d.parts, d.n, d.total) == (5, 23, float(sum(range(23)))) for d in hot)
     cold = [d for d in docs if d.pk == 2]
     assert len(cold) == 1 and cold[0].part == 0 and cold[0].parts == 1 and len(cold[0].items) == 3
     none = [d for d in docs if d.pk == 3]
     assert len(none) == 1 and none[0].items == [] and none[0].n == 0 and none[0].total == 0.0
 
 
-def test_hot_split_with_two_children_does_not_cross(spark):
+def test_pages_depend_on_values_alone(spark):
+    parent = spark.createDataFrame([(1, "hot")], "pk int, name string")
+    rows_ = [(1, i * 37 % 1000, f"v{i}") for i in range(300)] + [(1, 5, "same")] * 40
+
+    def pages(parts):
+        df = spark.createDataFrame(rows_, "pk int, id int, v string").repartition(parts)
+        return sorted((d.part, tuple((i.id, i.v) for i in d.items)) for d in nest(parent, "pk", [Child(df, "pk", "items", ("id", "v"))], page_size=7).collect())
+
+    two, five = pages(2), pages(5)
+    assert two == five
+    assert [len(items) for _, items in two] == [7] * 48 + [4]
+    order = sorted(((r[1], r[2]) for r in rows_), key=lambda x: (x[0] % 64, x))
+    assert [sorted(order[k : k + 7]) for k in range(0, 340, 7)] == [list(items) for _, items in two]
+
+
+def test_two_children_page_side_by_side(spark):
     parent = spark.createDataFrame([(1, "hot")], "pk int, name string")
     a = Child(_hot_child(spark), "pk", "a_items", ("id",), count_as="na")
     b = Child(spark.createDataFrame([(1, 100), (1, 101)], "pk int, id int"), "pk", "b_items", ("id",), count_as="nb")
-    docs = nest(parent, "pk", [a, b], max_items=5).collect()
+    docs = nest(parent, "pk", [a, b], page_size=5).collect()
+    assert len(docs) == 5
     assert sorted(i.id for d in docs for i in d.a_items) == list(range(23))
-    assert sorted(i.id for d in docs for i in d.b_items) == [100, 101]  # once, not once per part
+    assert [[i.id for i in d.b_items] for d in sorted(docs, key=lambda d: d.part)] == [[100, 101], [], [], [], []]
     assert all(d.na == 23 and d.nb == 2 for d in docs)
 
 
@@ -113,7 +125,7 @@ def test_group_documents_null_key_and_hot_split(spark):
     assert [x.desc for x in got["A"].orderList] == ["d1", "d2"]
     assert [x.desc for x in got["B"].orderList] == ["d3", "d4"]
     assert [x.desc for x in got[None].orderList] == ["d5"]
-    split = group_documents(child, max_items=1).collect()
+    split = group_documents(child, page_size=1).collect()
     assert sorted(x.desc for r in split for x in r.orderList) == ["d1", "d2", "d3", "d4", "d5"]
     assert {r.name for r in split} == {"A", "B", None}
     assert all(r.parts == 2 for r in split if r.name in ("A", "B"))
@@ -122,19 +134,10 @@ def test_group_documents_null_key_and_hot_split(spark):
 def test_nest_without_split(spark):
     parent = spark.createDataFrame([(1, "hot")], "pk int, name string")
     child = Child(_hot_child(spark), "pk", "items", ("id",))
-    docs = nest(parent, "pk", [child], max_items=None).collect()
+    docs = nest(parent, "pk", [child], page_size=None).collect()
     assert len(docs) == 1 and len(docs[0].items) == 23
 
 
-def test_hot_split_without_broadcast_matches(spark):
-    parent = spark.createDataFrame([(1, "hot"), (2, "cold")], "pk int, name string")
-    child = Child(_hot_child(spark), "pk", "items", ("id", "amount"), count_as="n")
-    small = nest(parent, "pk", [child], max_items=5).collect()
-    shuffled = nest(parent, "pk", [child], max_items=5, hot_broadcast_rows=0).collect()
-    key = lambda rows: sorted((r.pk, r.part, tuple(i.id for i in r.items), r.n) for r in rows)
-    assert key(small) == key(shuffled)
-
-
 def test_report_policy_returns_orphans(spark):
     report = check_orphans(X.events(spark), X.customers(spark), "user_id", "c_custkey", policy="report")
     assert rows(report, "event_id") == [(103,)]
@@ -166,16 +169,57 @@ def test_run_rollup_job_cached_gives_same_documents(spark, tmp_dir):
     assert not spark.sparkContext._jsc.getPersistentRDDs()  # nothing left cached
 
 
-def test_run_rollup_job_removes_its_stage(spark, tmp_dir):
+def _job(spark, target, **how):
+    return D.run_rollup_job(spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), target, **how)
+
+
+def test_run_rollup_job_deletes_only_its_own_stage(spark, tmp_dir, monkeypatch):
     import os
 
     stage = tmp_dir + "-stage"
-    out = D.run_rollup_job(
-        spark, X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark), tmp_dir, stage_dir=stage
-    )
-    assert "orders_rolled" not in out and not os.path.exists(stage)
+    os.makedirs(stage)
+    open(f"{stage}/mine.txt", "w").close()
+    out = _job(spark, tmp_dir, stage_dir=stage)
+    assert "orders_rolled" not in out and os.listdir(stage) == ["mine.txt"]
     assert spark.read.json(out["customers"]).count() == 3
 
+    def broken(*args, **kwargs):
+        raise RuntimeError("midway")
+
+    monkeypatch.setattr(D, "rollup_documents", broken)
+    with pytest.raises(RuntimeError, match="midway"):
+        _job(spark, tmp_dir + "-2", stage_dir=stage)
+    assert os.listdir(stage) == ["mine.txt"]
+
+
+def test_run_rollup_job_modes_names_and_missing_rows(spark, tmp_dir):
+    out = _job(spark, tmp_dir, mode="append", legacy_names=True)
+    _job(spark, tmp_dir, mode="append", legacy_names=True)
+    assert spark.read.json(out["customers_flat"]).count() == 6
+    with pytest.raises(Exception, match="already exists"):
+        _job(spark, tmp_dir, mode="error")
+    missing = {(r.kind, r.id) for r in spark.read.json(out["missing"]).collect()}
+    assert missing == {("line_without_order", "1"), ("order_without_customer", "15"), ("contact_without_customer", "103"), ("order_without_lines", "16")}
+    assert "missing" not in _job(spark, tmp_dir + "-drop", missing="drop")
+    with pytest.raises(ValueError, match="partner"):
+        _job(spark, tmp_dir + "-fail", missing="fail")
+
+
+def test_nan_amounts_reach_bucket_zero(spark):
+    lines = X.lineitem(spark).selectExpr("*").withColumn("l_extendedprice", F.when(F.col("l_orderkey") == 14, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")))
+    rc = {r.c_custkey: r for r in D.rolled_customers(D.rolled_orders(X.orders(spark), lines), X.customers(spark)).collect()}
+    assert rc[3].total != rc[3].total and rc[3].bucket == 0 and rc[1].total == 3000.3
+
+
+def test_integer_amounts_stay_integers(spark):
+    lines = spark.createDataFrame([(1, 1, 3), (2, 1, 4)], "orderLineId int, orderId int, lineAmount int")
+    orders = spark.createDataFrame([(1, 7, "d"), (2, 7, "e")], "orderId int, customerId int, orderName string")
+    from docroll.plans.columns import LAYOUT_COLUMNS
+
+    docs = D.order_documents(orders, lines, columns=LAYOUT_COLUMNS)
+    assert dict(docs.dtypes)["orderAmount"] == "bigint"
+    assert sorted((r.id, r.orderAmount) for r in docs.collect()) == [(1, 7), (2, 0)]
+
 
 def test_key_match_counts_text_vs_int_with_duplicates(spark):
     from docroll.operators import key_match_counts
@@ -191,31 +235,10 @@ def test_orphans_null_keys_and_shuffled_path(spark):
     child = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (9, "d"), (9, "e")], "k int, v string")
     parent = spark.createDataFrame([(1,), (2,)], "k int")
     assert rows(orphans(child, parent, "k"), "v") == [("c",), ("d",), ("e",)]
-    assert rows(orphans(child, parent, "k", broadcast_rows=0), "v") == [("c",), ("d",), ("e",)]
     none = orphans(child.where("k = 1"), parent, "k")
     assert none.count() == 0 and none.columns == child.columns
 
 
-def test_identical_items_of_a_hot_parent_spread(spark):
-    parent = spark.createDataFrame([(1, "hot")], "pk int, name string")
-    same = spark.createDataFrame([(1, 7)] * 40, "pk int, id int").repartition(8)
-    docs = nest(parent, "pk", [Child(same, "pk", "items", ("id",), count_as="n")], max_items=10).collect()
-    assert sum(len(d.items) for d in docs) == 40 and len(docs) > 1
-
-
-def test_size_each_measures_rows_and_bytes_in_one_job(spark):
-    from docroll.operators.counting import Size, size_each
-
-    small = spark.createDataFrame([(1,), (2,)], "k bigint")
-    wide = spark.createDataFrame([("x" * 1000,)] * 3, "k string")
-    empty = spark.createDataFrame([], "k int")
-    a, b, c, d = size_each([small, wide, empty, None])
-    assert (a.rows, b.rows, c, d) == (2, 3, Size(0, 0), Size(0, 0))
-    assert 0 < a.bytes < 40 and b.bytes > 3000
-    assert Size(10, 10).broadcastable() and not Size(10, 10**9).broadcastable()
-    assert not Size(2_000_000, 10).broadcastable()
-
-
 def test_one_parent_per_key(spark):
     parent = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "pk int, name string")
     child = Child(spark.createDataFrame([(1, 10), (2, 20)], "pk int, id int"), "pk", "items", ("id",))
@@ -225,16 +248,13 @@ def test_one_parent_per_key(spark):
     assert sorted((r.pk, r.name, [i.id for i in r.items]) for r in one) == [(1, "a", [10]), (2, "c", [20])]
 
 
-def test_weighted_split_bounds_nested_size(spark):
-    # one order with 30 lines under one customer: by item count the customer
-    # document is one order, by weight it is 31 and gets split
-    orders = spark.createDataFrame([(1, 10), (1, 11)], "cust int, oid int")
-    lines = spark.createDataFrame([(10, i) for i in range(30)] + [(11, 0)], "oid int, lid int")
-    order_docs = nest(orders, "oid", [Child(lines, "oid", "lines", ("lid",))], max_items=None)
-    parent = spark.createDataFrame([(1, "c")], "cust int, name string")
-    by_count = nest(parent, "cust", [Child(order_docs, "cust", "orders", ("oid", "lines"))], max_items=5).collect()
-    weighted = nest(parent, "cust", [Child(order_docs, "cust", "orders", ("oid", "lines"),
-                                           weight=F.size("lines") + 1)], max_items=5).collect()
-    assert len(by_count) == 1
-    assert weighted[0].parts == 7  # ceil(33 / 5)
-    assert sorted(o.oid for d in weighted for o in d.orders) == [10, 11]
+@pytest.mark.parametrize("n", [50, 100, 200])
+def test_pages_of_nested_lists_grow_with_the_lines(spark, n):
+    """One customer with one order of n lines: pages grow in proportion, and none is empty."""
+    orders = X.orders(spark).where("o_orderkey = 10")
+    lines = X.lineitem(spark).where("l_orderkey = 11").drop("l_linenumber", "l_orderkey").crossJoin(spark.range(n).selectExpr("cast(id as int) as l_linenumber", "10L as l_orderkey"))
+    docs = D.three_level_documents(X.customers(spark).where("c_custkey = 1"), orders, lines, X.events(spark).where("false"), page_size=5).collect()
+    order_pages = -(-n // 5)
+    assert len(docs) == order_pages and all(d.parts == order_pages for d in docs)
+    assert all(len(d.orders) == 1 and 1 <= len(d.orders[0].orderLines) <= 5 for d in docs)
+    assert sorted(x.id for d in docs for o in d.orders for x in o.orderLines) == list(range(n))

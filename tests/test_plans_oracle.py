@@ -53,6 +53,20 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "struct<l_orderkey:bigint,l_extendedprice:double>" in text
 
 
+def test_plans_move_no_more_than_they_need(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {n: _plan(E.queries()[n](spark, SMALL)) for n in ("orphan_report", "nested_path_project", "scan_head")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one anti-join a kind, nothing counted first
+    assert plans["orphan_report"].count("LeftAnti") == 4 and plans["orphan_report"].count("FileScan") == 8
+    # lines are shuffled once, on the order key
+    assert plans["nested_path_project"].count("Exchange hashpartitioning(l_orderkey") == 1
+    assert plans["nested_path_project"].count("Exchange") == 4
+    assert "SinglePartition" not in plans["scan_head"] and "CollectLimit" in plans["scan_head"]
+
+
 def _norm(v):
     if isinstance(v, float):
         return "NaN" if math.isnan(v) else v
@@ -91,7 +105,7 @@ def test_every_query_has_an_oracle():
 
 def test_skewed_customer_is_split_and_complete(spark):
     """One customer owns a third of all orders: its list is split into
-    bounded parts; every order is in exactly one document part."""
+    pages; every order is in exactly one document."""
     from pyspark.sql import functions as F
 
     from docroll.operators import Child, nest
@@ -107,12 +121,12 @@ def test_skewed_customer_is_split_and_complete(spark):
     n_hot = skewed.where(F.col("o_custkey") == hot).count()
     assert n_hot >= n_orders // 3
     child = Child(skewed, "o_custkey", "orders", ("o_orderkey",), count_as="n")
-    docs = nest(table(spark, data, "customer"), "c_custkey", [child], max_items=1000)
+    docs = nest(table(spark, data, "customer"), "c_custkey", [child], page_size=1000)
     per_doc = docs.select("c_custkey", "part", "parts", "n", F.size("orders").alias("k")).collect()
     hot_docs = [r for r in per_doc if r.c_custkey == hot]
     assert hot_docs[0].parts == -(-n_hot // 1000)
     assert len(hot_docs) == hot_docs[0].parts
-    assert max(r.k for r in hot_docs) <= 2 * 1000
+    assert sorted(r.k for r in hot_docs)[1:] == [1000] * (len(hot_docs) - 1)
     assert sum(r.k for r in hot_docs) == n_hot and all(r.n == n_hot for r in hot_docs)
     assert sum(r.k for r in per_doc) == n_orders
     ids = docs.select(F.explode("orders.o_orderkey").alias("k")).agg(

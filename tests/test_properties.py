@@ -19,8 +19,8 @@ children_st = st.lists(
 
 
 @SETTINGS
-@given(rows=children_st, max_items=st.integers(1, 6))
-def test_nest_keeps_every_child_once(spark, rows, max_items):
+@given(rows=children_st, page_size=st.integers(1, 6))
+def test_nest_keeps_every_child_once(spark, rows, page_size):
     parent = spark.createDataFrame([(k, f"p{k}") for k in range(4)], "pk int, name string")
     child_df = spark.createDataFrame(rows, "pk int, id int, cents int")
     child = Child(
@@ -32,7 +32,7 @@ def test_nest_keeps_every_child_once(spark, rows, max_items):
         aggs={"total": money_sum("amount")},
         fill={"total": 0.0},
     )
-    docs = nest(parent, "pk", [child], max_items=max_items).collect()
+    docs = nest(parent, "pk", [child], page_size=page_size).collect()
     want = Counter(k for k, _, _ in rows if k < 4)
     got_ids = sorted((d.pk, i.id) for d in docs for i in d.items)
     assert got_ids == sorted((k, i) for k, i, _ in rows if k < 4)
@@ -40,20 +40,21 @@ def test_nest_keeps_every_child_once(spark, rows, max_items):
         assert d.n == want.get(d.pk, 0)
         assert round(d.total * 100) == sum(c for k, _, c in rows if k == d.pk)
         n = want.get(d.pk, 0)
-        assert d.parts == (-(-n // max_items) if n > max_items else 1)
+        assert d.parts == max(1, -(-n // page_size))
+        assert len(d.items) == min(page_size, n - d.part * page_size)
         assert [i.id for i in d.items] == sorted(i.id for i in d.items)
     # every parent is present (key 4 has no parent: its children are in no document)
     assert {d.pk for d in docs} == {0, 1, 2, 3}
-    assert all(sum(1 for d in docs if d.pk == k) <= max(1, -(-want.get(k, 0) // max_items)) for k in range(4))
+    assert all(sum(1 for d in docs if d.pk == k) <= max(1, -(-want.get(k, 0) // page_size)) for k in range(4))
 
 
 @SETTINGS
-@given(rows=children_st, max_items=st.integers(1, 6))
-def test_group_documents_matches_brute_force(spark, rows, max_items):
+@given(rows=children_st, page_size=st.integers(1, 6))
+def test_group_documents_matches_brute_force(spark, rows, page_size):
     df = spark.createDataFrame(rows, "pk int, id int, cents int").selectExpr(
         "CASE WHEN pk = 0 THEN NULL ELSE pk END AS pk", "id"
     )
-    docs = group_documents(Child(df, "pk", "items", ("id",), count_as="n"), max_items=max_items).collect()
+    docs = group_documents(Child(df, "pk", "items", ("id",), count_as="n"), page_size=page_size).collect()
     want = Counter(None if k == 0 else k for k, _, _ in rows)
     got = Counter()
     for d in docs:

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from docroll.plans import documents as D
 from docroll.plans import sql_text as S
 from docroll.sinks import flat_docs, read_docs, string_docs, string_map_docs, write_docs
@@ -28,20 +31,19 @@ def test_flat_and_string_documents(spark, tmp_dir):
 
 
 def test_sql_jobs_on_fixture_tables(spark, tmp_dir):
-    data = X.write_tables(spark, tmp_dir)
-    rj = S.right_join_count(spark, data, ordered=True)
+    c, o = X.customers(spark), X.orders(spark)
+    rj = S.right_join_count(c, o, ordered=True)
     got = rows(rj)
     # the order of missing customer 99 is kept with null customer fields
     assert (None, None, None, None, "d5", 1) in got
     assert (1, "anna", 10, "A", "d1", 1) in got and len(got) == 7
     assert rj.collect()[0].c_name is None  # nulls first
     # namesakes merge when grouped by name
-    assert rows(S.inner_join_sum(spark, data)) == [("anna", 1500.0), ("fred", 700.0)]
+    assert rows(S.inner_join_sum(c, o)) == [("anna", 1500.0), ("fred", 700.0)]
 
 
 def test_names_with_descriptions_keeps_all_orders(spark, tmp_dir):
-    data = X.write_tables(spark, tmp_dir)
-    docs = {r.customerName: r for r in D.names_with_descriptions(S.right_join_count(spark, data)).collect()}
+    docs = {r.customerName: r for r in D.names_with_descriptions(S.right_join_count(X.customers(spark), X.orders(spark))).collect()}
     assert [x.desc for x in docs["anna"].orderList] == ["d1", "d1", "d2", "d3"]
     assert docs["anna"].customerSiren == 10
     assert [x.desc for x in docs["fred"].orderList] == ["d3", "d4"]
@@ -78,8 +80,6 @@ def test_sql_job_over_delimited_layouts(spark, tmp_dir):
     text lines and all-string documents."""
     import os
 
-    from pyspark.sql import functions as F
-
     from docroll.sources import LAYOUTS, read_delimited
 
     def lines(name, rows):
@@ -91,12 +91,10 @@ def test_sql_job_over_delimited_layouts(spark, tmp_dir):
 
     cust = read_delimited(spark, lines("c", ["1;anna;fast;111", "2;fred;slow;222", "3;anna;calm;333"]), LAYOUTS["customer_sql"])
     orders = read_delimited(spark, lines("o", ["10;1;d1;5", "11;1;d2;7", "12;2;d3;11", "13;3;d4;2"]), LAYOUTS["order_sql"])
-    cust.createOrReplaceTempView("customers")
-    orders.createOrReplaceTempView("orders_sql")
-    req = spark.sql(
-        "SELECT c.name AS name, SUM(o.amount) AS amount FROM customers c "
-        "JOIN orders_sql o ON c.customerId = o.customerId GROUP BY c.name"
-    )
+    req = S.inner_join_sum(
+        cust.withColumnsRenamed({"customerId": "c_custkey", "name": "c_name"}),
+        orders.withColumnsRenamed({"customerId": "o_custkey", "amount": "o_totalprice"}),
+    ).withColumnRenamed("c_name", "name")
     assert dict(req.dtypes)["amount"] == "bigint"
     assert rows(req) == [("anna", 14), ("fred", 11)]
     text = rows(req.select(F.format_string("result: [%s,%d]", "name", "amount").alias("t")))
@@ -118,19 +116,18 @@ def test_car_layout_to_string_map(spark, tmp_dir):
     assert {"year": "2000", "make": "Mercury", "model": "Cougar", "desc": "", "price": "12.5"} in maps
 
 
-def test_ordered_report_reads_the_registered_derived_view(spark, tmp_dir):
-    data = X.write_tables(spark, tmp_dir)
-    ordered = S.right_join_count(spark, data, ordered=True)
-    assert spark.catalog.tableExists(S.DERIVED_VIEW)
+def test_sql_jobs_leave_the_views_of_the_session_alone(spark):
+    spark.range(3).createOrReplaceTempView("customer")
+    S.right_join_count(X.customers(spark), X.orders(spark), view="derived").collect()
+    assert spark.table("customer").count() == 3 and spark.table("derived").count() == 7
+    ordered = S.right_join_count(X.customers(spark), X.orders(spark), ordered=True)
     assert [r.c_name for r in ordered.collect()][:2] == [None, "anna"]
+    spark.catalog.dropTempView("customer")
 
 
 def test_json_sql_right_join_and_nesting(spark, tmp_dir):
     import os
 
-    from pyspark.sql import functions as F
-
-    from docroll.operators import Child, group_documents
     from docroll.sources import read_json_table
 
     def lines(name, rows):
@@ -140,22 +137,39 @@ def test_json_sql_right_join_and_nesting(spark, tmp_dir):
             fh.write("\n".join(rows) + "\n")
         return path
 
-    read_json_table(spark, lines("c", [
+    people = read_json_table(spark, lines("c", [
         '{"id": 1, "name": "anna", "siren": "111", "catchPhrase": "fast"}',
         '{"id": 2, "name": "ben", "siren": "222", "catchPhrase": "slow"}',
-    ]), name="customers_j")
-    read_json_table(spark, lines("o", [
+    ]))
+    orders = read_json_table(spark, lines("o", [
         '{"customerId": 1, "description": "d1"}', '{"customerId": 1, "description": "d2"}',
         '{"customerId": 2, "description": "d3"}', '{"customerId": 2, "description": "d4"}',
         '{"customerId": 9, "description": "d5"}',
-    ]), name="orders_j")
-    grouped = spark.sql(
-        "SELECT c.id, c.name, c.siren, c.catchPhrase, o.description, COUNT(*) AS n "
-        "FROM customers_j c RIGHT JOIN orders_j o ON c.id = o.customerId "
-        "GROUP BY c.id, c.name, c.siren, c.catchPhrase, o.description ORDER BY c.name NULLS FIRST"
+    ]))
+    grouped = S.right_join_count(
+        people.withColumnsRenamed({"id": "c_custkey", "name": "c_name", "siren": "c_nationkey", "catchPhrase": "c_mktsegment"}),
+        orders.withColumnsRenamed({"customerId": "o_custkey", "description": "o_orderpriority"}),
+        ordered=True,
     )
-    assert grouped.first().name is None and grouped.count() == 5
-    docs = group_documents(Child(grouped, "name", "orderList", (F.col("description").alias("desc"),),
-                                 aggs={"customerSiren": F.min("siren")}))
-    got = {r.name: ([x.desc for x in r.orderList], r.customerSiren) for r in docs.collect()}
+    assert grouped.first().c_name is None and grouped.count() == 5
+    got = {r.customerName: ([x.desc for x in r.orderList], r.customerSiren) for r in D.names_with_descriptions(grouped).collect()}
     assert got == {"anna": (["d1", "d2"], "111"), "ben": (["d3", "d4"], "222"), None: (["d5"], None)}
+
+
+def test_command_line_job_from_text(spark, tmp_dir):
+    from docroll.__main__ import main
+    from docroll.sources import write_delimited
+
+    c, o, l, e = X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark)
+    blank = [F.lit("").alias(f"x{i}") for i in range(5)]
+    write_delimited(c.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), f"{tmp_dir}-in/customer")
+    write_delimited(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"), f"{tmp_dir}-in/orders")
+    write_delimited(l.select("l_linenumber", "l_orderkey", *blank, "l_extendedprice"), f"{tmp_dir}-in/lineitem")
+    write_delimited(e.select("event_id", "user_id", *blank, "event_type"), f"{tmp_dir}-in/events")
+    text = main(["rollup-job", "--data", f"{tmp_dir}-in", "--target", f"{tmp_dir}-a", "--input-format", "delimited"])
+    data = X.write_tables(spark, f"{tmp_dir}-tables")
+    same = main(["rollup-job", "--data", data, "--target", f"{tmp_dir}-b"])
+    a, b = (spark.read.json(x["customers_flat"]) for x in (text, same))
+    assert rows(a) == rows(b) and a.count() == 3
+    with pytest.raises(Exception, match="already exists"):
+        main(["rollup-job", "--data", data, "--target", f"{tmp_dir}-b", "--mode", "error"])

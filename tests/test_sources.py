@@ -1,8 +1,9 @@
 import os
 
 import pytest
+from pyspark.sql import types as T
 
-from docroll.sources import LAYOUTS, any_field_matches, read_delimited, read_json_table, schema_text, search
+from docroll.sources import LAYOUTS, any_field_matches, read_delimited, read_json_table, schema_text, search, text_keyed
 from docroll.sources.schemas import layout_of
 from docroll.sources.delimited import write_delimited
 from tests.conftest import rows
@@ -37,6 +38,42 @@ def test_delimited_bad_rows_fail(spark, tmp_dir):
         read_delimited(spark, bad, LAYOUTS["customer_join"]).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_rows_fail_whatever_is_asked_for(spark, tmp_dir, ansi):
+    p = _write_lines(tmp_dir, ["1;anna;c;s", "x;bad;c;s", "3;carl;c;s"])
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = read_delimited(spark, p, LAYOUTS["customer_join"])
+        for ask in (df.count, df.select("name").collect, df.collect, lambda: df.where("name = 'anna'").count()):
+            with pytest.raises(Exception, match="bad row"):
+                ask()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_text_keys_match_as_text(spark, tmp_dir):
+    p = _write_lines(tmp_dir, ["007;bond;c;s", "7;seven;c;s"])
+    assert rows(read_delimited(spark, p, text_keyed(LAYOUTS["customer_join"])), "customerId") == [("007",), ("7",)]
+    assert rows(read_delimited(spark, p, LAYOUTS["customer_join"]), "customerId") == [(7,), (7,)]
+
+
+def test_json_schema_skips_inference_and_bad_lines_raise(spark, tmp_dir):
+    p = _write_lines(tmp_dir, ['{"id": 1, "rare": true}', '{"id": 2}'])
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("json"))
+    spark.sparkContext.setJobGroup("json", "json")
+    try:
+        known = read_json_table(spark, p, schema=T.StructType([T.StructField("id", T.IntegerType())]))
+        assert jobs() == 0
+        assert dict(read_json_table(spark, p).dtypes) == {"id": "bigint", "rare": "boolean"} and jobs() == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(known) == [(1,), (2,)]
+    bad = _write_lines(tmp_dir + "-bad", ['{"id": 1}', "not json"])
+    with pytest.raises(Exception):
+        read_json_table(spark, bad, schema=known.schema).collect()
+    assert rows(read_json_table(spark, bad, schema=known.schema, on_bad="null")) == [(1,), (None,)]
+
+
 def test_delimited_quarantine(spark, tmp_dir):
     p = _write_lines(tmp_dir, ["1;anna;c;s", "x;bad;c;s", "2;short", ' 12 ;blank;c;s', '3;"lone;c;s'])
     good, bad = read_delimited(spark, p, LAYOUTS["customer_join"], on_bad="quarantine")
@@ -77,6 +114,16 @@ def test_search_whole_word_any_case_any_field(spark):
     assert rows(search(df, "anna", columns=["b"]), "id") == [(3,)]
 
 
+def test_search_reaches_numbers_and_nested_fields(spark):
+    df = spark.createDataFrame(
+        [(1, [("Anna x", 5)], {"k": "v"}), (2, [("b", 42)], {"k": "anna"}), (3, [], None), (4, None, {})],
+        "id int, items array<struct<name:string,n:int>>, m map<string,string>",
+    )
+    assert rows(search(df, "anna"), "id") == [(1,), (2,)]
+    assert rows(search(df, "42"), "id") == [(2,)]
+    assert rows(search(df, "3"), "id") == [(3,)]
+
+
 def test_delimited_roundtrip_dates_and_timestamps(spark, tmp_dir):
     import datetime as dt
 
