@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroll.llm import langid, quality
+from docroll.llm.ann import nearest
 from docroll.llm.decontam import contaminations
 from docroll.llm.jaccard_join import jaccard_components
 from docroll.llm.line_dedup import line_digests
@@ -40,6 +41,15 @@ def real_id(column: str = "doc_key"):
     return F.when(F.col(column) != F.lit(-(1 << 63)), F.col(column))
 
 
+#: Queries of op1: ids divisible by this.
+ASKED = 20
+
+
+@register
+def op1_nn_descent(spark: SparkSession, data_dir: str) -> DataFrame:
+    return nearest(read(spark, data_dir, "embeddings"), lambda i: i % ASKED == 0, k=20)
+
+
 @register
 def op2_decontamination(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every benchmark passage found in a document, with its place and edits."""
@@ -110,7 +120,9 @@ ORACLE["op10_line_dedup"] = rf"""
 WITH {_LINES.strip()},
 keyed AS (
   SELECT doc_id, line, pos,
-         translate(regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g'),
+         translate(regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g'),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines),
 common AS (
