@@ -244,15 +244,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
     """The rows of ``docs`` (same columns) whose text contains no benchmark item."""
     for index in _slices(benchmark, q, rate):
 
-        def clean(texts: pa.Array, index=index) -> pa.Array:
-            _fold_table()
-            data, bounds = text_buffer(texts)
-            ok = np.ones(len(texts), dtype=bool)
-            for i, j in chunks(bounds):
-                for row, *_ in index.value.found(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]):
-                    ok[i + row] = False
-            return pa.array(ok)
-
-        clean.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-        docs = docs.where(F.arrow_udf(clean, "boolean")(F.col("text").cast("string")))
+        docs = docs.where(F.arrow_udf(_clean(index), "boolean")(F.col("text").cast("string")))
     return docs
+
+
+def _clean(index):
+    def clean(texts: pa.Array) -> pa.Array:
+        _fold_table()
+        data, bounds = text_buffer(texts)
+        ok = np.ones(len(texts), dtype=bool)
+        for i, j in chunks(bounds):
+            for row, *_ in index.value.found(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]):
+                ok[i + row] = False
+        return pa.array(ok)
+
+    clean.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return clean

@@ -1,0 +1,140 @@
+"""The trained operators: gradients, held-out accuracy, odd rows."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from docroll.llm import langid, quality
+from docroll.llm.sample import held_out, sample_by_class
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def network(docs):
+    return langid.fit(docs, ~held_out())
+
+
+@pytest.fixture(scope="module")
+def model(spark, docs):
+    return quality.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"), ~held_out())
+
+
+def test_held_out_fold(spark):
+    df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
+    got = {r.doc_id: r.h for r in df.select("doc_id", held_out().alias("h")).collect()}
+    assert got == {**{i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}, None: False}
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    df = spark.range(5000).selectExpr("id AS doc_id", "CASE WHEN id < 4990 THEN 'big' ELSE 'rare' END AS lang")
+    a = sample_by_class(df, "lang", "doc_id", 30).collect()
+    b = sample_by_class(df.repartition(7), "lang", "doc_id", 30).collect()
+    assert sorted(a) == sorted(b)
+    assert sum(r.lang == "big" for r in a) == 30 and sum(r.lang == "rare" for r in a) == 10
+
+
+def test_language_held_out_accuracy(docs, network):
+    got = langid.identify(docs, network).where(held_out()).select("lang", "_language.*").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_of_odd_rows(odd, nothing, network):
+    got = langid.identify(odd, network).collect()
+    for r in got:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r._language.lang_pred, r._language.score) == ("und", 0.0)
+        else:
+            assert r._language.lang_pred in network.languages
+    assert len({(r.text, r._language.lang_pred, r._language.score) for r in got}) == len({r.text for r in got})
+    kept = langid.accepted(odd, network)
+    assert kept.columns == odd.columns and 0 < kept.count() < odd.count()
+    assert langid.accepted(nothing, network).collect() == []
+    untrained = langid.fit(nothing, F.lit(True))
+    assert {r._language.lang_pred for r in langid.identify(odd, untrained).collect()} == {"und"}
+
+
+def test_every_window_counts(network):
+    """A long text's language is decided by all of it, not by its beginning."""
+    import duckdb
+
+    texts = dict(duckdb.sql(f"SELECT lang, string_agg(text, ' ') FROM (SELECT lang, text FROM '{DATA}/documents.parquet' WHERE length(text) > 2000 ORDER BY doc_id LIMIT 120) GROUP BY lang").fetchall())
+    a, b = texts["de"][:3000], texts["en"][:20000]
+    names, _ = network.predict(pa.array([a, a + b]))
+    assert names == ["de", "en"]
+
+
+def _check_gradients(params, loss, grads, names, rng):
+    for name in names:
+        p = params[name]
+        for _ in range(4):
+            at = tuple(rng.integers(0, s) for s in p.shape)
+            keep, step = p[at], 1e-3
+            p[at] = keep + step
+            up = loss()
+            p[at] = keep - step
+            down = loss()
+            p[at] = keep
+            assert abs((up - down) / (2 * step) - grads[name][at]) < 2e-3 + 0.05 * abs(grads[name][at]), name
+
+
+def test_network_gradients():
+    rng = np.random.default_rng(0)
+    net = langid.Network.fresh(["a", "b", "c"])
+    net.params = {k: v.astype(np.float64) for k, v in net.params.items()}
+    batch = rng.integers(1, 30, (6, langid.WINDOW + max(langid.WIDTHS) - 1)).astype(np.uint8)
+    label, weight = rng.integers(0, 3, 6), rng.random(6) + 0.5
+    loss = lambda: -(net.log_probabilities(batch)[np.arange(6), label] * weight).sum() / weight.sum()
+    _check_gradients(net.params, loss, net.gradients(batch, label, weight), ["out", "bias", "shift"], rng)
+
+
+def test_attention_gradients():
+    rng = np.random.default_rng(0)
+    m = quality.BagModel.fresh(3)
+    x, owner = rng.normal(size=(12, quality.N_FEATURES)) * 0.1, np.sort(rng.permutation(np.arange(12) % 4))
+    label, weight = np.array([0, 1, 1, 0.0]), np.ones(4)
+
+    def loss():
+        s = m.forward(x, owner, 4)["score"]
+        return -(label * np.log(s) + (1 - label) * np.log(1 - s)).mean()
+
+    _check_gradients(m.params, loss, m.gradients(x, owner, label, weight), list(m.params), rng)
+    a = m.forward(x, owner, 4)["a"]
+    assert np.allclose(np.bincount(owner, weights=a), 1)
+
+
+def test_quality_held_out_accuracy(spark, docs, model):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    got = quality.score_documents(docs, model).join(labels, "doc_id").where(held_out()).select("score", "quality").collect()
+    assert np.mean([(r.score >= quality.THRESHOLD) == bool(r.quality) for r in got]) > 0.95
+
+
+def test_quality_of_odd_rows(odd, nothing, model):
+    got = quality.score_documents(odd, model).collect()
+    assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
+    assert len({(r.text, r.score) for r in got}) == len({r.text for r in got})
+    assert quality.score_documents(nothing, model).collect() == []
+
+
+def test_quality_without_labels(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality.score_documents(odd, quality.fit(odd, none, F.lit(True))).collect()} == {0.5}
+    one = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (3, None), (None, 0)], "doc_id long, quality int")
+    assert {r.score for r in quality.score_documents(odd, quality.fit(odd, one, F.lit(True))).collect()} == {1.0}
+
+
+def test_passages_cover_the_whole_text():
+    text = " ".join(f"w{i}" for i in range(230)).encode()
+    x, owner = quality.passages(np.frombuffer(text + b"last", np.uint8), np.array([0, 0, len(text), len(text) + 4]))
+    assert owner.tolist() == [0, 1, 1, 1, 1, 1, 2] and not x[0].any() and x[1:].any(axis=1).all()
