@@ -12,7 +12,7 @@ sqrt(max norm^2 - norm^2), so that near in the graph means large inner product
 (unit vectors stay as they are). Every node starts with the nearest of its
 neighbours in a few orders by random-projection signs. Then NN-descent rounds, as
 Spark joins: each node's neighbours and reverse neighbours (``SAMPLE`` of either,
-new ones first) meet their vectors, pairs among them that hold a new one are
+new and old each) meet their vectors, pairs among them that hold a new one are
 scored, and every node keeps its ``DEGREE`` best. Rounds end when few edges
 change.
 
@@ -34,21 +34,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroll.llm.common import drop_stage, shuffle_partitions, stage
+from docroll.llm.common import drop_stage, mix, shuffle_partitions, stage
 
-DEGREE = 32
-SAMPLE = 20
+DEGREE = 40
+SAMPLE = 24
 ORDERS = 4
 BITS = 12
 BLOCK = 128
-ROUNDS = 6
+ROUNDS = 7
 #: Rounds end when fewer than this share of the edges is new.
 STILL = 0.01
-BEAM = 96
-EXPAND = 16
+#: Reverse edges of a node that a search follows, the nearest first.
+BACK = 48
+BEAM = 224
+EXPAND = 40
 SEARCH_ROUNDS = 12
 #: Candidates that one local join proposes for a node.
-PROPOSE = 8
+PROPOSE = 10
 
 
 def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -> tuple[DataFrame, DataFrame, DataFrame, int, float]:
@@ -160,7 +162,13 @@ def _keep_best(degree: int):
         begin = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
         rank = np.arange(len(a)) - np.repeat(begin, np.diff(np.append(begin, len(a))))
         keep = rank < degree
-        return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(s[keep]), pa.array(new[keep])], names=["a", "b", "s", "new"])
+        a, b, s, new = a[keep], b[keep], s[keep], new[keep]
+        # a node's new and old edges take turns in a fixed random order
+        order = np.lexsort((mix((a * 31 + b).view(np.uint64)), new, a))
+        begin = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (new[order][1:] != new[order][:-1])]))
+        turn = np.empty(len(a), np.int32)
+        turn[order] = np.arange(len(a)) - np.repeat(begin, np.diff(np.append(begin, len(a)))) + 1
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, s, new, turn)], names=["a", "b", "s", "new", "turn"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -182,7 +190,7 @@ def _keep_best(degree: int):
 
 def _graph_of(edges: DataFrame, degree: int) -> DataFrame:
     parts = shuffle_partitions(edges.sparkSession)
-    return edges.repartition(parts, "a").sortWithinPartitions("a", "b").mapInArrow(_keep_best(degree), "a long, b long, s float, new int")
+    return edges.repartition(parts, "a").sortWithinPartitions("a", "b").mapInArrow(_keep_best(degree), "a long, b long, s float, new int, turn int")
 
 
 def _local_join(dimension: int):
@@ -227,7 +235,7 @@ def _local_join(dimension: int):
 
 
 def neighbour_graph(packed: DataFrame, dimension: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """Staged edges (a, b, s, new) of the NN-descent graph over (node, vec)."""
+    """Staged edges (a, b, s, new, turn) of the NN-descent graph over (node, vec)."""
     parts = shuffle_partitions(packed.sparkSession)
     first = None
     for order in range(ORDERS):
@@ -238,14 +246,16 @@ def neighbour_graph(packed: DataFrame, dimension: int, degree: int = DEGREE, rou
     total = graph.count()
     for _ in range(rounds):
         worst = graph.groupBy("a").agg(F.when(F.count("*") >= degree, F.min("s")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
-        around = graph.select(F.col("a").alias("v"), F.col("b").alias("u"), "new").unionByName(graph.select(F.col("b").alias("v"), F.col("a").alias("u"), "new"))
+        sampled = graph.where(F.col("turn") <= SAMPLE)
+        back = sampled.select(F.col("b").alias("v"), F.col("a").alias("u"), "new")
         turn = F.row_number().over(Window.partitionBy("v", "new").orderBy(F.xxhash64("v", "u"), "u"))
-        chosen = around.withColumn("turn", turn).where(F.col("turn") <= SAMPLE).groupBy("v", "u").agg(F.max("new").alias("new"))
+        back = back.withColumn("turn", turn).where(F.col("turn") <= SAMPLE).drop("turn")
+        chosen = sampled.select(F.col("a").alias("v"), F.col("b").alias("u"), "new").unionByName(back).groupBy("v", "u").agg(F.max("new").alias("new"))
         known = packed.join(worst, packed["node"] == worst["a"], "left").select(F.col("node").alias("u"), "vec", F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"))
         met = chosen.join(known, "u").select("v", "u", "new", "worst", "vec")
         proposed = met.repartition(parts, "v").sortWithinPartitions("v").mapInArrow(_local_join(dimension), "a long, b long, s float")
         # an edge whose pairs have been tried is old
-        old = graph.select("a", "b", "s", F.lit(0).alias("new"))
+        old = graph.select("a", "b", "s", F.when(F.col("turn") <= SAMPLE, 0).otherwise(F.col("new")).alias("new"))
         after = stage(_graph_of(old.unionByName(proposed.withColumn("new", F.lit(1))), degree), "ann-graph")
         drop_stage(graph)
         graph = after
@@ -266,9 +276,10 @@ def _scores(width: int):
 
 def _search(queries: DataFrame, packed: DataFrame, graph: DataFrame, dimension: int) -> DataFrame:
     """Pool (a: query node, b: node, s, new: 1 while unvisited) of each query's best nodes."""
-    links = graph.select("a", "b").unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    turn = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b"))
-    links = stage(links.distinct().withColumn("turn", turn).where(F.col("turn") <= 2 * DEGREE).select(F.col("a").alias("from"), F.col("b").alias("to")), "ann-links")
+    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s")
+    turn = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
+    back = back.withColumn("turn", turn).where(F.col("turn") <= BACK).select("a", "b")
+    links = stage(graph.select("a", "b").unionByName(back).distinct().withColumnsRenamed({"a": "from", "b": "to"}), "ann-links")
     asked = queries.join(packed, "node").select(F.col("node").alias("a"), F.col("vec").alias("q_vec"))
     # a query starts at its own node and the neighbours that the graph gives it
     own = asked.select("a", F.col("a").alias("b"), F.lit(float("inf")).cast("float").alias("s"), F.lit(0).alias("new"))
