@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from docroll.session import remove_path, scratch_path
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Constants of the SplitMix64 generator, an odd base for rolling hashes.
 GOLDEN = 0x9E3779B97F4A7C15
 MIX_1 = 0xBF58476D1CE4E5B9

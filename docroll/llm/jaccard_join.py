@@ -38,9 +38,13 @@ from docroll.llm.common import GOLDEN, chunks, components, doc_key, long_column,
 WIDTH = 5
 PERCENT = 75
 #: Sets in one block of a cluster's search.
-BLOCK = 2000
+BLOCK = 500
 #: Lists longer than this many times the median are set aside for probing.
 LONG_FACTOR = 4
+#: Slices of its range that a task works on one after another, and shingles that
+#: a task packs at once.
+SLICES = 8
+PACKED = 1 << 20
 
 
 def need(n: np.ndarray | int, percent: int):
@@ -81,20 +85,40 @@ def _ids(width: int):
     return run
 
 
-def _blobs(names: list[str], parts: np.ndarray, columns: list[np.ndarray], n: int) -> pa.RecordBatch | None:
-    """One row per part: the values of each column that belong to it, packed."""
-    order = np.argsort(parts, kind="stable")
-    cut = np.searchsorted(parts[order], np.arange(n + 1))
+def _blobs(names: list[str], parts: np.ndarray, columns: list[np.ndarray], n: int) -> pa.RecordBatch:
+    """One row per part: the values of each column that belong to it, packed.
+    ``parts`` is ascending."""
+    cut = np.searchsorted(parts, np.arange(n + 1))
     full = np.flatnonzero(np.diff(cut))
-    if not len(full):
-        return None
-    packed = [pa.array([c[cut[p] : cut[p + 1]].tobytes() for p in full], pa.binary()) for c in (x[order] for x in columns)]
+    packed = [pa.array([c[cut[p] : cut[p + 1]].tobytes() for p in full], pa.binary()) for c in columns]
     return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *packed], names=["part", *names])
 
 
+def _part_of(x: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a 64-bit value: parts are equal ranges of values."""
+    return ((x >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[list[np.ndarray]]:
+    """By column, the arrays of all rows of a task, without copies."""
+    rows = [batch for batch in batches if batch.num_rows]
+    return [[np.frombuffer(x.as_buffer(), kind) for batch in rows for x in batch.column(name)] for name, kind in kinds.items()]
+
+
 def _shingle_blocks(width: int, parts: int):
+    def pack(got: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        tokens, n, sid = (np.concatenate(x) for x in zip(*got))
+        owner = np.repeat(np.arange(len(n), dtype=np.uint32), n)
+        order = np.argsort(tokens)
+        tokens, owner = tokens[order], owner[order]
+        out = _blobs(["tokens", "owner"], _part_of(tokens, parts), [tokens, owner], parts)
+        table = np.stack([sid, n.astype(np.int64)]).tobytes()
+        return pa.RecordBatch.from_arrays([*out.columns, pa.array([table] * len(out), pa.binary())], names=["part", "tokens", "owner", "sets"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # sets that this task has sent already
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
             for _, h, n, sid in _sets(batch, width):
                 if len(seen) > 1_000_000:
@@ -104,66 +128,60 @@ def _shingle_blocks(width: int, parts: int):
                     if s and s not in seen:
                         seen.add(s)
                         new[k] = True
-                keep = np.repeat(new, n)
-                tokens, owner = h[keep], np.repeat(np.cumsum(new) - 1, n)[keep].astype(np.uint32)
-                if len(tokens):
-                    at = ((tokens >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                    out = _blobs(["tokens", "owner"], at, [tokens, owner], parts)
-                    table = np.stack([sid[new], n[new].astype(np.int64)]).tobytes()
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array([table] * len(out), pa.binary())], names=["part", "tokens", "owner", "sets"])
+                if new.any():
+                    held.append((h[np.repeat(new, n)], n[new], sid[new]))
+                    size += len(held[-1][0])
+                if size >= PACKED:
+                    yield pack(held)
+                    held, size = [], 0
+        if held:
+            yield pack(held)
 
     return run
 
 
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of one part after another (the task's rows are sorted by part)."""
-    rows: list[dict] = []
-    for batch in batches:
-        for r in batch.to_pylist():
-            if rows and rows[-1]["part"] != r["part"]:
-                yield rows
-                rows = []
-            rows.append(r)
-    if rows:
-        yield rows
+def _frequencies(tokens: np.ndarray, sid: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shingles of two sets or more, with set, set size and document frequency."""
+    order = np.argsort(tokens, kind="stable")
+    t = tokens[order]
+    same = t[1:] == t[:-1]
+    more = np.zeros(len(t), dtype=bool)  # most occur once and go before the full sort
+    more[1:] |= same
+    more[:-1] |= same
+    order = order[more]
+    tokens, sid, size = tokens[order], sid[order], size[order]
+    order = np.lexsort((sid, tokens))
+    tokens, sid, size = tokens[order], sid[order], size[order]
+    new = np.ones(len(tokens), dtype=bool)  # one set may have come from several tasks
+    new[1:] = (tokens[1:] != tokens[:-1]) | (sid[1:] != sid[:-1])
+    tokens, sid, size = tokens[new], sid[new], size[new]
+    _, of, df = np.unique(tokens, return_inverse=True, return_counts=True)
+    df = df[of] if len(of) else np.zeros(0, np.int64)
+    keep = df > 1
+    return tokens[keep], sid[keep], size[keep], df[keep]
 
 
 def _shared(parts: int):
     """Document frequencies of a range of shingles; those of two sets or more go on, by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_part(batches):
-            tokens = np.concatenate([np.frombuffer(r["tokens"], np.uint64) for r in rows])
-            sid, size = [], []
-            for r in rows:
-                table = np.frombuffer(r["sets"], np.int64).reshape(2, -1)
-                owner = np.frombuffer(r["owner"], np.uint32)
-                sid.append(table[0][owner])
-                size.append(table[1][owner].astype(np.int32))
-            sid, size = np.concatenate(sid), np.concatenate(size)
-            # shingles of one row only are most; they go before the full sort
-            order = np.argsort(tokens, kind="stable")
-            t = tokens[order]
-            same = t[1:] == t[:-1]
-            more = np.zeros(len(t), dtype=bool)
-            more[1:] |= same
-            more[:-1] |= same
-            order = order[more]
-            tokens, sid, size = tokens[order], sid[order], size[order]
-            order = np.lexsort((sid, tokens))
-            tokens, sid, size = tokens[order], sid[order], size[order]
-            if not len(tokens):
-                continue
-            new = np.ones(len(tokens), dtype=bool)  # one set may have come from several tasks
-            new[1:] = (tokens[1:] != tokens[:-1]) | (sid[1:] != sid[:-1])
-            tokens, sid, size = tokens[new], sid[new], size[new]
-            begin = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-            df = np.diff(np.append(begin, len(tokens)))
-            df = np.repeat(df, df)
-            keep = df > 1
-            if keep.any():
-                at = (sid[keep].astype(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                yield _blobs(["sid", "n", "tokens", "df"], at.astype(np.int64), [sid[keep], size[keep], tokens[keep], df[keep].astype(np.int64)], parts)
+        blocks = list(zip(*_unpack(batches, {"tokens": np.uint64, "owner": np.uint32, "sets": np.int64})))
+        if not blocks:
+            return
+        lowest, highest = int(min(t[0] for t, _, _ in blocks)), int(max(t[-1] for t, _, _ in blocks))
+        edges = np.array([lowest + (highest - lowest) * i // SLICES for i in range(1, SLICES)], dtype=np.uint64)
+        cuts = [np.concatenate([[0], np.searchsorted(t, edges), [len(t)]]) for t, _, _ in blocks]
+        kept = []
+        for i in range(SLICES):
+            tokens = np.concatenate([t[c[i] : c[i + 1]] for (t, _, _), c in zip(blocks, cuts)])
+            sid = np.concatenate([s.reshape(2, -1)[0][o[c[i] : c[i + 1]]] for (_, o, s), c in zip(blocks, cuts)])
+            size = np.concatenate([s.reshape(2, -1)[1][o[c[i] : c[i + 1]]] for (_, o, s), c in zip(blocks, cuts)])
+            kept.append(_frequencies(tokens, sid, size))
+        tokens, sid, size, df = (np.concatenate(x) for x in zip(*kept))
+        if len(tokens):
+            order = np.argsort(sid.view(np.uint64), kind="stable")
+            tokens, sid, size, df = tokens[order], sid[order], size[order], df[order]
+            yield _blobs(["sid", "n", "tokens", "df"], _part_of(sid.view(np.uint64), parts), [sid, size.astype(np.int32), tokens, df.astype(np.int64)], parts)
 
     return run
 
@@ -172,17 +190,25 @@ def _survivors(percent: int):
     """Sets whose shared shingles reach their need: shared shingles (sorted) and the prefix of the rarest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_part(batches):
-            sid, n, tokens, df = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in (("sid", np.int64), ("n", np.int32), ("tokens", np.uint64), ("df", np.int64)))
-            order = np.lexsort((tokens, df, sid))
-            sid, n, tokens = sid[order], n[order].astype(np.int64), tokens[order]
-            begin = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]]))
-            count = np.diff(np.append(begin, len(sid)))
-            lack = count - need(n[begin], percent)
-            out = [(sid[b], n[b], np.sort(tokens[b : b + c]).tobytes(), tokens[b : b + d + 1].view(np.int64)) for b, c, d in zip(begin.tolist(), count.tolist(), lack.tolist()) if d >= 0]
-            for i in range(0, len(out), 2000):
-                s, m, shared, prefix = zip(*out[i : i + 2000])
-                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(m, pa.int64()), pa.array(shared, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["sid", "n", "shared", "prefix"])
+        got = _unpack(batches, {"sid": np.int64, "n": np.int32, "tokens": np.uint64, "df": np.int64})
+        if not got[0]:
+            return
+        sid, n, tokens, df = (np.concatenate(x) for x in got)
+        # a set with too few shared shingles links with nothing
+        _, of, count = np.unique(sid, return_inverse=True, return_counts=True)
+        enough = count[of] >= need(n.astype(np.int64), percent)
+        sid, n, tokens, df = sid[enough], n[enough], tokens[enough], df[enough]
+        if not len(sid):
+            return
+        order = np.lexsort((tokens, df, sid))
+        sid, n, tokens = sid[order], n[order].astype(np.int64), tokens[order]
+        begin = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]]))
+        count = np.diff(np.append(begin, len(sid)))
+        lack = count - need(n[begin], percent)
+        for i in range(0, len(begin), 1000):
+            out = [(sid[b], n[b], np.sort(tokens[b : b + c]).tobytes(), tokens[b : b + d + 1].view(np.int64)) for b, c, d in zip(begin[i : i + 1000], count[i : i + 1000], lack[i : i + 1000])]
+            s, m, shared, prefix = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(m, pa.int64()), pa.array(shared, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["sid", "n", "shared", "prefix"])
 
     return run
 
@@ -263,9 +289,9 @@ def set_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block
     texts = docs.select(F.col("text").cast("string").alias("text"))
     shared = (
         texts.mapInArrow(_shingle_blocks(width, parts), "part int, tokens binary, owner binary, sets binary")
-        .repartition(parts, "part").sortWithinPartitions("part")
+        .repartitionById(parts, "part")
         .mapInArrow(_shared(parts), "part int, sid binary, n binary, tokens binary, df binary")
-        .repartition(parts, "part").sortWithinPartitions("part")
+        .repartitionById(parts, "part")
     )
     kept = stage(shared.mapInArrow(_survivors(percent), "sid long, n long, shared binary, prefix array<long>"), "jaccard-survivors")
     # sets that meet in a prefix shingle belong to one candidate cluster
@@ -290,7 +316,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     doc_key reachable by links, itself included), copies (rows of the component)."""
     texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
     ids = stage(texts.mapInArrow(_ids(width), "doc_key long, n_shingles long, sid long"), "jaccard-ids")
-    roots = components(set_links(texts, width, percent, block), "jaccard-links")
+    # staged, so that no task runs two Python steps at once
+    roots = components(stage(set_links(texts, width, percent, block), "jaccard-found"), "jaccard-links")
     sets = ids.where("sid <> 0").groupBy("sid").agg(F.min("doc_key").alias("least"), F.count("*").alias("rows"))
     sets = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     group = stage(sets, "jaccard-sets")
