@@ -10,7 +10,8 @@ their letters); its score is the geometric mean probability, normalised.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text
 when no training row has a language. Only text (and, for training, the label)
-is read; equal texts get equal results.
+is read; equal texts get equal results (scores have six
+decimals, beyond which batches differ).
 """
 
 from __future__ import annotations
@@ -139,7 +140,7 @@ class Network:
             for k in np.flatnonzero(np.diff(bounds[i : j + 1])).tolist():
                 if ascii_letter[k] or any(c.isalpha() for c in texts[i + k].as_py()):
                     best = int(prob[k].argmax())
-                    names[i + k], scores[i + k] = self.languages[best], float(prob[k, best])
+                    names[i + k], scores[i + k] = self.languages[best], round(float(prob[k, best]), 6)
         return names, scores
 
 

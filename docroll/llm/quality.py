@@ -8,7 +8,8 @@ weighs the passages; the document is scored on its weighted representation.
 Training takes a bounded sample (``PER_CLASS`` documents of each label) in numpy;
 scoring runs over all passages of all texts. A null or empty text, or one without
 words, is one passage without content. Only text (and, for training, the label)
-is read; equal texts get equal scores. Without training rows of both labels every
+is read; equal texts get equal scores (six decimals,
+beyond which batches differ). Without training rows of both labels every
 score is the share of label 1 (0.5 without any).
 """
 
@@ -71,7 +72,8 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     size = np.maximum(pairs.sum(axis=1), 1)
     out[:, :-6] = np.sqrt(pairs / size[:, None])
     h = RollingHash(data).ranges(start, end)
-    n = np.maximum(np.bincount(of, minlength=total), 1)
+    held = np.bincount(of, minlength=total)
+    n = np.maximum(held, 1)
     order = np.lexsort((h, of))
     again = (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1])
     repeats = np.bincount(of[order][1:][again], minlength=total) / n
@@ -80,7 +82,7 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     mean = np.bincount(of, weights=length, minlength=total) / n
     spread = np.sqrt(np.maximum(np.bincount(of, weights=length * length, minlength=total) / n - mean * mean, 0))
     lines = np.bincount(byte_of, weights=data == 0x0A, minlength=total) / n
-    out[:, -6:] = np.stack([repeats, beside, np.log1p(mean), np.log1p(spread), np.minimum(lines, 1), np.log1p(n) / 4], axis=1)
+    out[:, -6:] = np.stack([repeats, beside, np.log1p(mean), np.log1p(spread), np.minimum(lines, 1), np.log1p(held) / 4], axis=1)
     return out, owner
 
 
@@ -129,7 +131,7 @@ class BagModel:
         out = np.zeros(len(texts))
         for i, j in chunks(bounds, 1 << 19):
             x, owner = passages(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
-            out[i:j] = self.forward(x, owner, j - i)["score"]
+            out[i:j] = np.round(self.forward(x, owner, j - i)["score"], 6)
         return out
 
 
