@@ -49,14 +49,16 @@ BACK = 48
 BEAM = 224
 EXPAND = 40
 SEARCH_ROUNDS = 12
+#: Nodes that every query starts at besides its own.
+ENTRIES = 8
 #: Candidates that one local join proposes for a node.
 PROPOSE = 10
 
 
-def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -> tuple[DataFrame, DataFrame, DataFrame, int, float]:
+def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -> tuple[DataFrame, DataFrame, DataFrame, int, int, float]:
     """Distinct vectors (node, v, norm2), members (node, vec_id) with up to k + 1
-    smallest ids each, queries (query_id, node), the dimension, and the largest
-    squared norm."""
+    smallest ids each, queries (query_id, node), the number of nodes, the
+    dimension, and the largest squared norm."""
     v = F.col("v")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"))
     finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -71,8 +73,8 @@ def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -
     ranked = named.select("same", "vec_id").withColumn("turn", F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
     members = stage(ranked.join(heads.select("same", "node"), "same").select("node", "vec_id"), "ann-members")
     asked = stage(named.where(query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "same").join(heads.select("same", "node"), "same").select("query_id", "node"), "ann-asked")
-    most = heads.agg(F.max("norm2")).first()[0] or 0.0
-    return heads.select("node", "v", "norm2"), members, asked, dimension, float(most)
+    count, most = heads.agg(F.count("*"), F.max("norm2")).first()
+    return heads.select("node", "v", "norm2"), members, asked, count, dimension, float(most or 0.0)
 
 
 def _pack(most: float):
@@ -234,13 +236,14 @@ def _local_join(dimension: int):
     return run
 
 
-def neighbour_graph(packed: DataFrame, dimension: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(packed: DataFrame, count: int, dimension: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """Staged edges (a, b, s, new, turn) of the NN-descent graph over (node, vec)."""
     parts = shuffle_partitions(packed.sparkSession)
+    ranges = max(1, min(parts, count // (4 * BLOCK)))  # of some blocks at least
     first = None
     for order in range(ORDERS):
         coded = packed.mapInArrow(_codes(order, dimension), "node long, vec binary, code long, along double")
-        edges = coded.repartitionByRange(parts, "code", "along").sortWithinPartitions("code", "along").select("node", "vec").mapInArrow(_blocks(dimension), "a long, b long, s float")
+        edges = coded.repartitionByRange(ranges, "code", "along").sortWithinPartitions("code", "along").select("node", "vec").mapInArrow(_blocks(dimension), "a long, b long, s float")
         first = edges if first is None else first.unionByName(edges)
     graph = stage(_graph_of(first.withColumn("new", F.lit(1)), degree), "ann-graph")
     total = graph.count()
@@ -265,10 +268,12 @@ def neighbour_graph(packed: DataFrame, dimension: int, degree: int = DEGREE, rou
 
 
 def _scores(width: int):
+    """Inner products of queries and nodes, without the extra component."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                s = np.einsum("ij,ij->i", _matrix(batch.column("q_vec"), width), _matrix(batch.column("vec"), width))
+                s = np.einsum("ij,ij->i", _matrix(batch.column("q_vec"), width)[:, :-1], _matrix(batch.column("vec"), width)[:, :-1])
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(s)], names=["a", "b", "s"])
 
     return run
@@ -281,10 +286,20 @@ def _search(queries: DataFrame, packed: DataFrame, graph: DataFrame, dimension:
     back = back.withColumn("turn", turn).where(F.col("turn") <= BACK).select("a", "b")
     links = stage(graph.select("a", "b").unionByName(back).distinct().withColumnsRenamed({"a": "from", "b": "to"}), "ann-links")
     asked = queries.join(packed, "node").select(F.col("node").alias("a"), F.col("vec").alias("q_vec"))
-    # a query starts at its own node and the neighbours that the graph gives it
-    own = asked.select("a", F.col("a").alias("b"), F.lit(float("inf")).cast("float").alias("s"), F.lit(0).alias("new"))
-    near = graph.join(asked.select("a"), "a").select("a", "b", "s", F.lit(1).alias("new"))
-    pool = stage(own.unionByName(near), "ann-pool")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(packed.withColumnRenamed("node", "b"), "b").join(asked, "a")
+        return met.select("a", "b", "q_vec", "vec").mapInArrow(_scores(dimension + 1), "a long, b long, s float").withColumn("new", F.lit(1))
+
+    # a query starts at its own node, the neighbours that the graph gives it, and a
+    # few nodes that are the same for all
+    entries = [r[0] for r in packed.orderBy(F.xxhash64("node"), "node").select("node").limit(ENTRIES).collect()]
+    if not entries:
+        return graph.select("a", "b", "s", "new")
+    own = asked.select("a", F.col("a").alias("b"), F.lit(float("inf")).cast("float").alias("s"), F.lit(1).alias("new"))
+    near = graph.join(asked.select("a"), "a").select("a", "b")
+    far = asked.select("a", F.explode(F.array(*[F.lit(e) for e in entries])).alias("b"))
+    pool = stage(own.unionByName(scored(near.unionByName(far).where("a <> b").distinct())), "ann-pool")
     for _ in range(SEARCH_ROUNDS):
         order = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
         next_ = stage(pool.where("new = 1").withColumn("turn", order).where(F.col("turn") <= EXPAND).select("a", "b"), "ann-next")
@@ -292,9 +307,8 @@ def _search(queries: DataFrame, packed: DataFrame, graph: DataFrame, dimension:
             break
         seen = pool.select("a", "b")
         met = next_.join(links, next_["b"] == links["from"]).select("a", F.col("to").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-        scored = met.join(packed.withColumnRenamed("node", "b"), "b").join(asked, "a").select("a", "b", "q_vec", "vec").mapInArrow(_scores(dimension + 1), "a long, b long, s float")
         visited = pool.join(next_.withColumn("was", F.lit(0)), ["a", "b"], "left").select("a", "b", "s", F.coalesce("was", "new").alias("new"))
-        every = visited.unionByName(scored.withColumn("new", F.lit(1)))
+        every = visited.unionByName(scored(met))
         after = stage(every.withColumn("turn", order).where(F.col("turn") <= BEAM + 1).drop("turn"), "ann-pool")
         drop_stage(pool)
         drop_stage(next_)
@@ -306,9 +320,9 @@ def nearest(table: DataFrame, query, k: int = 20, id_column: str = "vec_id", vec
     """For each row of ``table`` whose id meets the condition ``query`` (a function
     of the id column): query_id, rank, vec_id, score of the ``k`` nearest others found (inner product
     in double precision, ties to the smaller id)."""
-    heads, members, asked, dimension, most = nodes(table, id_column, vector_column, k, query)
+    heads, members, asked, count, dimension, most = nodes(table, id_column, vector_column, k, query)
     packed = stage(heads.mapInArrow(_pack(most), "node long, vec binary"), "ann-packed")
-    graph = neighbour_graph(packed, dimension)
+    graph = neighbour_graph(packed, count, dimension)
     pool = _search(asked.select("node").distinct(), packed, graph, dimension)
     dot = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     vectors = heads.select("node", "v")

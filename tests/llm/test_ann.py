@@ -28,7 +28,8 @@ def brute(rows, asked, k):
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(8)
-    x = r.normal(size=(1500, DIM)).astype(np.float32) * r.uniform(0.3, 2, (1500, 1)).astype(np.float32)
+    x = r.normal(size=(1500, DIM)).astype(np.float32)
+    x *= (r.uniform(0.8, 1.2, (1500, 1)) / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     x[200:600] = x[200]  # very many copies of one vector
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     rows += [(5000, None), (5020, [0.0] * DIM), (5040, [float("nan")] * DIM), (5060, [1.0] * 3), (5080, [None] * DIM), (None, [1.0] * DIM), (5100, [float("inf")] + [0.0] * (DIM - 1)), (20, rows[20][1])]
