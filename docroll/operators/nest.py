@@ -114,13 +114,16 @@ def _paged(child: Child, c: DataFrame, keys: list[str], page_size: int) -> tuple
     c = c.withColumns({"__w": weight.cast("long"), "__item": _item(child)})
     first = c.schema["__item"].dataType.fields[0]
     c = c.withColumn("__bucket", bucket_of(F.col("__item").getField(first.name), first.dataType))
-    pages = F.ceil(F.sum("__w") / F.lit(page_size)).cast("int").alias("__pages")
-    totals = c.groupBy(*keys).agg(pages, *_stat_exprs(child))
-    sums = c.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__sum"))
+    sums = c.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__sum"), F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select(*keys, "__bucket", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__begin"))
+    begins = sums.withColumn("__begin", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)))
+    # per parent on the window's own partitioning
+    pages = F.ceil(F.max(F.col("__begin") + F.col("__sum")) / F.lit(page_size)).cast("int").alias("__pages")
+    totals = begins.groupBy(*keys).agg(pages, *([F.sum("__n").alias(child.count_as)] if child.count_as else []))
+    if child.aggs:
+        totals = totals.join(c.groupBy(*keys).agg(*[a.alias(n) for n, a in child.aggs.items()]), keys)
     upto = Window.partitionBy(*keys, "__bucket").orderBy("__item").rowsBetween(Window.unboundedPreceding, 0)
-    placed = c.select(*keys, "__bucket", "__item", "__w").join(begins, [*keys, "__bucket"])
+    placed = c.select(*keys, "__bucket", "__item", "__w").join(begins.select(*keys, "__bucket", "__begin"), [*keys, "__bucket"])
     end = F.col("__begin") + F.sum("__w").over(upto)
     placed = placed.withColumn("__part", F.floor((end - 1) / F.lit(page_size)).cast("int"))
     return totals, placed.groupBy(*keys, "__part").agg(*_list_exprs(child, F.col("__item")))
