@@ -15,11 +15,15 @@ prefix is unique leaves at once:
    is unique is unique. A run that equals an earlier one as a whole is covered.
    The first of each set of equal runs goes on if other runs have its sample
    (parts of it may match): these are the edges of repeated passages.
-2. *Prefix doubling.* All positions of those edges are ranked by their first
-   length / 4 bytes; ranks of position pairs at that offset are sorted into ranks
-   of twice the width, and again, until the width is ``length``. Each round drops
-   the positions with a unique rank. What is not the first of its final rank is
-   covered.
+2. *Wider samples.* A string reaches beyond its sample by at least half of what
+   is left of it, to the left or to the right. The samples, widened so to either
+   side, are sorted and ranked again; a string goes on only if the widened sample
+   that it holds is not unique.
+3. *Prefix doubling.* The positions of the strings that are left are ranked by
+   their first length / 4 bytes; ranks of position pairs at that offset are
+   sorted into ranks of twice the width, and again, until the width is
+   ``length``. Each round drops the positions with a unique rank. What is not the
+   first of its final rank is covered.
 
 Prefixes are compared by 64-bit hashes; a final rank joins four of them, so two
 different strings would have to agree in all four (or, for whole runs, in two).
@@ -40,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import RollingHash, chunks, doc_key, drop_stage, long_column, mix, shuffle_partitions, stage, text_buffer
+from docroll.llm.common import RollingHash, chunks, doc_key, long_column, mix, shuffle_partitions, stage, text_buffer
 
 LENGTH = 100
 SEED = 32
@@ -121,7 +125,7 @@ def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(doc, place, covered) -> pa.RecordBatch:
         at, back, more = place >> 24, (place >> 12) & 4095, place & 4095
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at - back), pa.array(at - back + more), pa.array(covered)], names=["doc_key", "first", "last", "covered"])
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at - back), pa.array(at - back + more), pa.array(at), pa.array(covered)], names=["doc_key", "first", "last", "at", "covered"])
 
     pending = None  # the last first-of-its-kind: (sample, whole, doc, place), others seen?
     open_ = False
@@ -154,8 +158,10 @@ def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(np.array([pending[2]]), np.array([pending[3]]), np.zeros(1, dtype=bool))
 
 
-def _first_ranks(length: int, width: int):
-    """Positions of the edges with the hash of their first ``width`` bytes."""
+def _wider_samples(length: int, seed: int):
+    """Hashes of each edge run's sample widened to the left and to the right (null
+    where the document ends before)."""
+    more = (length - seed) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,21 +169,53 @@ def _first_ranks(length: int, width: int):
             keys = long_column(batch.column("doc_key"))
             for i, runs in enumerate(batch.column("runs")):
                 body = data[bounds[i] : bounds[i + 1]]
-                first = runs.values.field("first").to_numpy()
-                last = np.minimum(runs.values.field("last").to_numpy(), len(body) - length)
+                first, last, at = (runs.values.field(c).to_numpy() for c in ("first", "last", "at"))
+                fits = last + length <= len(body)  # a longer text may share the id
+                order = np.argsort(at[fits])
+                first, last, at = (c[fits][order] for c in (first, last, at))
+                for base in range(0, len(body), PIECE):
+                    here = (at >= base) & (at < base + PIECE)
+                    if not here.any():
+                        continue
+                    begin = max(0, base - more)
+                    part = body[begin : base + PIECE + seed + more]
+                    rolling, spot = RollingHash(part), at[here] - begin
+                    sides = []
+                    for lo, hi in ((spot - more, spot + seed), (spot, spot + seed + more)):
+                        inside = (lo >= 0) & (hi <= len(part))
+                        code = rolling.ranges(np.where(inside, lo, 0), np.where(inside, hi, 0)).view(np.int64)
+                        sides.append(pa.array(code, mask=~inside))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), *(pa.array(c[here]) for c in (first, last, at)), *sides], names=["doc_key", "first", "last", "at", "left", "right"])
+
+    return run
+
+
+def _first_ranks(length: int, seed: int, width: int):
+    """Positions of the strings that are left, with the hash of their first ``width`` bytes."""
+    more = (length - seed) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds = text_buffer(batch.column("text"))
+            keys = long_column(batch.column("doc_key"))
+            for i, runs in enumerate(batch.column("runs")):
+                body = data[bounds[i] : bounds[i + 1]]
+                first, last, at, sides = (runs.values.field(c).to_numpy() for c in ("first", "last", "at", "sides"))
+                # strings that reach ``more`` to the left hold the left sample, those
+                # that reach ``more`` to the right the right one, the middle one both
+                lo = np.where((sides & 1) > 0, first, np.maximum(first, at - more + 1))
+                hi = np.minimum(np.where((sides & 2) > 0, last, np.minimum(last, at - more - 1)), len(body) - length)
+                lo, hi = lo[lo <= hi], hi[lo <= hi] + length - width + 1
                 for base in range(0, max(len(body) - width + 1, 0), PIECE):
-                    # strings that start in this piece, and the bytes they reach
                     part = body[base : base + PIECE + width - 1]
-                    mark = np.zeros(len(part) + 1, dtype=np.int32)
-                    lo = np.clip(first - base, 0, len(part))
-                    hi = np.clip(last + length - width + 1 - base, 0, len(part))
-                    np.add.at(mark, lo[lo < hi], 1)
-                    np.add.at(mark, hi[lo < hi], -1)
                     n = len(part) - width + 1
-                    at = np.flatnonzero(np.cumsum(mark)[:n] > 0)
-                    if len(at):
-                        code = RollingHash(part).windows(width)[at]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), keys[i])), pa.array(at + base), pa.array(code.view(np.int64)), pa.array(np.zeros(len(at), np.int64))], names=["doc_key", "pos", "r1", "r2"])
+                    mark = np.zeros(n + 1, dtype=np.int32)
+                    np.add.at(mark, np.clip(lo - base, 0, n), 1)
+                    np.add.at(mark, np.clip(hi - base, 0, n), -1)
+                    spot = np.flatnonzero(np.cumsum(mark)[:n] > 0)
+                    if len(spot):
+                        code = RollingHash(part).windows(width)[spot]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), pa.array(spot + base), pa.array(code.view(np.int64))], names=["doc_key", "pos", "r1"])
 
     return run
 
@@ -220,6 +258,13 @@ def _rerank(final: bool):
     return run
 
 
+def _ranked(pairs: DataFrame, parts: int, final: bool) -> DataFrame:
+    """Rows (doc_key, pos, rank) of the positions whose pair is not unique; at the
+    end, of those behind the first of their pair."""
+    ordered = pairs.select("r1", "r2", "doc_key", "pos").repartitionByRange(parts, "r1", "r2").sortWithinPartitions("r1", "r2", "doc_key", "pos")
+    return ordered.mapInArrow(_rerank(final), "doc_key long, pos long, rank long")
+
+
 def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Rows (doc_key, first, last): strings from start ``first`` to ``last`` that
     also start earlier."""
@@ -229,15 +274,24 @@ def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     runs = texts.mapInArrow(_runs(length, seed), "sample long, whole long, doc_key long, place long")
     order = ["sample", "whole", "doc_key", "place"]
     parts = shuffle_partitions(docs.sparkSession)
-    judged = stage(runs.repartition(parts, "sample").sortWithinPartitions(*order).mapInArrow(_judge_runs, "doc_key long, first long, last long, covered boolean"), "suffix-runs")
-    edges = judged.where("NOT covered").groupBy("doc_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    judged = stage(runs.repartition(parts, "sample").sortWithinPartitions(*order).mapInArrow(_judge_runs, "doc_key long, first long, last long, at long, covered boolean"), "suffix-runs")
+    edges = judged.where("NOT covered").groupBy("doc_key").agg(F.collect_set(F.struct("first", "last", "at")).alias("runs"))
+    found = texts.join(edges.hint("shuffle_hash"), "doc_key").mapInArrow(
+        _wider_samples(length, seed), "doc_key long, first long, last long, at long, left long, right long"
+    )
+    found = stage(found, "suffix-edges")
+    sides = [found.select(F.col(c).alias("r1"), F.lit(i).cast("long").alias("r2"), "doc_key", (F.col("first") * 2 + i).alias("pos")).where("r1 IS NOT NULL").distinct() for i, c in enumerate(("left", "right"))]
+    shared = _ranked(sides[0].unionByName(sides[1]), parts, False)
+    shared = shared.groupBy("doc_key", F.floor(F.col("pos") / 2).alias("first")).agg(F.max(F.when(F.col("pos") % 2 == 0, 1).otherwise(0)).alias("l"), F.max(F.when(F.col("pos") % 2 == 0, 0).otherwise(2)).alias("r"))
+    left = found.select("doc_key", "first", "last", "at").join(shared, ["doc_key", "first"])
+    left = left.groupBy("doc_key").agg(F.collect_set(F.struct("first", "last", "at", (F.col("l") + F.col("r")).alias("sides"))).alias("runs"))
     width = length // 4
-    where = texts.join(edges.hint("shuffle_hash"), "doc_key").mapInArrow(_first_ranks(length, width), "doc_key long, pos long, r1 long, r2 long")
-    pairs, keys = where, ["r1", "r2", "doc_key", "pos"]
+    where = texts.join(left.hint("shuffle_hash"), "doc_key").mapInArrow(_first_ranks(length, seed, width), "doc_key long, pos long, r1 long")
+    # neighbouring runs reach into each other, and rows may repeat a document
+    pairs = where.distinct().withColumn("r2", F.lit(0).cast("long"))
     while True:
         final = width == length
-        ranked = pairs.repartitionByRange(parts, "r1", "r2").sortWithinPartitions(*keys)
-        now = stage(ranked.mapInArrow(_rerank(final), "doc_key long, pos long, rank long"), "suffix-ranks")
+        now = stage(_ranked(pairs, parts, final), "suffix-ranks")
         if final:
             break
         # pairs of ranks at the offset of the width so far give twice the width
