@@ -227,8 +227,7 @@ def divide_skip(index: list[np.ndarray], index_n: np.ndarray, queries: list[np.n
     keys, begin, size = np.unique(tokens, return_index=True, return_counts=True)
     for q, own in enumerate(queries):
         at = np.searchsorted(keys, own)
-        at = at[np.minimum(at, len(keys) - 1) == at]
-        at = at[np.isin(keys[at], own, assume_unique=True)]
+        at = at[keys[np.minimum(at, len(keys) - 1)] == own]  # a shingle that the index lacks has no list
         least = need(int(query_n[q]), percent)  # any partner shares at least this many
         if len(at) < least:
             continue

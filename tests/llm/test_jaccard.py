@@ -95,6 +95,30 @@ def test_divide_skip_finds_what_pairs_find():
     assert got == want
 
 
+def test_divide_skip_over_different_index_and_queries():
+    """As in a cell of two blocks: queries hold shingles that the index lacks, and
+    pairs lie just above and just below the threshold."""
+    r = np.random.default_rng(7)
+    base = r.choice(10_000, (8, 60), replace=False).astype(np.uint64) * np.uint64(1 << 45)
+
+    def near(count):
+        out = []
+        for i in range(count):
+            s = base[i % 8].copy()
+            at = r.choice(60, r.integers(0, 15), replace=False)
+            s[at] = r.choice(s, len(at)) - r.integers(1, 60, len(at)).astype(np.uint64)  # just before a shingle of the set
+            out.append(np.unique(s))
+        return out
+
+    index, queries = near(90), near(110)
+    sizes = [np.array([len(s) for s in x]) for x in (index, queries)]
+    got = {(q, int(i)) for q, found in J.divide_skip(index, sizes[0], queries, sizes[1], 75) for i in found}
+    a, b = ([set(s.tolist()) for s in x] for x in (queries, index))
+    want = {(i, j) for i in range(110) for j in range(90) if 100 * len(a[i] & b[j]) >= 75 * len(a[i] | b[j])}
+    close = {(i, j) for i in range(110) for j in range(90) if 70 <= 100 * len(a[i] & b[j]) / len(a[i] | b[j]) < 75}
+    assert want and close and got == want
+
+
 def test_shingle_hashes_tell_texts_apart():
     texts = ["a b c d e f", "A b  c\td e\nf", "a b c d", "a b c d e", "", " ", "b a c d e", "a", "a a", "ab", "é É"]
     enc = [t.encode() for t in texts]
