@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docroll.llm.common import GOLDEN, chunks, components, doc_key, long_column, mix, shingle_hashes, shuffle_partitions, stage, text_buffer
 
@@ -309,29 +310,49 @@ def set_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block
     return dealt.groupBy("root", "i", "j").applyInArrow(_search(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_key (doc_id, a null as the smallest
-    long), n_shingles, sid (set id, 0: empty set), component_id (the smallest
-    doc_key reachable by links, itself included), copies (rows of the component)."""
+def _groups(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_key, n_shingles, sid) of every row, and of every set that is not empty
+    (sid, least, rows, root): its smallest doc_key, its rows, its component."""
     texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
     ids = stage(texts.mapInArrow(_ids(width), "doc_key long, n_shingles long, sid long"), "jaccard-ids")
     # staged, so that no task runs two Python steps at once
     roots = components(stage(set_links(texts, width, percent, block), "jaccard-found"), "jaccard-links")
     sets = ids.where("sid <> 0").groupBy("sid").agg(F.min("doc_key").alias("least"), F.count("*").alias("rows"))
     sets = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    group = stage(sets, "jaccard-sets")
+    return ids, stage(sets, "jaccard-sets")
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs``: doc_key (doc_id, a null as the smallest
+    long), n_shingles, sid (set id, 0: empty set), component_id (the smallest
+    doc_key reachable by links, itself included), copies (rows of the component)."""
+    ids, group = _groups(docs, width, percent, block)
     total = group.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("copies"))
     named = group.join(total, "root").select("sid", "component_id", "copies")
     full = ids.where("sid <> 0").join(named, "sid").select("doc_key", "n_shingles", "sid", "component_id", "copies")
     return full.unionByName(ids.where("sid = 0").select("doc_key", "n_shingles", "sid", F.col("doc_key").alias("component_id"), F.lit(1).cast("long").alias("copies")))
 
 
+def _add_sid(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sid = [s for _, _, _, s in _sets(batch, width)]
+            if sid:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_key"), pa.array(np.concatenate(sid)), batch.column("row")], names=["doc_key", "sid", "row"])
+
+    return run
+
+
 def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` (same columns) less near duplicates: of each
-    component the document with the smallest id stays; documents without words
-    stay. Rows that repeat a kept id are reduced to one when they have words."""
-    got = jaccard_components(docs, width, percent, block)
-    stays = got.where("component_id = doc_key").groupBy(F.col("doc_key").alias("_doc_key")).agg(F.max(F.col("sid") != 0).alias("_has_words"))
-    kept = docs.withColumn("_doc_key", doc_key()).join(stays, "_doc_key")
-    kept = kept.withColumn("_turn", F.row_number().over(Window.partitionBy("_doc_key").orderBy("text")))
-    return kept.where("_turn = 1 OR NOT _has_words").select(*[kept[c] for c in docs.columns])
+    component one row stays, of the smallest (doc_key, sid); rows without words
+    stay. Rows that share an id (or have none) but no component are different
+    documents, and each component keeps its own."""
+    _, group = _groups(docs, width, percent, block)
+    stays = group.groupBy("root").agg(F.min(F.struct(F.col("least").alias("doc_key"), "sid")).alias("stay")).select("stay.*")
+    has_words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(has_words).select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    schema = StructType().add("doc_key", "long").add("sid", "long").add("row", docs.schema)
+    turn = F.row_number().over(Window.partitionBy("doc_key", "sid").orderBy("row.text"))
+    first = rows.mapInArrow(_add_sid(width), schema).withColumn("turn", turn).where("turn = 1")
+    return first.join(stays, ["doc_key", "sid"]).select("row.*").union(docs.where(~has_words))

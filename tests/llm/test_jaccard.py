@@ -80,6 +80,20 @@ def test_one_per_component_keeps_columns_and_one_row(odd):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_one_per_component_with_shared_ids(spark):
+    """Rows without an id, or with a repeated one, are lost only to a copy."""
+    text = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(6)]
+    near = text[0].replace("t0w20", "other")
+    rows = [
+        (None, text[0]), (None, text[1]), (None, text[1]), (None, text[2].upper()), (None, text[2]), (None, ""), (None, None),
+        (1, text[3]), (2, near), (2, text[4]), (3, " "), (3, text[5]), (4, text[5] + " tail"),
+    ]
+    kept = J.one_per_component(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = sorted(((r.doc_id, r.text) for r in kept), key=repr)
+    want = [(None, text[0]), (None, text[1]), (None, text[2].upper()), (None, ""), (None, None), (1, text[3]), (2, text[4]), (3, " "), (3, text[5])]
+    assert got == sorted(want, key=repr)
+
+
 def test_divide_skip_finds_what_pairs_find():
     r = np.random.default_rng(2)
     base = r.integers(0, 400, (12, 60)).astype(np.uint64)
