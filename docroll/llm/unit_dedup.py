@@ -7,7 +7,8 @@ of each digest the earliest occurrence stays (smallest rank, by default the
 doc_id, then the offset) and the others are cut. Cut units are reported by their
 byte offsets in the original text.
 
-Units of fewer than ``min_words`` words are never cut. Null and empty texts
+Units of fewer than ``min_words`` words are never cut (1: every unit that is not
+blank can be). Null and empty texts
 have no units. A null doc_id is the smallest. Rows that share a doc_id are one
 document: equal rows stay or go alike, and no row is a copy of itself. Only
 doc_id, text and the rank column are read.
