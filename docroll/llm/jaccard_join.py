@@ -2,7 +2,8 @@
 
 Documents link when the Jaccard similarity of their sets of word shingles is at
 least ``percent`` / 100. Every link between different sets is found; the result
-gives components, so copies are never expanded into pairs.
+gives components and the number of links of each row, so copies are never
+expanded into pairs.
 
 1. *Sets.* Equal sets share a 64-bit set id; only one set per id goes on.
 2. *Document frequencies.* Each distinct shingle of each set is shuffled once,
@@ -17,8 +18,10 @@ gives components, so copies are never expanded into pairs.
    into tasks of bounded size). A task builds inverted lists over one block and
    searches each set of the other: the longest lists are set aside, the short
    ones merged by counting occurrences, and sets that reach the remaining need
-   are probed by binary search in the long lists. Of the links found, a task
-   returns a spanning forest; links inside one forest tree tell nothing new.
+   are probed by binary search in the long lists. A task counts the links of each
+   of its sets, weighted by the rows of the other set, and returns the counts and a
+   spanning forest of the links; links inside one forest tree tell the components
+   nothing new. Two sets meet in one cell only, so the counts of all cells add up.
 
 Null or empty texts and texts without words have an empty set and link with
 nothing. Repeated rows are copies. Columns other than the two are not read.
@@ -260,30 +263,44 @@ def _find(parent: np.ndarray, x: int) -> int:
 
 
 def _search(percent: int):
-    """Links within one cell (a pair of blocks of a cluster), as a spanning forest."""
+    """Links within one cell (a pair of blocks of a cluster): a spanning forest
+    (a, b) and, with a null b, the number of rows that each set a links with."""
 
     def run(table):  # no annotations: Spark would have to resolve them
         table = table.sort_by("sid")
-        sid, n, side = (table.column(c).to_numpy() for c in ("sid", "n", "side"))
+        sid, n, rows, side = (table.column(c).to_numpy() for c in ("sid", "n", "rows", "side"))
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shared")]
         _, first, at = np.unique(sid, return_index=True, return_inverse=True)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         parent = np.arange(len(first))
         links: list[tuple[int, int]] = []
+        count = np.zeros(len(first), dtype=np.int64)
         for q, found in divide_skip([sets[i] for i in left], n[left], [sets[i] for i in right], n[right], percent):
             a = int(at[right[q]])
-            for b in at[left[found]].tolist():
+            others = left[found]
+            others = others[at[others] != a]
+            count[a] += rows[others].sum()
+            apart = others[side[others] != 2]  # within a block, each set is searched itself
+            count[at[apart]] += rows[right[q]]
+            for b in at[others].tolist():
                 ra, rb = _find(parent, a), _find(parent, b)
                 if ra != rb:
                     parent[max(ra, rb)] = min(ra, rb)
                     links.append((int(sid[first[a]]), int(sid[first[b]])))
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        has = np.flatnonzero(count)
+        return pa.table({
+            "a": pa.array([*(x for x, _ in links), *sid[first[has]].tolist()], pa.int64()),
+            "b": pa.array([*(y for _, y in links), *[None] * len(has)], pa.int64()),
+            "n_links": pa.array([*[0] * len(links), *count[has].tolist()], pa.int64()),
+        })
 
     return run
 
 
-def set_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Spanning links (a, b) between set ids of the texts of ``docs``."""
+def set_links(docs: DataFrame, rows: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Spanning links (a, b, 0) between set ids of the texts of ``docs``, and rows
+    (a, null, n_links) whose sum for each a is the number of rows of other sets
+    that it links with. ``rows``: (sid, rows) of all sets."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -301,36 +318,43 @@ def set_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block
     # a cluster's sets are dealt to blocks; block i meets block j in cell (i, j)
     size = clusters.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    weighed = clusters.withColumnRenamed("node", "sid").join(rows, "sid").join(size, "root")
     cells = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(mine, j) AS i, greatest(mine, j) AS j, CASE WHEN mine = j THEN 2 WHEN mine < j THEN 0 ELSE 1 END AS side))")
     dealt = (
-        kept.select("sid", "n", "shared").join(clusters.withColumnRenamed("node", "sid"), "sid").join(size, "root")
+        kept.select("sid", "n", "shared").join(weighed, "sid")
         .withColumn("mine", mine).withColumn("cell", F.explode(cells))
-        .select("root", "cell.i", "cell.j", "cell.side", "sid", "n", "shared")
+        .select("root", "cell.i", "cell.j", "cell.side", "sid", "n", "rows", "shared")
     )
-    return dealt.groupBy("root", "i", "j").applyInArrow(_search(percent), "a long, b long")
+    return dealt.groupBy("root", "i", "j").applyInArrow(_search(percent), "a long, b long, n_links long")
 
 
 def _groups(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(doc_key, n_shingles, sid) of every row, and of every set that is not empty
-    (sid, least, rows, root): its smallest doc_key, its rows, its component."""
+    (sid, least, rows, root, n_links): its smallest doc_key, its rows, its
+    component, the rows of other sets that it links with."""
     texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
     ids = stage(texts.mapInArrow(_ids(width), "doc_key long, n_shingles long, sid long"), "jaccard-ids")
+    sets = stage(ids.where("sid <> 0").groupBy("sid").agg(F.min("doc_key").alias("least"), F.count("*").alias("rows")), "jaccard-sets")
     # staged, so that no task runs two Python steps at once
-    roots = components(stage(set_links(texts, width, percent, block), "jaccard-found"), "jaccard-links")
-    sets = ids.where("sid <> 0").groupBy("sid").agg(F.min("doc_key").alias("least"), F.count("*").alias("rows"))
-    sets = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    return ids, stage(sets, "jaccard-sets")
+    found = stage(set_links(texts, sets.select("sid", "rows"), width, percent, block), "jaccard-found")
+    roots = components(found.where("b IS NOT NULL").select("a", "b"), "jaccard-links")
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("sid")).agg(F.sum("n_links").alias("n_links"))
+    group = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").join(links, "sid", "left")
+    group = group.select("sid", "least", "rows", F.coalesce("root", "sid").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return ids, stage(group, "jaccard-groups")
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_key (doc_id, a null as the smallest
     long), n_shingles, sid (set id, 0: empty set), component_id (the smallest
-    doc_key reachable by links, itself included), copies (rows of the component)."""
+    doc_key reachable by links, itself included), copies (rows of the component),
+    n_links (other rows it links with, those of an equal set included)."""
     ids, group = _groups(docs, width, percent, block)
     total = group.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("copies"))
-    named = group.join(total, "root").select("sid", "component_id", "copies")
-    full = ids.where("sid <> 0").join(named, "sid").select("doc_key", "n_shingles", "sid", "component_id", "copies")
-    return full.unionByName(ids.where("sid = 0").select("doc_key", "n_shingles", "sid", F.col("doc_key").alias("component_id"), F.lit(1).cast("long").alias("copies")))
+    named = group.join(total, "root").select("sid", "component_id", "copies", (F.col("n_links") + F.col("rows") - 1).alias("n_links"))
+    full = ids.where("sid <> 0").join(named, "sid").select("doc_key", "n_shingles", "sid", "component_id", "copies", "n_links")
+    blank = ids.where("sid = 0").select("doc_key", "n_shingles", "sid", F.col("doc_key").alias("component_id"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("n_links"))
+    return full.unionByName(blank)
 
 
 def _add_sid(width: int):

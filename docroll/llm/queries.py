@@ -94,7 +94,7 @@ def op7_quality(spark: SparkSession, data_dir: str) -> DataFrame:
 @register
 def op8_ngram_jaccard_join(spark: SparkSession, data_dir: str) -> DataFrame:
     got = jaccard_components(read(spark, data_dir, "documents"))
-    return got.select(real_id().alias("doc_id"), "n_shingles", real_id("component_id").alias("component_id"), "copies")
+    return got.select(real_id().alias("doc_id"), "n_shingles", real_id("component_id").alias("component_id"), "copies", "n_links")
 
 
 @register

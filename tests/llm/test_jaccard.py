@@ -72,6 +72,27 @@ def test_chains_in_small_blocks(spark, block):
     assert len({x[2] for x in want}) > 6
 
 
+@pytest.mark.parametrize("block", [3, 500])
+def test_links_of_every_row(spark, block):
+    """A chain, a crowd of near copies and exact copies in one cluster."""
+    r = random.Random(11)
+    text = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(14):
+        rows += [(len(rows) + c, " ".join(text)) for c in range(1 + k % 3)]
+        text[(k * 17) % 60] = f"new{k}"
+    for k in range(10):
+        near = list(text)
+        near[r.randrange(60)] = f"near{k}"
+        rows.append((len(rows), " ".join(near)))
+    rows += [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, "alone among them all with its own words")]
+    sets = [shingles(t) for _, t in rows]
+    want = [(doc, sum(j != i and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) if a else 0) for i, ((doc, _), a) in enumerate(zip(rows, sets))]
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), block=block)
+    assert sorted(map(tuple, got.select("doc_key", "n_links").collect())) == want
+    assert len({n for _, n in want}) > 5
+
+
 def test_one_per_component_keeps_columns_and_one_row(odd):
     kept = J.one_per_component(odd)
     assert kept.columns == odd.columns
