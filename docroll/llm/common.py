@@ -186,6 +186,11 @@ def doc_key(name: str = "doc_id"):
     return F.coalesce(F.col(name).cast("long"), F.lit(-(1 << 63)))
 
 
+def text_key(name: str = "text"):
+    """With doc_key, tells apart rows that share an id (or have none): the hash of the text."""
+    return F.xxhash64(F.col(name).cast("string"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,7 +2,7 @@
 
 Every line (text split at \\n) has a key: the line without the bytes
 [\\x20\\x09-\\x0D] at both ends, A-Z lower-cased. Rows (128-bit hash of the key,
-document, line number) are range-partitioned and sorted by all of these, so a
+doc_id, hash of the text, line number) are range-partitioned and sorted by all of these, so a
 task streams over runs of equal hashes in document order and decides each run on
 the spot; a run may be longer than memory. A key that very many documents hold
 spreads over several ranges; the runs at the two ends of a range (at most two
@@ -18,9 +18,10 @@ The result is not text but a compressed bitmap of kept lines for each document
 that loses a line; a document without a row keeps everything.
 
 Null and empty texts are one empty line. Lines with an empty key are never
-dropped. Rows that share a doc_id count as one document (nulls: one, the
-smallest), and a line number dropped in one of them is dropped in all. Columns
-other than doc_id and text are not read.
+dropped. Rows with equal doc_id and text are one document and share the result;
+rows that share a doc_id (or have none: the smallest) but not the text are judged
+and cut each by itself. ``min_docs`` counts doc_ids, and of rows without one the
+different texts. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -35,10 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import doc_key, long_column, shuffle_partitions, stage
+from docroll.llm.common import doc_key, long_column, shuffle_partitions, stage, text_key
 
-KEYS = ["h1", "h2", "doc_key", "line"]
-ROWS = "h1 long, h2 long, doc_key long, line int, n_lines int"
+KEYS = ["h1", "h2", "doc_key", "text_key", "line"]
+ROWS = "h1 long, h2 long, doc_key long, text_key long, line int, n_lines int"
+NO_ID = -(1 << 63)
 
 
 def _texts(column) -> Iterator[bytes]:
@@ -49,17 +51,19 @@ def _texts(column) -> Iterator[bytes]:
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_digest
     for batch in batches:
-        keys, docs, numbers, sizes = [], [], [], []
-        for doc, text in zip(long_column(batch.column("doc_key")).tolist(), _texts(batch.column("text"))):
+        keys, at, numbers, sizes = [], [], [], []
+        for row, text in enumerate(_texts(batch.column("text"))):
             lines = text.split(b"\n")
             for i, line in enumerate(lines):
                 if key := line.strip().lower():  # bytes: strips [\x20\x09-\x0D], lowers A-Z only
                     keys.append(digest(key))
-                    docs.append(doc)
+                    at.append(row)
                     numbers.append(i)
                     sizes.append(len(lines))
         both = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int32())], names=[*KEYS, "n_lines"])
+        at = np.array(at, dtype=np.int64)
+        doc, text = (long_column(batch.column(c))[at] for c in ("doc_key", "text_key"))
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(doc), pa.array(text), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int32())], names=[*KEYS, "n_lines"])
 
 
 def _runs(min_docs: int | None):
@@ -70,14 +74,14 @@ def _runs(min_docs: int | None):
         return pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in rows), pa.array(np.full(int(keep.sum()), edge, np.int32))], names=[*KEYS, "n_lines", "edge"])
 
     def decide(rows: list[np.ndarray]) -> np.ndarray:
-        h1, h2, doc = rows[0], rows[1], rows[2]
+        h1, h2, doc, text, line, _ = rows
         new = np.ones(len(h1), dtype=bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         if min_docs is None:  # a repeated row is no later line
             at = np.flatnonzero(new)[np.cumsum(new) - 1]
-            return (doc != doc[at]) | (rows[3] != rows[3][at])
+            return (doc != doc[at]) | (text != text[at]) | (line != line[at])
         other = new.copy()
-        other[1:] |= doc[1:] != doc[:-1]
+        other[1:] |= (doc[1:] != doc[:-1]) | ((doc[1:] == NO_ID) & (text[1:] != text[:-1]))
         run = np.cumsum(new) - 1
         return np.bincount(run, weights=other)[run] >= min_docs
 
@@ -123,19 +127,20 @@ def _runs(min_docs: int | None):
 
 
 def dropped_lines(docs: DataFrame, min_docs: int | None = None) -> DataFrame:
-    """Rows (doc_key, line, n_lines) of the lines to drop."""
-    rows = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text")).mapInArrow(_line_rows, ROWS)
+    """Rows (doc_key, text_key, line, n_lines) of the lines to drop."""
+    rows = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text")).mapInArrow(_line_rows, ROWS)
     ranges = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), *KEYS).sortWithinPartitions(*KEYS)
     decided = stage(ranges.mapInArrow(_runs(min_docs), ROWS + ", edge int"), "line-runs")
     edges = decided.where("edge = 1")
     if min_docs is None:
-        first = edges.groupBy("h1", "h2").agg(F.min(F.struct("doc_key", "line")).alias("first"))
-        late = edges.join(first, ["h1", "h2"]).where(F.struct("doc_key", "line") > F.col("first"))
+        first = edges.groupBy("h1", "h2").agg(F.min(F.struct("doc_key", "text_key", "line")).alias("first"))
+        late = edges.join(first, ["h1", "h2"]).where(F.struct("doc_key", "text_key", "line") > F.col("first"))
     else:
-        per_doc = edges.groupBy("h1", "h2", "doc_key").agg(F.count("*").alias("c"))
+        nameless = F.when(F.col("doc_key") == F.lit(NO_ID), F.col("text_key"))
+        per_doc = edges.groupBy("h1", "h2", "doc_key", nameless.alias("nameless")).agg(F.count("*").alias("c"))
         common = per_doc.groupBy("h1", "h2").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs)
         late = edges.join(common, ["h1", "h2"], "left_semi")
-    columns = ["doc_key", "line", "n_lines"]
+    columns = ["doc_key", "text_key", "line", "n_lines"]
     return decided.where("edge = 0").select(*columns).unionByName(late.select(*columns))
 
 
@@ -147,14 +152,17 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep[gone.values.to_numpy()] = False
             maps.append(zlib.compress(np.packbits(keep).tobytes(), 6))
             lost.append(int(n - keep.sum()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_key"), batch.column("n_lines"), pa.array(lost, pa.int32()), pa.array(maps, pa.binary())], names=["doc_key", "n_lines", "n_dropped", "keep"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_key"), batch.column("text_key"), batch.column("n_lines"), pa.array(lost, pa.int32()), pa.array(maps, pa.binary())],
+            names=["doc_key", "text_key", "n_lines", "n_dropped", "keep"],
+        )
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int | None = None) -> DataFrame:
-    """One row per document that loses a line: doc_key, n_lines, n_dropped and
+    """One row per document that loses a line: doc_key, text_key, n_lines, n_dropped and
     ``keep``, a zlib-compressed bitmap (first line in the highest bit)."""
-    gone = dropped_lines(docs, min_docs).groupBy("doc_key").agg(F.max("n_lines").alias("n_lines"), F.collect_set("line").alias("gone"))
-    return gone.mapInArrow(_bitmaps, "doc_key long, n_lines int, n_dropped int, keep binary")
+    gone = dropped_lines(docs, min_docs).groupBy("doc_key", "text_key").agg(F.max("n_lines").alias("n_lines"), F.collect_set("line").alias("gone"))
+    return gone.mapInArrow(_bitmaps, "doc_key long, text_key long, n_lines int, n_dropped int, keep binary")
 
 
 def kept_lines(text: bytes, keep: bytes | None) -> list[bytes]:
@@ -184,8 +192,8 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_maps(docs: DataFrame, min_docs: int | None) -> DataFrame:
-    texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    return texts.join(keep_bitmaps(docs, min_docs).select("doc_key", "keep").hint("shuffle_hash"), "doc_key", "left")
+    texts = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    return texts.join(keep_bitmaps(docs, min_docs).select("doc_key", "text_key", "keep").hint("shuffle_hash"), ["doc_key", "text_key"], "left")
 
 
 def line_digests(docs: DataFrame, min_docs: int | None = None) -> DataFrame:

@@ -29,9 +29,9 @@ Prefixes are compared by 64-bit hashes; a final rank joins four of them, so two
 different strings would have to agree in all four (or, for whole runs, in two).
 
 Null and empty texts have no bytes. A null doc_id counts as the smallest. Rows
-that share a doc_id count as one document: a row is no copy of itself, and what
-is cut from one of them is cut from all, as far as they reach. Other columns are
-not read.
+with equal doc_id and text are one document: a row is no copy of itself, and they
+share the result. Rows that share a doc_id (or have none) but not the text are
+different documents, in the order of the texts' hashes. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import RollingHash, chunks, doc_key, long_column, mix, shuffle_partitions, stage, text_buffer
+from docroll.llm.common import RollingHash, chunks, doc_key, long_column, mix, shuffle_partitions, stage, text_buffer, text_key
 
 LENGTH = 100
 SEED = 32
@@ -53,11 +53,11 @@ PIECE = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
 
 
-def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Bytes, bounds, doc keys and offsets in the document: whole documents, or
+def _pieces(batch: pa.RecordBatch, length: int, keys: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Bytes, bounds, keys (by default the doc keys) and offsets in the document: whole documents, or
     pieces of a long one that overlap so that each string lies in one piece."""
     data, bounds = text_buffer(batch.column("text"))
-    keys = long_column(batch.column("doc_key"))
+    keys = long_column(batch.column("doc_key")) if keys is None else keys
     for i, j in chunks(bounds, PIECE):
         body = data[bounds[i] : bounds[j]]
         if j - i > 1 or len(body) <= PIECE:
@@ -108,34 +108,35 @@ def sample_runs(body: np.ndarray, bounds: np.ndarray, length: int, seed: int):
 def _runs(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body, bounds, keys, offset in _pieces(batch, length):
+            doc, text = (long_column(batch.column(c)) for c in ("doc_key", "text_key"))
+            for body, bounds, of, offset in _pieces(batch, length, np.arange(batch.num_rows)):
                 lo, hi, at, sample, whole = sample_runs(body, bounds, length, seed)
                 row = np.searchsorted(bounds, lo, side="right") - 1
                 start = lo - bounds[row] + offset[row]
                 # sample position, distance to the first and on to the last string
                 place = (((start + at - lo) << 24) | ((at - lo) << 12) | (hi - lo)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(sample.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(keys[row]), pa.array(place)], names=["sample", "whole", "doc_key", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(sample.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(doc[of[row]]), pa.array(text[of[row]]), pa.array(place)], names=["sample", "whole", "doc_key", "text_key", "place"])
 
     return run
 
 
 def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (sample, whole, doc_key, place): runs that an earlier
+    """Over rows sorted by (sample, whole, doc_key, text_key, place): runs that an earlier
     equal one covers (covered), and first runs whose sample others have."""
 
-    def out(doc, place, covered) -> pa.RecordBatch:
+    def out(doc, text, place, covered) -> pa.RecordBatch:
         at, back, more = place >> 24, (place >> 12) & 4095, place & 4095
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at - back), pa.array(at - back + more), pa.array(at), pa.array(covered)], names=["doc_key", "first", "last", "at", "covered"])
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(text), pa.array(at - back), pa.array(at - back + more), pa.array(at), pa.array(covered)], names=["doc_key", "text_key", "first", "last", "at", "covered"])
 
-    pending = None  # the last first-of-its-kind: (sample, whole, doc, place), others seen?
+    pending = None  # the last first-of-its-kind: (sample, whole, doc, text, place), others seen?
     open_ = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        sample, whole, doc, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sample", "whole", "doc_key", "place"))
+        sample, whole, doc, text, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sample", "whole", "doc_key", "text_key", "place"))
         held = pending is not None
         if held:
-            sample, whole, doc, place = (np.concatenate([[p], c]) for p, c in zip(pending, (sample, whole, doc, place)))
+            sample, whole, doc, text, place = (np.concatenate([[p], c]) for p, c in zip(pending, (sample, whole, doc, text, place)))
         n = len(sample)
         same_sample = np.zeros(n, dtype=bool)
         same_sample[1:] = sample[1:] == sample[:-1]
@@ -143,19 +144,19 @@ def _judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind[1:] = same_sample[1:] & (whole[1:] == whole[:-1])
         reps = np.flatnonzero(~kind)
         of = np.cumsum(~kind) - 1
-        later = kind & ((doc > doc[reps][of]) | ((doc == doc[reps][of]) & (place > place[reps][of])))
+        later = kind & ((doc != doc[reps][of]) | (text != text[reps][of]) | (place != place[reps][of]))
         before = same_sample[reps].copy()  # another run has this sample already
         if held:
             before[0] = open_
         after = np.zeros(len(reps), dtype=bool)
         after[:-1] = same_sample[reps[1:]]
         edge = (before | after)[:-1]  # the last one waits for what follows
-        yield out(doc[reps[:-1]][edge], place[reps[:-1]][edge], np.zeros(int(edge.sum()), dtype=bool))
-        yield out(doc[later], place[later], np.ones(int(later.sum()), dtype=bool))
+        yield out(doc[reps[:-1]][edge], text[reps[:-1]][edge], place[reps[:-1]][edge], np.zeros(int(edge.sum()), dtype=bool))
+        yield out(doc[later], text[later], place[later], np.ones(int(later.sum()), dtype=bool))
         last = reps[-1]
-        pending, open_ = (sample[last], whole[last], doc[last], place[last]), bool(before[-1])
+        pending, open_ = (sample[last], whole[last], doc[last], text[last], place[last]), bool(before[-1])
     if pending is not None and open_:
-        yield out(np.array([pending[2]]), np.array([pending[3]]), np.zeros(1, dtype=bool))
+        yield out(np.array([pending[2]]), np.array([pending[3]]), np.array([pending[4]]), np.zeros(1, dtype=bool))
 
 
 def _wider_samples(length: int, seed: int):
@@ -166,13 +167,12 @@ def _wider_samples(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_buffer(batch.column("text"))
-            keys = long_column(batch.column("doc_key"))
+            keys, texts = (long_column(batch.column(c)) for c in ("doc_key", "text_key"))
             for i, runs in enumerate(batch.column("runs")):
                 body = data[bounds[i] : bounds[i + 1]]
                 first, last, at = (runs.values.field(c).to_numpy() for c in ("first", "last", "at"))
-                fits = last + length <= len(body)  # a longer text may share the id
-                order = np.argsort(at[fits])
-                first, last, at = (c[fits][order] for c in (first, last, at))
+                order = np.argsort(at)
+                first, last, at = (c[order] for c in (first, last, at))
                 for base in range(0, len(body), PIECE):
                     here = (at >= base) & (at < base + PIECE)
                     if not here.any():
@@ -185,7 +185,7 @@ def _wider_samples(length: int, seed: int):
                         inside = (lo >= 0) & (hi <= len(part))
                         code = rolling.ranges(np.where(inside, lo, 0), np.where(inside, hi, 0)).view(np.int64)
                         sides.append(pa.array(code, mask=~inside))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), *(pa.array(c[here]) for c in (first, last, at)), *sides], names=["doc_key", "first", "last", "at", "left", "right"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), pa.array(np.full(len(spot), texts[i])), *(pa.array(c[here]) for c in (first, last, at)), *sides], names=["doc_key", "text_key", "first", "last", "at", "left", "right"])
 
     return run
 
@@ -197,7 +197,7 @@ def _first_ranks(length: int, seed: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_buffer(batch.column("text"))
-            keys = long_column(batch.column("doc_key"))
+            keys, texts = (long_column(batch.column(c)) for c in ("doc_key", "text_key"))
             for i, runs in enumerate(batch.column("runs")):
                 body = data[bounds[i] : bounds[i + 1]]
                 first, last, at, sides = (runs.values.field(c).to_numpy() for c in ("first", "last", "at", "sides"))
@@ -215,25 +215,25 @@ def _first_ranks(length: int, seed: int, width: int):
                     spot = np.flatnonzero(np.cumsum(mark)[:n] > 0)
                     if len(spot):
                         code = RollingHash(part).windows(width)[spot]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), pa.array(spot + base), pa.array(code.view(np.int64))], names=["doc_key", "pos", "r1"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(spot), keys[i])), pa.array(np.full(len(spot), texts[i])), pa.array(spot + base), pa.array(code.view(np.int64))], names=["doc_key", "text_key", "pos", "r1"])
 
     return run
 
 
 def _rerank(final: bool):
-    """Over rows sorted by (r1, r2, doc_key, pos): one new rank for each distinct
+    """Over rows sorted by (r1, r2, doc_key, text_key, pos): one new rank for each distinct
     pair, without the unique ones; at the end, the positions after the first of each."""
 
-    def judge(r1, r2, doc, pos, base: int):
+    def judge(r1, r2, doc, text, pos, base: int):
         new = np.ones(len(r1), dtype=bool)
         new[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])
         rank = np.cumsum(new) - 1
         reps = np.flatnonzero(new)
         if final:
-            keep = (doc > doc[reps][rank]) | (pos > pos[reps][rank])
+            keep = (doc != doc[reps][rank]) | (text != text[reps][rank]) | (pos != pos[reps][rank])
         else:
             keep = np.bincount(rank)[rank] > 1
-        return pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(pos[keep]), pa.array(rank[keep] + base)], names=["doc_key", "pos", "rank"]), len(reps)
+        return pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(text[keep]), pa.array(pos[keep]), pa.array(rank[keep] + base)], names=["doc_key", "text_key", "pos", "rank"]), len(reps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -243,7 +243,7 @@ def _rerank(final: bool):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("r1", "r2", "doc_key", "pos")]
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("r1", "r2", "doc_key", "text_key", "pos")]
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
             tail = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
@@ -259,34 +259,36 @@ def _rerank(final: bool):
 
 
 def _ranked(pairs: DataFrame, parts: int, final: bool) -> DataFrame:
-    """Rows (doc_key, pos, rank) of the positions whose pair is not unique; at the
+    """Rows (doc_key, text_key, pos, rank) of the positions whose pair is not unique; at the
     end, of those behind the first of their pair."""
-    ordered = pairs.select("r1", "r2", "doc_key", "pos").repartitionByRange(parts, "r1", "r2").sortWithinPartitions("r1", "r2", "doc_key", "pos")
-    return ordered.mapInArrow(_rerank(final), "doc_key long, pos long, rank long")
+    order = ["r1", "r2", "doc_key", "text_key", "pos"]
+    ordered = pairs.select(*order).repartitionByRange(parts, "r1", "r2").sortWithinPartitions(*order)
+    return ordered.mapInArrow(_rerank(final), "doc_key long, text_key long, pos long, rank long")
 
 
 def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """Rows (doc_key, first, last): strings from start ``first`` to ``last`` that
+    """Rows (doc_key, text_key, first, last): strings from start ``first`` to ``last`` that
     also start earlier."""
     if length % 4 or not 4 <= seed <= length // 2:
         raise ValueError("length must be a multiple of 4 and seed at most half of it")
-    texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    runs = texts.mapInArrow(_runs(length, seed), "sample long, whole long, doc_key long, place long")
-    order = ["sample", "whole", "doc_key", "place"]
+    texts = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    runs = texts.mapInArrow(_runs(length, seed), "sample long, whole long, doc_key long, text_key long, place long")
+    order = ["sample", "whole", "doc_key", "text_key", "place"]
+    row = ["doc_key", "text_key"]
     parts = shuffle_partitions(docs.sparkSession)
-    judged = stage(runs.repartition(parts, "sample").sortWithinPartitions(*order).mapInArrow(_judge_runs, "doc_key long, first long, last long, at long, covered boolean"), "suffix-runs")
-    edges = judged.where("NOT covered").groupBy("doc_key").agg(F.collect_set(F.struct("first", "last", "at")).alias("runs"))
-    found = texts.join(edges.hint("shuffle_hash"), "doc_key").mapInArrow(
-        _wider_samples(length, seed), "doc_key long, first long, last long, at long, left long, right long"
+    judged = stage(runs.repartition(parts, "sample").sortWithinPartitions(*order).mapInArrow(_judge_runs, "doc_key long, text_key long, first long, last long, at long, covered boolean"), "suffix-runs")
+    edges = judged.where("NOT covered").groupBy(*row).agg(F.collect_set(F.struct("first", "last", "at")).alias("runs"))
+    found = texts.join(edges.hint("shuffle_hash"), row).mapInArrow(
+        _wider_samples(length, seed), "doc_key long, text_key long, first long, last long, at long, left long, right long"
     )
     found = stage(found, "suffix-edges")
-    sides = [found.select(F.col(c).alias("r1"), F.lit(i).cast("long").alias("r2"), "doc_key", (F.col("first") * 2 + i).alias("pos")).where("r1 IS NOT NULL").distinct() for i, c in enumerate(("left", "right"))]
+    sides = [found.select(F.col(c).alias("r1"), F.lit(i).cast("long").alias("r2"), *row, (F.col("first") * 2 + i).alias("pos")).where("r1 IS NOT NULL").distinct() for i, c in enumerate(("left", "right"))]
     shared = _ranked(sides[0].unionByName(sides[1]), parts, False)
-    shared = shared.groupBy("doc_key", F.floor(F.col("pos") / 2).alias("first")).agg(F.max(F.when(F.col("pos") % 2 == 0, 1).otherwise(0)).alias("l"), F.max(F.when(F.col("pos") % 2 == 0, 0).otherwise(2)).alias("r"))
-    left = found.select("doc_key", "first", "last", "at").join(shared, ["doc_key", "first"])
-    left = left.groupBy("doc_key").agg(F.collect_set(F.struct("first", "last", "at", (F.col("l") + F.col("r")).alias("sides"))).alias("runs"))
+    shared = shared.groupBy(*row, F.floor(F.col("pos") / 2).alias("first")).agg(F.max(F.when(F.col("pos") % 2 == 0, 1).otherwise(0)).alias("l"), F.max(F.when(F.col("pos") % 2 == 0, 0).otherwise(2)).alias("r"))
+    left = found.select(*row, "first", "last", "at").join(shared, [*row, "first"])
+    left = left.groupBy(*row).agg(F.collect_set(F.struct("first", "last", "at", (F.col("l") + F.col("r")).alias("sides"))).alias("runs"))
     width = length // 4
-    where = texts.join(left.hint("shuffle_hash"), "doc_key").mapInArrow(_first_ranks(length, seed, width), "doc_key long, pos long, r1 long")
+    where = texts.join(left.hint("shuffle_hash"), row).mapInArrow(_first_ranks(length, seed, width), "doc_key long, text_key long, pos long, r1 long")
     # neighbouring runs reach into each other, and rows may repeat a document
     pairs = where.distinct().withColumn("r2", F.lit(0).cast("long"))
     while True:
@@ -295,11 +297,11 @@ def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
         if final:
             break
         # pairs of ranks at the offset of the width so far give twice the width
-        ahead = now.select("doc_key", (F.col("pos") - width).alias("pos"), F.col("rank").alias("r2"))
-        pairs = now.withColumnRenamed("rank", "r1").join(ahead, ["doc_key", "pos"]).select("doc_key", "pos", "r1", "r2")
+        ahead = now.select(*row, (F.col("pos") - width).alias("pos"), F.col("rank").alias("r2"))
+        pairs = now.withColumnRenamed("rank", "r1").join(ahead, [*row, "pos"]).select(*row, "pos", "r1", "r2")
         width *= 2
-    late = now.select("doc_key", F.col("pos").alias("first"), F.col("pos").alias("last"))
-    return judged.where("covered").select("doc_key", "first", "last").unionByName(late)
+    late = now.select(*row, F.col("pos").alias("first"), F.col("pos").alias("last"))
+    return judged.where("covered").select(*row, "first", "last").unionByName(late)
 
 
 def spans_to_cut(first: np.ndarray, last: np.ndarray, length: int, size: int) -> np.ndarray:
@@ -345,8 +347,8 @@ def _digests(length: int):
 def suffix_digests(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Per row of ``docs``: doc_key, n_bytes, n_removed, n_spans, kept_sha256 and
     removed (the maximal runs of removed bytes)."""
-    lists = covered_strings(docs, length, seed).groupBy("doc_key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    return texts.join(lists.hint("shuffle_hash"), "doc_key", "left").mapInArrow(
+    lists = covered_strings(docs, length, seed).groupBy("doc_key", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    texts = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    return texts.join(lists.hint("shuffle_hash"), ["doc_key", "text_key"], "left").mapInArrow(
         _digests(length), "doc_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
     )

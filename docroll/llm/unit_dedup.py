@@ -4,13 +4,14 @@ A unit is a line (between \\n) or a paragraph (between runs of blank lines). It
 is normalised (lower case, runs of whitespace as one space, none at the ends)
 and hashed to 128 bits. Digests are grouped globally by a partial aggregation;
 of each digest the earliest occurrence stays (smallest rank, by default the
-doc_id, then the offset) and the others are cut. Cut units are reported by their
+doc_id, then the doc_id, the hash of the text and the offset) and the others are cut. Cut units are reported by their
 byte offsets in the original text.
 
 Units of fewer than ``min_words`` words are never cut (1: every unit that is not
 blank can be). Null and empty texts
-have no units. A null doc_id is the smallest. Rows that share a doc_id are one
-document: equal rows stay or go alike, and no row is a copy of itself. Only
+have no units. A null doc_id is the smallest. Rows with equal doc_id and text are
+one document: they stay or go alike, and no row is a copy of itself. Rows that share
+a doc_id (or have none) but not the text are cut each by itself. Only
 doc_id, text and the rank column are read.
 """
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import doc_key, long_column
+from docroll.llm.common import doc_key, long_column, text_key
 
 UNITS = {"line": re.compile(rb"[^\n]+"), "paragraph": re.compile(rb"\S(?:[^\n]|\n(?!\s*\n))*")}
 MIN_WORDS = 10
@@ -54,30 +55,31 @@ def _unit_rows(unit: str, min_words: int):
                         start.append(s)
                         end.append(e)
             both = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
-            rank, doc = (long_column(batch.column(c))[at] if at else np.zeros(0, np.int64) for c in ("rank", "doc_key"))
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(rank), pa.array(doc), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["h1", "h2", "rank", "doc_key", "start", "end"])
+            at = np.array(at, dtype=np.int64)
+            rank, doc, text_id = (long_column(batch.column(c))[at] for c in ("rank", "doc_key", "text_key"))
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(rank), pa.array(doc), pa.array(text_id), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["h1", "h2", "rank", "doc_key", "text_key", "start", "end"])
 
     return run
 
 
 def cut_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, rank: str | None = None) -> DataFrame:
-    """Rows (doc_key, start, end): the units that an earlier one repeats.
+    """Rows (doc_key, text_key, start, end): the units that an earlier one repeats.
     ``rank``: an integer column that says which document comes first."""
     order = doc_key() if rank is None else doc_key(rank)
-    rows = docs.select(order.alias("rank"), doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    found = rows.mapInArrow(_unit_rows(unit, min_words), "h1 long, h2 long, rank long, doc_key long, start long, end long")
-    place = F.struct("rank", "doc_key", "start")
+    rows = docs.select(order.alias("rank"), doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    found = rows.mapInArrow(_unit_rows(unit, min_words), "h1 long, h2 long, rank long, doc_key long, text_key long, start long, end long")
+    place = F.struct("rank", "doc_key", "text_key", "start")
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     first = first.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_key", "start"), F.lit(SALTS)).cast("int"))
-    return salted.join(first, ["h1", "h2", "salt"]).where(place > F.col("first")).select("doc_key", "start", "end").distinct()
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_key", "text_key", "start"), F.lit(SALTS)).cast("int"))
+    return salted.join(first, ["h1", "h2", "salt"]).where(place > F.col("first")).select("doc_key", "text_key", "start", "end").distinct()
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Each row's text with its document's spans to cut, ascending (null: none)."""
-    lists = spans.groupBy("doc_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
-    texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    return texts.join(lists.hint("shuffle_hash"), "doc_key", "left")
+    lists = spans.groupBy("doc_key", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    texts = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    return texts.join(lists.hint("shuffle_hash"), ["doc_key", "text_key"], "left")
 
 
 def _digests(unit: str, min_words: int):

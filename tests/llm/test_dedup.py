@@ -98,6 +98,44 @@ def test_paragraph_units():
     assert got == [b"one two\nthree", b"four five", b"six"]
 
 
+def test_rows_that_share_an_id_are_cut_each_by_itself(spark):
+    """Texts without an id, or with one id, whose repeats lie at different places."""
+    common = "a line that all of the rows below have, with more than ten words in it, at some place of their own text" + "." * 20
+    rows = [(None, f"{'own start ' * k}{k}\n{common}\nown end {k} " + "x" * 150 * k) for k in range(4)]
+    rows = [(None, "first of its kind\nsecond line"), *rows, rows[2]]
+    rows += [(5, f"{common}\nfive"), (5, f"other words of five\nand more\n{common}"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    by_text = {text or "" for _, text in rows}
+    digests = {}
+    for text in by_text:
+        body, at = text.encode(), text.encode().find(common.encode())
+        cut = body if at < 0 else body[:at] + body[at + len(common) :]
+        lines = [x for x in text.split("\n") if x != common]
+        digests[text] = (sha(cut), sha("\n".join(lines).encode()))
+    # op10: the line is in four texts without id and in one id: five documents
+    got = sorted(r.kept_sha256 for r in line_dedup.line_digests(df, 5).collect())
+    assert got == sorted(digests[text or ""][1] for _, text in rows)
+    assert all(r.n_dropped == 0 for r in line_dedup.line_digests(df, 6).collect())
+    whole = {text: sha(text.encode()) for text in by_text}
+    holders = [text for text in by_text if common in text]
+    unit = sorted(r.kept_sha256 for r in unit_dedup.unit_digests(df).collect())
+    first = sorted(r.kept_sha256 for r in line_dedup.line_digests(df, None).collect())
+    # one of the texts without id keeps the line, and it is the same for its repeats
+    for which, got in ((0, unit), (1, first)):
+        options = []
+        for stays in holders:
+            options.append(sorted(whole[text or ""] if (text or "") == stays else digests[text or ""][which] for _, text in rows))
+        assert got in options
+    # op5: the order of equal ids is that of the hashes; each row by brute force
+    from docroll.llm.common import doc_key, text_key
+
+    keyed = df.select(doc_key().alias("d"), text_key().alias("t"), "text").collect()
+    names = {k: i for i, k in enumerate(sorted({(r.d, r.t) for r in keyed}))}
+    want = suffix_expected([(names[r.d, r.t], (r.text or "").encode()) for r in keyed], 100)
+    got = suffix_dedup.suffix_digests(df).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(w[1:] for w in want)
+
+
 def suffix_expected(rows, length):
     first = {}
     for doc, text in set(rows):
