@@ -23,6 +23,9 @@ CONTRACT = {
     "op8_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op9_": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op10_": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+    "op11_": {"conv_id": "bigint", **dict.fromkeys(("gaps", "blank", "duplicate", "truncated", "illegal", "cost"), "bigint"), "audit": "string", "repaired_sha256": "string"},
+    "op12_": {"part": "string", "filter_order": "string", "step": "int", **dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint")},
+    "op13_": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
 
@@ -32,7 +35,7 @@ def test_columns_and_rows(spark, op):
     got = Q.QUERIES[name](spark, SMALL)
     types = dict(got.dtypes)
     assert {c: types.get(c) for c in CONTRACT[op]} == CONTRACT[op]
-    if op not in ("op1_", "op2_"):
+    if op not in ("op1_", "op2_", "op11_", "op12_", "op13_"):
         assert got.select("doc_id").distinct().count() == got.count() == 200
 
 
@@ -40,7 +43,8 @@ def test_columns_and_rows(spark, op):
 def test_oracle(spark, name):
     got = Q.QUERIES[name](spark, SMALL)
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for t in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(Q.ORACLE[name])
     order = sorted(got.columns)
     assert sorted(want.columns) == order
