@@ -90,7 +90,7 @@ def test_empty_table_and_invalid_text(spark, nothing, tokenizer):
     assert r.ids_crc32 == zlib.crc32(np.array(ids_of(tokenizer, "A�B"), dtype="<u4").tobytes())
 
 
-PIECE = st.sampled_from(["word", "Word,", "it's", "été.", " ", "  ", "\n", "\t", "12", "²", "!!", "'", "s", "é", " ", " ", "\x1c", "<|endoftext|>", "\U0001f600", "中文", "..", ","])
+PIECE = st.sampled_from(["word", "Word,", "a.\nb", "it's", "été.", " ", "  ", "\n", "\t", "12", "²", "!!", "'", "s", "é", " ", " ", "\x1c", "<|endoftext|>", "\U0001f600", "中文", "..", ","])
 
 
 @seed(3)
