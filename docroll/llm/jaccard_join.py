@@ -35,14 +35,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType
 
-from docroll.llm.common import GOLDEN, chunks, components, doc_key, long_column, mix, shingle_hashes, shuffle_partitions, stage, text_buffer
+from docroll.llm.common import GOLDEN, chunks, components, doc_key, long_column, mix, shingle_hashes, shuffle_partitions, stage, text_buffer, text_key
 
 WIDTH = 5
 PERCENT = 75
 #: Sets in one block of a cluster's search.
 BLOCK = 500
+#: First characters of a text that tell rows of equal shingles apart.
+HEAD = 64
 #: Lists longer than this many times the median are set aside for probing.
 LONG_FACTOR = 4
 #: Slices of its range that a task works on one after another, and shingles that
@@ -84,7 +86,7 @@ def _ids(width: int):
             got = [(n, sid) for _, _, n, sid in _sets(batch, width)]
             if got:
                 n, sid = (np.concatenate(x) for x in zip(*got))
-                yield pa.RecordBatch.from_arrays([pa.array(long_column(batch.column("doc_key"))), pa.array(n.astype(np.int64)), pa.array(sid)], names=["doc_key", "n_shingles", "sid"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_key", "text_key", "head")), pa.array(n.astype(np.int64)), pa.array(sid)], names=["doc_key", "text_key", "head", "n_shingles", "sid"])
 
     return run
 
@@ -329,11 +331,12 @@ def set_links(docs: DataFrame, rows: DataFrame, width: int = WIDTH, percent: int
 
 
 def _groups(docs: DataFrame, width: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_key, n_shingles, sid) of every row, and of every set that is not empty
+    """(doc_key, text_key, head, n_shingles, sid) of every row, and of every set that is not empty
     (sid, least, rows, root, n_links): its smallest doc_key, its rows, its
     component, the rows of other sets that it links with."""
-    texts = docs.select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    ids = stage(texts.mapInArrow(_ids(width), "doc_key long, n_shingles long, sid long"), "jaccard-ids")
+    text = F.col("text").cast("string")
+    texts = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.substring(text, 1, HEAD).alias("head"), text.alias("text"))
+    ids = stage(texts.mapInArrow(_ids(width), "doc_key long, text_key long, head string, n_shingles long, sid long"), "jaccard-ids")
     sets = stage(ids.where("sid <> 0").groupBy("sid").agg(F.min("doc_key").alias("least"), F.count("*").alias("rows")), "jaccard-sets")
     # staged, so that no task runs two Python steps at once
     found = stage(set_links(texts, sets.select("sid", "rows"), width, percent, block), "jaccard-found")
@@ -357,26 +360,20 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     return full.unionByName(blank)
 
 
-def _add_sid(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sid = [s for _, _, _, s in _sets(batch, width)]
-            if sid:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_key"), pa.array(np.concatenate(sid)), batch.column("row")], names=["doc_key", "sid", "row"])
-
-    return run
-
-
 def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` (same columns) less near duplicates: of each
-    component one row stays, of the smallest (doc_key, sid); rows without words
+    component one row stays, of the smallest (doc_key, sid); of texts that share these,
+    the least by its first characters, then its hash. Rows without words
     stay. Rows that share an id (or have none) but no component are different
     documents, and each component keeps its own."""
-    _, group = _groups(docs, width, percent, block)
+    ids, group = _groups(docs, width, percent, block)
     stays = group.groupBy("root").agg(F.min(F.struct(F.col("least").alias("doc_key"), "sid")).alias("stay")).select("stay.*")
+    # the choice is made on keys; whole rows move once, to be matched with the keys that stay
+    chosen = ids.join(stays, ["doc_key", "sid"]).groupBy("doc_key", "sid").agg(F.min(F.struct("head", "text_key")).alias("text"))
+    chosen = chosen.select("doc_key", F.col("text.text_key").alias("text_key"))
     has_words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = docs.where(has_words).select(doc_key().alias("doc_key"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
-    schema = StructType().add("doc_key", "long").add("sid", "long").add("row", docs.schema)
-    turn = F.row_number().over(Window.partitionBy("doc_key", "sid").orderBy("row.text"))
-    first = rows.mapInArrow(_add_sid(width), schema).withColumn("turn", turn).where("turn = 1")
-    return first.join(stays, ["doc_key", "sid"]).select("row.*").union(docs.where(~has_words))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    rows = docs.where(has_words).select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.xxhash64(*plain).alias("tie"), F.struct("*").alias("row"))
+    turn = F.row_number().over(Window.partitionBy("doc_key", "text_key").orderBy("tie"))
+    first = rows.withColumn("turn", turn).where("turn = 1")
+    return first.join(chosen, ["doc_key", "text_key"], "left_semi").select("row.*").union(docs.where(~has_words))
