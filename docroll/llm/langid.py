@@ -8,7 +8,7 @@ of every text: fixed windows of ``WINDOW`` bytes, batch by batch. A document's
 language has the largest mean log probability over its windows (weighted by
 their letters); its score is the geometric mean probability, normalised.
 
-A text that is null or has no letter is ``und`` with score 0, and so is every text
+Bytes that are no UTF-8 count as bytes and are no letters. A text that is null or has no letter is ``und`` with score 0, and so is every text
 when no training row has a language. Only text (and, for training, the label)
 is read; equal texts get equal results (scores have six
 decimals, beyond which batches differ).
@@ -138,7 +138,7 @@ class Network:
             prob /= prob.sum(axis=1, keepdims=True)
             ascii_letter = np.bincount(row, weights=_ASCII_LETTER[seen[:, :WINDOW]].sum(axis=1), minlength=j - i) > 0
             for k in np.flatnonzero(np.diff(bounds[i : j + 1])).tolist():
-                if ascii_letter[k] or any(c.isalpha() for c in texts[i + k].as_py()):
+                if ascii_letter[k] or any(c.isalpha() for c in data[bounds[i + k] : bounds[i + k + 1]].tobytes().decode("utf-8", "ignore")):
                     best = int(prob[k].argmax())
                     names[i + k], scores[i + k] = self.languages[best], round(float(prob[k, best]), 6)
         return names, scores

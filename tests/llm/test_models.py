@@ -138,3 +138,10 @@ def test_passages_cover_the_whole_text():
     text = " ".join(f"w{i}" for i in range(230)).encode()
     x, owner = quality.passages(np.frombuffer(text + b"last", np.uint8), np.array([0, 0, len(text), len(text) + 4]))
     assert owner.tolist() == [0, 1, 1, 1, 1, 1, 2] and not x[0].any() and x[1:].any(axis=1).all()
+
+
+def test_language_of_bytes_that_are_no_utf8(spark):
+    docs = spark.createDataFrame([(i, f"words of text {i}", "en") for i in range(40)], "doc_id long, text string, lang string")
+    bad = spark.sql("SELECT id AS doc_id, CAST(unhex(h) AS STRING) AS text FROM VALUES (1L, 'FF'), (2L, '41FF42'), (3L, 'C3') AS t(id, h)")
+    got = {r.doc_id: r._language.lang_pred for r in langid.identify(bad, langid.fit(docs, F.lit(True))).collect()}
+    assert got == {1: "und", 2: "en", 3: "und"}
