@@ -81,9 +81,9 @@ def op5_suffix_array_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register
 def op6_line_hash_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Repeated lines of any length, cut but for the earliest."""
+    """Repeated lines of any length, cut but for the earliest: how many, and their bytes."""
     got = unit_digests(read(spark, data_dir, "documents"), min_words=1)
-    return got.select(real_id().alias("doc_id"), "n_units", "n_removed", "kept_sha256", "removed")
+    return got.select(real_id().alias("doc_id"), "n_units", "n_units_removed", "n_removed", "kept_sha256", "removed")
 
 
 @register

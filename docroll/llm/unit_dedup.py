@@ -12,7 +12,7 @@ blank can be). Null and empty texts
 have no units. A null doc_id is the smallest. Rows with equal doc_id and text are
 one document: they stay or go alike, and no row is a copy of itself. Rows that share
 a doc_id (or have none) but not the text are cut each by itself. Only
-doc_id, text and the rank column are read.
+doc_id, text and the rank column are read. Bytes that are no UTF-8 stay as they are.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def units(text: bytes, unit: str, min_words: int) -> Iterator[tuple[int, int, by
     for m in UNITS[unit].finditer(text):
         parts = m[0].split()
         if parts:
-            yield m.start(), m.end(), xxhash.xxh3_128_digest(b" ".join(parts).decode().lower().encode()) if len(parts) >= min_words else None
+            yield m.start(), m.end(), xxhash.xxh3_128_digest(b" ".join(parts).decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")) if len(parts) >= min_words else None
 
 
 def _unit_rows(unit: str, min_words: int):
@@ -85,17 +85,18 @@ def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def _digests(unit: str, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, gone, digests, cuts = [], [], [], []
+            total, gone, size, digests, cuts = [], [], [], [], []
             for text, spans in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("cuts").to_pylist()):
                 text = text or b""
                 total.append(sum(1 for _ in units(text, unit, min_words)))
                 inside = [(s["start"], s["end"]) for s in spans or () if s["end"] <= len(text)]
                 gone.append(len(inside))
+                size.append(sum(e - s for s, e in inside))
                 cuts.append([{"start": s, "end": e} for s, e in inside])
                 digests.append(hashlib.sha256(remaining(text, inside)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_key"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(digests)],
-                names=["doc_key", "n_units", "n_removed", "removed", "kept_sha256"],
+                [batch.column("doc_key"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(size, pa.int64()), pa.array(cuts, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(digests)],
+                names=["doc_key", "n_units", "n_units_removed", "n_removed", "removed", "kept_sha256"],
             )
 
     return run
@@ -111,7 +112,7 @@ def remaining(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def unit_digests(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, rank: str | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_key, n_units, n_removed, removed (original byte
-    spans), kept_sha256 of the remaining bytes."""
+    """Per row of ``docs``: doc_key, n_units, n_units_removed, n_removed (bytes), removed
+    (original byte spans), kept_sha256 of the remaining bytes."""
     cuts = cut_spans(docs, cut_units(docs, unit, min_words, rank))
-    return cuts.mapInArrow(_digests(unit, min_words), "doc_key long, n_units long, n_removed long, removed array<struct<start:long,end:long>>, kept_sha256 string")
+    return cuts.mapInArrow(_digests(unit, min_words), "doc_key long, n_units long, n_units_removed long, n_removed long, removed array<struct<start:long,end:long>>, kept_sha256 string")

@@ -88,7 +88,7 @@ def test_units(docs):
                 last = at + len(line)
             at += len(line) + 1
         want.append((doc, n, len(cuts), cuts, sha(b"".join([*kept, text[last:]]))))
-    got = [(r.doc_key, r.n_units, r.n_removed, [(s.start, s.end) for s in r.removed], r.kept_sha256) for r in unit_dedup.unit_digests(docs).collect()]
+    got = [(r.doc_key, r.n_units, r.n_units_removed, [(s.start, s.end) for s in r.removed], r.kept_sha256) for r in unit_dedup.unit_digests(docs).collect()]
     assert sorted(got) == sorted(want)
 
 
@@ -184,3 +184,9 @@ def test_suffix_pieces_cover_each_string_once(monkeypatch):
         row = 0 if len(keys) == 1 else None
         seen += [(int(keys[0]), p + int(offset[0])) for a, b in zip(lo, hi) for p in range(a, b + 1)] if row == 0 else []
     assert sorted(seen) == [(5, p) for p in range(3400 - 99)]
+
+
+def test_unit_dedup_of_bytes_that_are_no_utf8(spark):
+    bad = spark.sql("SELECT id AS doc_id, CAST(unhex('41FF420A63') AS STRING) AS text FROM range(3)")
+    got = {r.doc_key: (r.n_units, r.n_units_removed, r.n_removed) for r in unit_dedup.unit_digests(bad, min_words=1).collect()}
+    assert got == {0: (2, 0, 0), 1: (2, 2, 4), 2: (2, 2, 4)}

@@ -54,8 +54,8 @@ def test_oracle(spark, name):
 def test_op6_cuts_lines_of_any_length(spark, tmp_dir):
     rows = [(1, "short\nown line one"), (2, "own line two\n SHORT \n\nshort"), (3, "short"), (4, " \n \n")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
-    got = {r.doc_id: (r.n_units, [(s.start, s.end) for s in r.removed]) for r in Q.QUERIES["op6_line_hash_dedup"](spark, tmp_dir).collect()}
-    assert got == {1: (2, []), 2: (3, [(13, 20), (22, 27)]), 3: (1, [(0, 5)]), 4: (0, [])}
+    got = {r.doc_id: (r.n_units, r.n_units_removed, r.n_removed, [(s.start, s.end) for s in r.removed]) for r in Q.QUERIES["op6_line_hash_dedup"](spark, tmp_dir).collect()}
+    assert got == {1: (2, 0, 0, []), 2: (3, 2, 12, [(13, 20), (22, 27)]), 3: (1, 1, 5, [(0, 5)]), 4: (0, 0, 0, [])}
 
 
 def test_stages(spark, odd, small, nothing):
