@@ -57,7 +57,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
-    from docroll.plans import catalog
+    from docroll.plans import catalog, stateful  # noqa: F401 (stateful adds to the catalog)
     from docroll.plans import documents as D
     from docroll.plans import sql_text as S
     from docroll.plans.columns import LAYOUT_COLUMNS, TABLE_COLUMNS

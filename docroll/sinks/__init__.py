@@ -9,13 +9,17 @@ from docroll.sinks.documents import (
     string_map_docs,
     write_docs,
 )
+from docroll.sinks.keyed import merge_by_key, read_keyed, vacuum
 
 __all__ = [
     "LEGACY_NAMES",
     "flat_docs",
+    "merge_by_key",
     "read_docs",
+    "read_keyed",
     "rename_fields",
     "string_docs",
     "string_map_docs",
+    "vacuum",
     "write_docs",
 ]

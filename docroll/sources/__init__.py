@@ -5,18 +5,23 @@ from docroll.sources.json_files import read_json_table, schema_text
 from docroll.sources.schemas import LAYOUTS, Layout, layout_of, text_keyed
 from docroll.sources.search import any_field_matches, search
 from docroll.sources.tables import register_tables, table
+from docroll.sources.term_index import build_term_index, search_index, term_counts, term_hits
 
 __all__ = [
     "LAYOUTS",
     "Layout",
     "any_field_matches",
+    "build_term_index",
     "layout_of",
     "read_delimited",
     "read_json_table",
     "register_tables",
     "schema_text",
     "search",
+    "search_index",
     "table",
+    "term_counts",
+    "term_hits",
     "text_keyed",
     "write_delimited",
 ]

@@ -1,0 +1,105 @@
+"""Keyed merges and the kept rollup: unions by key, what is rewritten, runs that are lost."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from docroll.operators.rollup_state import add_to_order_state, kept_order_rollup
+from docroll.operators.rollups import order_rollup
+from docroll.plans import catalog
+from docroll.sinks import keyed
+from docroll.sinks.keyed import manifest, merge_by_key, read_keyed, vacuum
+from docroll.sources.tables import table
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame(rows, "id int, v int, items array<struct<a:int>>, bucket string")
+
+
+def row(i, v):
+    return (i, v, [(v,)], f"b{v}")
+
+
+def values(spark, target):
+    return {r.id: r.v for r in read_keyed(spark, target).collect()}
+
+
+def test_overlapping_writes_are_the_union_by_key(spark, tmp_dir):
+    state = merge_by_key(docs(spark, [row(i, 1) for i in range(40)] + [row(None, 1)]).withColumnRenamed("bucket", "name"), tmp_dir, "id", buckets=8)
+    before = dict(state["buckets"])
+    new = docs(spark, [row(3, 2), row(3, 5), row(3, 4), row(100, 2), row(None, 2)]).withColumnRenamed("bucket", "name")
+    state = merge_by_key(new, tmp_dir, "id", order_by=["v"])
+    want = {i: 1 for i in range(40)} | {3: 5, 100: 2, None: 2}
+    assert values(spark, tmp_dir) == want and state["version"] == 2
+    moved = {b for b, f in state["buckets"].items() if before.get(b) != f}
+    assert 1 <= len(moved) <= 3  # three keys: the other buckets are where they were
+    assert merge_by_key(new, tmp_dir, "id", order_by=["v"])["version"] == 3 and values(spark, tmp_dir) == want
+    assert vacuum(spark, tmp_dir) and values(spark, tmp_dir) == want and vacuum(spark, tmp_dir) == []
+
+
+def test_lost_and_concurrent_merges_leave_the_set_whole(spark, tmp_dir, monkeypatch):
+    base = spark.createDataFrame([(1, 1), (2, 1)], "id int, v int")
+    merge_by_key(base, tmp_dir, "id", buckets=2)
+    more = spark.createDataFrame([(1, 9)], "id int, v int")
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            merge_by_key(more, tmp_dir, "id")
+    assert values(spark, tmp_dir) == {1: 1, 2: 1}
+    old = manifest(spark, tmp_dir)
+    merge_by_key(more, tmp_dir, "id")
+    with monkeypatch.context() as m:  # another merge with the same base
+        m.setattr(keyed, "manifest", lambda *a: old)
+        with pytest.raises(RuntimeError, match="another merge"):
+            merge_by_key(spark.createDataFrame([(2, 7)], "id int, v int"), tmp_dir, "id")
+    assert values(spark, tmp_dir) == {1: 9, 2: 1}
+
+
+def test_wrong_columns_keys_and_empty_merges(spark, tmp_dir):
+    base = spark.createDataFrame([(1, 1)], "id int, v int")
+    with pytest.raises(FileNotFoundError):
+        read_keyed(spark, tmp_dir)
+    merge_by_key(base.limit(0), tmp_dir, "id")
+    assert read_keyed(spark, tmp_dir).collect() == []
+    merge_by_key(base.select("v", "id"), tmp_dir, "id")
+    with pytest.raises(ValueError, match="columns"):
+        merge_by_key(base.withColumn("x", F.lit(1)), tmp_dir, "id")
+    with pytest.raises(ValueError, match="keys"):
+        merge_by_key(base, tmp_dir, "v")
+    assert values(spark, tmp_dir) == {1: 1}
+
+
+def parts(spark):
+    lines, orders = table(spark, SMALL, "lineitem"), table(spark, SMALL, "orders")
+    return (lines, orders), (F.col("l_linenumber") <= 3, F.col("o_orderstatus") == "F")
+
+
+COLS = ("o_custkey", "o_orderdate")
+
+
+def test_two_halves_are_the_whole(spark, tmp_dir):
+    """Lines come before their order, late orders and amounts before the cutoff; a batch runs twice."""
+    (lines, orders), (early, known) = parts(spark)
+    add = lambda *b: add_to_order_state(tmp_dir, b[0], b[1], "l_orderkey", "o_orderkey", "l_extendedprice", COLS, batch=b[2], buckets=8)
+    add(lines.where(early), orders.where(known), "one")
+    half = kept_order_rollup(spark, tmp_dir, "o_orderkey").count()
+    add(lines.where(~early), orders.where(~known), "two")
+    add(lines.where(~early), orders.where(~known), "two")
+    got = kept_order_rollup(spark, tmp_dir, "o_orderkey")
+    want = order_rollup(lines, orders, "l_orderkey", "o_orderkey", "l_extendedprice", COLS)
+    assert 0 < half < got.count()
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    plan = catalog.D.rolled_customers(got, table(spark, SMALL, "customer"), catalog.CUTOFF, catalog.THRESHOLDS)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "orders.parquet" not in plan
+
+
+def test_amounts_that_are_null_or_no_number(spark, tmp_dir):
+    lines = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, None), (3, float("nan")), (3, 1.0), (9, 1.0)], "o int, amount double")
+    orders = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id int, name string")
+    for i in range(3):
+        add_to_order_state(tmp_dir, lines.where(f"pmod(hash(amount), 3) = {i}"), orders if i == 1 else orders.limit(0), "o", "id", "amount", ("name",))
+    got = {r.id: (r.name, r.total, r.n_lines) for r in kept_order_rollup(spark, tmp_dir, "id").collect()}
+    assert got[1][1] == pytest.approx(0.3) and got[1][::2] == ("a", 2) and got[2] == ("b", None, 1) and math.isnan(got[3][1]) and set(got) == {1, 2, 3}

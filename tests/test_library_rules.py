@@ -4,10 +4,12 @@ import os
 
 import pytest
 
-from docroll.plans import catalog
+from docroll.plans import catalog, stateful  # noqa: F401 (stateful adds to the catalog)
 from docroll.session import checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
+#: Queries whose state or step is a user's Python function.
+USER_WRITTEN = {"combine_user_mean", "combine_user_distinct", "running_balance", "balance_by_customer"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not present")
@@ -15,8 +17,9 @@ SMALL = "/root/testdata/sf0.001"
 def test_no_python_rdd_or_single_task_in_the_plan(spark, name):
     plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     # inline rows are the schema listing's only; there, rows come from Python by design
-    for marker in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "CartesianProduct"):
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct"):
         assert marker not in plan
+    assert ("MapInArrow" in plan) == (name in USER_WRITTEN)
     limits = {"rollup_top100", "order_top100", "scan_head"}
     assert ("Limit" in plan or "TakeOrdered" in plan) == (name in limits)
 
