@@ -9,6 +9,7 @@ whole documents of about ``CHUNK_BYTES``, so a task's memory is bounded by that
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,6 +168,17 @@ def shingle_hashes(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np
     return whole, at
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed buffers back to the system. Workers live on from stage to stage beside
+    the executor's heap, and the C library keeps what they freed (where it has this call)."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and read it back: it cuts the
     lineage, and a lost executor costs no recomputation."""

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from docroll.llm.common import GOLDEN, chunks, components, doc_key, long_column, mix, shingle_hashes, shuffle_partitions, stage, text_buffer, text_key
+from docroll.llm.common import GOLDEN, chunks, components, doc_key, release, long_column, mix, shingle_hashes, shuffle_partitions, stage, text_buffer, text_key
 
 WIDTH = 5
 PERCENT = 75
@@ -50,7 +50,7 @@ LONG_FACTOR = 4
 #: Slices of its range that a task works on one after another, and shingles that
 #: a task packs at once.
 SLICES = 8
-PACKED = 1 << 20
+PACKED = 1 << 19
 
 
 def need(n: np.ndarray | int, percent: int):
@@ -87,6 +87,7 @@ def _ids(width: int):
             if got:
                 n, sid = (np.concatenate(x) for x in zip(*got))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_key", "text_key", "head")), pa.array(n.astype(np.int64)), pa.array(sid)], names=["doc_key", "text_key", "head", "n_shingles", "sid"])
+            release()
 
     return run
 
@@ -140,6 +141,7 @@ def _shingle_blocks(width: int, parts: int):
                 if size >= PACKED:
                     yield pack(held)
                     held, size = [], 0
+                    release()
         if held:
             yield pack(held)
 
@@ -183,6 +185,7 @@ def _shared(parts: int):
             sid = np.concatenate([s.reshape(2, -1)[0][o[c[i] : c[i + 1]]] for (_, o, s), c in zip(blocks, cuts)])
             size = np.concatenate([s.reshape(2, -1)[1][o[c[i] : c[i + 1]]] for (_, o, s), c in zip(blocks, cuts)])
             kept.append(_frequencies(tokens, sid, size))
+            release()
         tokens, sid, size, df = (np.concatenate(x) for x in zip(*kept))
         if len(tokens):
             order = np.argsort(sid.view(np.uint64), kind="stable")

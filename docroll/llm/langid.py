@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import chunks, text_buffer
+from docroll.llm.common import chunks, release, text_buffer
 from docroll.llm.sample import Adam, sample_by_class
 
 WINDOW = 256
@@ -141,6 +141,7 @@ class Network:
                 if ascii_letter[k] or any(c.isalpha() for c in data[bounds[i + k] : bounds[i + k + 1]].tobytes().decode("utf-8", "ignore")):
                     best = int(prob[k].argmax())
                     names[i + k], scores[i + k] = self.languages[best], round(float(prob[k, best]), 6)
+        release()
         return names, scores
 
 
