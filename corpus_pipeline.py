@@ -23,16 +23,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: a document whose language can't be told (no letters, or the
     best language scores less than ``langid.LEAST_SCORE``) goes. The network
     learns from the documents that carry a language, less the held-out fold."""
+    ship(spark)  # each stage may be the first: sources and batch sizes for the workers
     return langid.accepted(docs, langid.fit(docs, ~held_out()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each component of near copies, one document stays."""
+    ship(spark)
     return one_per_component(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document that contains a benchmark passage goes."""
+    ship(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
@@ -43,6 +46,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with size, text_crc32, shard and slot."""
+    ship(spark)
     return shard_rows(docs, carry=docs.columns)
 
 
@@ -60,7 +64,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table ``documents``."""
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")

@@ -214,6 +214,7 @@ def _survivors(percent: int):
         begin = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]]))
         count = np.diff(np.append(begin, len(sid)))
         lack = count - need(n[begin], percent)
+        release()
         for i in range(0, len(begin), 1000):
             out = [(sid[b], n[b], np.sort(tokens[b : b + c]).tobytes(), tokens[b : b + d + 1].view(np.int64)) for b, c, d in zip(begin[i : i + 1000], count[i : i + 1000], lack[i : i + 1000])]
             s, m, shared, prefix = zip(*out)
@@ -293,6 +294,7 @@ def _search(percent: int):
                     parent[max(ra, rb)] = min(ra, rb)
                     links.append((int(sid[first[a]]), int(sid[first[b]])))
         has = np.flatnonzero(count)
+        release()
         return pa.table({
             "a": pa.array([*(x for x, _ in links), *sid[first[has]].tolist()], pa.int64()),
             "b": pa.array([*(y for _, y in links), *[None] * len(has)], pa.int64()),
