@@ -1,5 +1,6 @@
 """Registered queries of the operators that write and reread what they need: the term index,
-sorted positions, folds in order, user-written aggregates, keyed merges and the kept rollup.
+sorted positions, folds in order, user-written aggregates, keyed merges, the kept rollup and
+records of varying shape.
 Importing this module adds them to the catalog."""
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from docroll.session import scratch_path
 from docroll.sinks.keyed import merge_by_key, read_keyed
 from docroll.sources.tables import table
 from docroll.sources.term_index import build_term_index, search_index, term_counts
+from docroll.sources.varied import read_varied_json, record_fields, typed_fields
 
 # 1. Term index -----------------------------------------------------------------
 
@@ -172,3 +174,63 @@ def kept_customer_rollup_q(spark, d):
     for batch, of_lines, of_orders in (("finished", done_line, done_order), ("open", ~done_line, ~done_order)):
         add_to_order_state(target, lines.where(of_lines), orders.where(of_orders), "l_orderkey", "o_orderkey", "l_extendedprice", ("o_custkey", "o_orderdate"), batch=batch)
     return D.rolled_customers(kept_order_rollup(spark, target, "o_orderkey"), table(spark, d, "customer"), C.CUTOFF, C.THRESHOLDS)
+
+
+# 6. Records of varying shape ------------------------------------------------------------
+
+
+def _records(spark, d):
+    """Orders and events as JSON lines in one folder: ``id`` is a number in the one and
+    text in the other, other fields are in one of the two or nested in it."""
+    path = scratch_path(spark, "varied-json")
+    money = "decimal(15, 2)"
+    o = table(spark, d, "orders").select(F.struct(
+        F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("customer"),
+        F.col("o_totalprice").cast(money).alias("amount")).alias("r"))
+    e = table(spark, d, "events").select(F.struct(
+        F.lit("event").alias("kind"), F.concat(F.lit("e"), "event_id").alias("id"), F.col("event_type").alias("type"), F.col("user_id").alias("user"),
+        F.col("value").cast(money).alias("amount"), F.parse_json("props").alias("props")).alias("r"))
+    o.select(F.to_json("r").alias("value")).write.text(path)
+    e.select(F.to_json("r").alias("value")).write.mode("append").text(path)
+    return read_varied_json(spark, path)
+
+
+def _amount_type(cents: str) -> str:
+    """SQL for the type that JSON decimals with up to two places merge to."""
+    scale = f"(CASE WHEN {cents} % 100 = 0 THEN 0 WHEN {cents} % 10 = 0 THEN 1 ELSE 2 END)"
+    digits = f"(CASE WHEN abs({cents}) < 100 THEN 0 ELSE length(CAST(abs({cents}) // 100 AS VARCHAR)) END)"
+    return f"printf('DECIMAL(%d,%d)', MAX({digits}) + MAX({scale}), MAX({scale}))"
+
+
+_AMOUNTS = """(SELECT CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+      UNION ALL SELECT CAST(round(value * 100) AS BIGINT) FROM events) a"""
+
+
+@register("varied_record_fields", f"""
+SELECT '$.kind' AS path, 'STRING' AS type, (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM events) AS n
+UNION ALL SELECT '$.id', 'VARIANT', (SELECT COUNT(o_orderkey) FROM orders) + (SELECT COUNT(event_id) FROM events)
+UNION ALL SELECT '$.customer.id', 'BIGINT', COUNT(o_custkey) FROM orders
+UNION ALL SELECT '$.customer.status', 'STRING', COUNT(o_orderstatus) FROM orders
+UNION ALL SELECT '$.type', 'STRING', COUNT(event_type) FROM events
+UNION ALL SELECT '$.user', 'BIGINT', COUNT(user_id) FROM events
+UNION ALL SELECT '$.props.' || key, CASE WHEN MIN(t) = MAX(t) THEN MAX(t) ELSE 'VARIANT' END, COUNT(*)
+FROM (SELECT key, CASE WHEN json_type(props, key) IN ('BIGINT', 'UBIGINT') THEN 'BIGINT' ELSE json_type(props, key) END AS t
+      FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) k) p GROUP BY key
+UNION ALL SELECT '$.amount', {_amount_type('cents')}, COUNT(cents) FROM {_AMOUNTS}""")
+def varied_record_fields_q(spark, d):
+    """Paths, merged types and counts of mixed order and event records."""
+    return record_fields(_records(spark, d))
+
+
+@register("varied_typed_fields", """
+SELECT 'order' AS kind, o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS DOUBLE) AS amount,
+       CAST(NULL AS BIGINT) AS "user", printf('{"customer":{"id":%d,"status":"%s"}}', o_custkey, o_orderstatus) AS rest
+FROM orders
+UNION ALL
+SELECT 'event', NULL, CAST(CAST(value AS DECIMAL(15, 2)) AS DOUBLE), user_id,
+       printf('{"id":"e%d","props":%s,"type":"%s"}', event_id, replace(props, ' ', ''), event_type)
+FROM events""")
+def varied_typed_fields_q(spark, d):
+    """Typed columns of the mixed records; an event's id is no number and stays in the rest."""
+    typed = typed_fields(_records(spark, d), {"kind": "string", "id": "bigint", "amount": "decimal(15,2)", "user": "bigint"})
+    return typed.select("kind", "id", F.col("amount").cast("double").alias("amount"), "user", F.to_json("rest").alias("rest"))
