@@ -53,6 +53,16 @@ def exact_sum(df: DataFrame, c: str, scale: int = MONEY_SCALE, where: Column | N
     return F.sum(value) if whole else money_sum(value, scale)
 
 
+def exact_sum_in_parts(df: DataFrame, c: str, name: str, scale: int = MONEY_SCALE) -> tuple[list[Column], Column]:
+    """``exact_sum`` in two steps: aggregates per part of a group, and the aggregate
+    over those (named ``__sum_of_name`` and ``__nan_in_name``) that gives the group's sum."""
+    if isinstance(df.schema[c].dataType, T.IntegralType):
+        return [F.sum(c).alias(f"__sum_of_{name}")], F.sum(f"__sum_of_{name}")
+    v = F.col(c).cast("double")
+    parts = [F.sum(F.when(~F.isnan(v), v.cast(f"decimal({24 + scale},{scale})"))).alias(f"__sum_of_{name}"), F.max(F.isnan(v)).alias(f"__nan_in_{name}")]
+    return parts, F.when(F.max(f"__nan_in_{name}"), F.lit(float("nan"))).otherwise(F.sum(f"__sum_of_{name}").cast("double"))
+
+
 def ts_literal(value: str | _dt.date | _dt.datetime, like: T.DataType) -> Column:
     """A timestamp literal of the same timestamp kind as a column."""
     if isinstance(value, _dt.datetime):

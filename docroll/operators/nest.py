@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docroll.functions.scalars import exact_sum, exact_sum_in_parts
+
 #: Items (or weight) of one page.
 PAGE_SIZE = 10_000
 #: Buckets that a parent's items are placed in.
@@ -51,8 +53,10 @@ class Child:
 
     ``fields`` are the list item's fields; lists are sorted by them in order,
     so put a unique id first. ``aggs`` are aggregate columns over all of a
-    parent's children (whole parent, on every page); ``fill`` gives their value
-    for a parent without children. ``weight`` (default 1 per item, and at most
+    parent's children (whole parent, on every page); ``sums`` are exact sums of
+    columns of ``df`` by name, which come with the bucket sums and need no
+    aggregate and join of their own; ``fill`` gives the value of either for a
+    parent without children. ``weight`` (default 1 per item, and at most
     the page size) is what ``page_size`` bounds: weigh items that carry lists of
     their own by what they hold. ``count_as`` names the whole parent's count,
     ``held_as`` the count of items on the page.
@@ -64,6 +68,7 @@ class Child:
     fields: Sequence[str | Column]
     count_as: str | None = None
     aggs: Mapping[str, Column] = field(default_factory=dict)
+    sums: Mapping[str, str] = field(default_factory=dict)
     fill: Mapping[str, Any] = field(default_factory=dict)
     weight: Column | None = None
     held_as: str | None = None
@@ -85,6 +90,7 @@ def bucket_of(item: Column, dtype: T.DataType) -> Column:
 
 def _stat_exprs(child: Child) -> list[Column]:
     out = [a.alias(n) for n, a in child.aggs.items()]
+    out += [exact_sum(child.df, c).alias(n) for n, c in child.sums.items()]
     if child.count_as:
         out.insert(0, F.count(F.lit(1)).alias(child.count_as))
     return out
@@ -114,12 +120,14 @@ def _paged(child: Child, c: DataFrame, keys: list[str], page_size: int) -> tuple
     c = c.withColumns({"__w": weight.cast("long"), "__item": _item(child)})
     first = c.schema["__item"].dataType.fields[0]
     c = c.withColumn("__bucket", bucket_of(F.col("__item").getField(first.name), first.dataType))
-    sums = c.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__sum"), F.count(F.lit(1)).alias("__n"))
+    in_parts = {n: exact_sum_in_parts(child.df, column, n) for n, column in child.sums.items()}
+    sums = c.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__sum"), F.count(F.lit(1)).alias("__n"), *[p for parts, _ in in_parts.values() for p in parts])
     earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = sums.withColumn("__begin", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)))
     # per parent on the window's own partitioning
     pages = F.ceil(F.max(F.col("__begin") + F.col("__sum")) / F.lit(page_size)).cast("int").alias("__pages")
-    totals = begins.groupBy(*keys).agg(pages, *([F.sum("__n").alias(child.count_as)] if child.count_as else []))
+    count = [F.sum("__n").alias(child.count_as)] if child.count_as else []
+    totals = begins.groupBy(*keys).agg(pages, *count, *[whole.alias(n) for n, (_, whole) in in_parts.items()])
     if child.aggs:
         totals = totals.join(c.groupBy(*keys).agg(*[a.alias(n) for n, a in child.aggs.items()]), keys)
     upto = Window.partitionBy(*keys, "__bucket").orderBy("__item").rowsBetween(Window.unboundedPreceding, 0)
@@ -142,7 +150,7 @@ def _filled(df: DataFrame, child: Child, list_type: T.DataType) -> DataFrame:
 def _out_columns(child: Child) -> list[str]:
     named = [child.count_as] if child.count_as else []
     held = [child.held_as] if child.held_as else []
-    return named + list(child.aggs) + held + [child.into]
+    return named + list(child.aggs) + list(child.sums) + held + [child.into]
 
 
 def nest(

@@ -5,7 +5,8 @@ Entities: customers, orders, order lines and contacts, from any input that a
 the delimited layouts). Document field names follow the reference's documents
 (typos corrected: ``orderAmount``, ``orderLines``, ``amount``).
 
-Every builder returns a lazy DataFrame; nothing is collected. Children are
+Every builder returns a DataFrame; nothing is collected, and only
+``three_level_documents`` and the job write (to the shared folder) before. Children are
 aggregated before they are joined to their parent (see ``operators.nest``).
 """
 
@@ -22,13 +23,13 @@ from pyspark.sql import types as T
 from docroll.functions.scalars import (
     REFERENCE_BUCKET_THRESHOLDS,
     REFERENCE_CUTOFF,
-    exact_sum,
     java_date_text,
 )
 from docroll.operators.joins import ORPHAN_POLICIES, orphans
 from docroll.operators.nest import PAGE_SIZE, Child, group_documents, nest
 from docroll.operators.rollups import customer_rollup, order_rollup
 from docroll.plans.columns import TABLE_COLUMNS, Columns
+from docroll.session import stage
 
 DATES = ("createDate", "updateDate", "shipDate")
 
@@ -82,7 +83,7 @@ def order_documents(
         into="orderLines",
         fields=items.columns,
         count_as="lineCount",
-        aggs={"orderAmount": exact_sum(items, "amount")},
+        sums={"orderAmount": "amount"},
         fill={"orderAmount": 0 if whole else 0.0},
         held_as=held_as,
     )
@@ -122,8 +123,12 @@ def three_level_documents(
     """customer -> orders -> lines, plus contacts: lines are nested into
     orders first, then the order documents into customers (bottom-up). An order
     (page) weighs the lines it holds and one more, so a customer's pages are
-    bounded by what they hold at both levels."""
+    bounded by what they hold at both levels. The paged order documents are
+    written once to the shared folder: paging reads them for weights, then for
+    their places, and only the second reads the lists."""
     orders_nested = order_documents(orders, lines, page_size, columns, one_per_key, held_as="linesHere")
+    if page_size is not None:
+        orders_nested = stage(orders_nested, "order-documents")
     found = columns.found("customer", customers, ("id", "name"))
     parent = customers.select(F.col(found["id"]).alias("customerId"), F.col(found["name"]).alias("name"))
     order_child = Child(

@@ -258,3 +258,27 @@ def test_pages_of_nested_lists_grow_with_the_lines(spark, n):
     assert len(docs) == order_pages and all(d.parts == order_pages for d in docs)
     assert all(len(d.orders) == 1 and 1 <= len(d.orders[0].orderLines) <= 5 for d in docs)
     assert sorted(x.id for d in docs for o in d.orders for x in o.orderLines) == list(range(n))
+
+
+def test_sums_come_with_the_bucket_sums(spark):
+    """Exact sums as of ``aggs``, without an aggregate and a join of their own; names of internal columns do not clash."""
+    data = [(1, i, i % 7, float(i) / 100) for i in range(300)] + [(2, 1, 5, float("nan")), (2, 65, 6, 1.5), (3, 2, None, None)]
+    child_df = spark.createDataFrame(data, "pk int, id int, whole int, amount double").repartition(3)
+    parent = spark.createDataFrame([(1, "hot"), (2, "nan"), (3, "null"), (4, "none")], "pk int, name string")
+    by_sums = Child(child_df, "pk", "items", ("id",), sums={"sum": "amount", "n": "whole"}, fill={"sum": 0.0, "n": 0})
+    by_aggs = Child(child_df, "pk", "items", ("id",), aggs={"sum": money_sum("amount"), "n": F.sum("whole")}, fill={"sum": 0.0, "n": 0})
+    got, plain, want = (nest(parent, "pk", [c], page_size=p) for c, p in ((by_sums, 7), (by_sums, None), (by_aggs, 7)))
+    assert got.dtypes == want.dtypes and list(map(repr, rows(got))) == list(map(repr, rows(want)))  # NaN equals no NaN
+    whole = {r.pk: (repr(r["sum"]), r.n) for r in plain.collect()}
+    assert whole == {r.pk: (repr(r["sum"]), r.n) for r in got.collect()} == {1: ("448.5", sum(i % 7 for i in range(300))), 2: ("nan", 11), 3: ("0.0", 0), 4: ("0.0", 0)}
+    exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (got, want)]
+    assert exchanges[0] < exchanges[1]
+
+
+def test_three_levels_shuffle_order_documents_once_a_use(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = D.three_level_documents(X.customers(spark), X.orders(spark), X.lineitem(spark), X.events(spark))
+        assert docs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") < 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
