@@ -172,15 +172,19 @@ def train(texts: list[bytes], labels: list[str], seed: int = 1) -> Network:
 
 def fit(docs: DataFrame, training) -> Network:
     """A network fitted to a bounded sample of the rows of ``docs`` (doc_id, text,
-    lang) that ``training`` holds for."""
-    chosen = sample_by_class(docs.where(training & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang"), "lang", "doc_id", PER_LANGUAGE)
+    lang) that ``training`` holds for: of at most ``PER_LANGUAGE`` ids a language, at
+    most ``PER_LANGUAGE`` distinct texts, however often an id (or none) is repeated."""
+    usable = docs.where(training & F.col("lang").isNotNull() & (F.length("text") > 0))
+    chosen = sample_by_class(usable.select("doc_id", "lang"), "lang", "doc_id", PER_LANGUAGE).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     whole = F.col("text").cast("string")
     step = F.greatest(F.length(whole) / 8, F.lit(SENT / 8)).cast("int")
     pieces = F.concat(*[F.substring(whole, F.lit(1) + step * i, F.lit(SENT // 8)) for i in range(8)])
-    sent = docs.where(training).join(F.broadcast(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-    rows = sent.select("doc_id", "lang", F.when(F.length(whole) <= SENT, whole).otherwise(pieces).alias("text")).collect()  # PER_LANGUAGE a language
-    rows.sort(key=lambda r: (r[1], r[0], r[2]))
-    return train([r[2].encode() for r in rows], [r[1] for r in rows])
+    cut = F.when(F.length(whole) <= SENT, whole).otherwise(pieces)
+    texts = usable.select("doc_id", "lang", F.xxhash64(whole).alias("text_key"), cut.alias("text"))
+    of_ids = texts.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).drop("_id", "_lang")
+    rows = sample_by_class(of_ids, "lang", ["doc_id", "text_key"], PER_LANGUAGE).select("lang", "doc_id", "text").collect()  # PER_LANGUAGE a language
+    rows.sort(key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2]))
+    return train([r[2].encode() for r in rows], [r[0] for r in rows])
 
 
 def predictor(spark, network: Network):
@@ -201,6 +205,8 @@ def identify(docs: DataFrame, network: Network, into: str = "_language") -> Data
 
 
 def accepted(docs: DataFrame, network: Network, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` (same columns) whose language is known with a score of at least ``least``."""
-    got = identify(docs, network, "_language")
-    return got.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least)).select(*[got[f"`{c}`"] for c in docs.columns])
+    """The rows of ``docs`` (same columns, whatever their names) whose language is known
+    with a score of at least ``least``."""
+    guess = predictor(docs.sparkSession, network)(F.col("text").cast("string"))
+    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), guess.alias("guess"))
+    return got.where((F.col("guess.lang_pred") != UNKNOWN) & (F.col("guess.score") >= least)).select("row.*")

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docroll.llm.common import doc_key, drop_stage, stage
 
@@ -111,7 +112,7 @@ def solve_duals(histogram: DataFrame, targets: DataFrame, max_copies: int = MAX_
 
 
 def copies(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """Per row of ``docs``: doc_key, text_key (a hash of the text), size,
+    """Per row of ``docs``: doc_key, text_key (a hash of the text), source, size,
     source_size, target, copies (0 to max_copies)."""
     rows = docs.select(
         doc_key().alias("doc_key"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("source").cast("string").alias("source"), word_count().alias("size")
@@ -147,18 +148,23 @@ def copies(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> Da
     placed = placed.join(groups, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("group") == F.col("g")))
     rank = F.col("ahead") + F.row_number().over(Window.partitionBy("source", "size", "group").orderBy("order", "doc_key", "text_key"))
     got = F.floor(F.col("k") / F.col("n")) + F.when(rank <= F.col("k") % F.col("n"), 1).otherwise(0)
-    return placed.select("doc_key", "text_key", "size", "source_size", "target", got.cast("int").alias("copies"))
+    return placed.select("doc_key", "text_key", "source", "size", "source_size", "target", got.cast("int").alias("copies"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """The rows of ``docs`` (same columns), each as many times as the mix takes it."""
-    times = copies(docs, weights, max_copies).groupBy("doc_key", "text_key").agg(*[F.count(F.when(F.col("copies") >= c, 1)).alias(f"_least_{c}") for c in range(1, max_copies + 1)])
-    times = times.withColumnsRenamed({"doc_key": "_doc_key", "text_key": "_text_key"})
-    keyed = docs.withColumn("_doc_key", doc_key()).withColumn("_text_key", F.xxhash64(F.col("text").cast("string")))
-    joined = keyed.join(times, ["_doc_key", "_text_key"])
-    # equal rows take the counts in turn
-    turn = F.row_number().over(Window.partitionBy("_doc_key", "_text_key").orderBy("_doc_key"))
-    joined = joined.withColumn("_turn", turn)
-    taken = sum((F.when(F.col("_turn") <= F.col(f"_least_{c}"), 1).otherwise(0) for c in range(2, max_copies + 1)), F.when(F.col("_turn") <= F.col("_least_1"), 1).otherwise(0))
-    repeated = joined.withColumn("_times", taken).where("_times > 0").withColumn("_copy", F.explode(F.expr("sequence(1, _times)")))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` (same columns, whatever their names), each as many times as the
+    mix takes it. Rows of one id, text and source share out their copies in the order of a
+    hash of the whole row, so reruns agree and no words move to another source."""
+    least = [f"least_{c}" for c in range(1, max_copies + 1)]
+    times = copies(docs, weights, max_copies).groupBy(F.col("doc_key").alias("k"), F.col("text_key").alias("t"), F.col("source").alias("s")).agg(*[F.count(F.when(F.col("copies") >= c, 1)).alias(n) for c, n in enumerate(least, 1)])
+    nested = (T.MapType, T.VariantType, T.ArrayType, T.StructType)
+    whole = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in docs.schema.fields])
+    keyed = docs.select(
+        doc_key().alias("doc_key"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("source").cast("string").alias("source"), whole.alias("whole"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    joined = keyed.join(times, (F.col("doc_key") == F.col("k")) & (F.col("text_key") == F.col("t")) & F.col("source").eqNullSafe(F.col("s"))).drop("k", "t", "s")
+    turn = F.row_number().over(Window.partitionBy("doc_key", "text_key", "source").orderBy("whole"))
+    taken = sum((F.when(F.col("turn") <= F.col(n), 1).otherwise(0) for n in least), F.lit(0))
+    repeated = joined.withColumn("turn", turn).withColumn("times", taken).where("times > 0").withColumn("copy", F.explode(F.expr("sequence(1, times)")))
+    return repeated.select("row.*")

@@ -160,13 +160,17 @@ def train(texts: list[bytes], labels: list[int], seed: int = 1) -> BagModel:
 def fit(docs: DataFrame, labels: DataFrame, training) -> BagModel:
     """A model fitted to a bounded sample of the labelled rows (labels: doc_id,
     quality; several labels of one document count by their mean) that ``training``
-    holds for."""
+    holds for: of at most ``PER_CLASS`` ids a label, at most ``PER_CLASS`` distinct texts,
+    however often an id is repeated. Rows without an id have no label."""
     one = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     chosen = sample_by_class(one.where(training), "label", "doc_id", PER_CLASS).select(F.col("doc_id").alias("_id"), "label")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     step = (F.length(text) / PIECES).cast("int")
     pieces = F.concat(*[F.substring(text, F.lit(1) + step * i, F.lit(PIECE)) for i in range(PIECES)])
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "label", F.when(F.length(text) <= PIECES * PIECE, text).otherwise(pieces).alias("text")).collect()  # PER_CLASS a label
+    cut = F.when(F.length(text) <= PIECES * PIECE, text).otherwise(pieces)
+    texts = docs.select("doc_id", F.xxhash64(text).alias("text_key"), cut.alias("text"))
+    of_ids = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
+    rows = sample_by_class(of_ids, "label", ["doc_id", "text_key"], PER_CLASS).select("doc_id", "label", "text").collect()  # PER_CLASS a label
     rows.sort()
     return train([r[2].encode() for r in rows], [r[1] for r in rows])
 

@@ -14,16 +14,17 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def sample_by_class(rows: DataFrame, label: str, key: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` rows of each class, those with the least hash of
-    ``key``: the same rows on every run. A first filter by hash, at the rate that
-    a class's count asks for, leaves a few times as many rows as are wanted, so no
-    task gathers a class as a whole."""
-    rates = rows.groupBy(label).agg(F.least(F.lit(1.0), F.lit(4.0 * per_class + 100) / F.count("*")).alias("_rate"))
-    order = F.xxhash64(F.col(key), F.lit(7))
-    near = rows.join(F.broadcast(rates), label).where(F.pmod(order, F.lit(1 << 40)) < F.col("_rate") * float(1 << 40))
-    turn = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(order, F.lit(1 << 40)), key))
-    return near.withColumn("_turn", turn).where(F.col("_turn") <= per_class).drop("_turn", "_rate")
+def sample_by_class(rows: DataFrame, label: str, key: str | list[str], per_class: int) -> DataFrame:
+    """At most ``per_class`` distinct rows of each class, those with the least hash of
+    ``key``: the same rows on every run. Repeated rows count once and a null key is a
+    key. A first filter by hash, at the rate that a class's number of keys asks for,
+    leaves a few times as many rows as are wanted, so no task gathers a class as a whole."""
+    keys = [key] if isinstance(key, str) else key
+    order = F.xxhash64(*keys, F.lit(7))
+    rates = rows.groupBy(label).agg(F.least(F.lit(1.0), F.lit(4.0 * per_class + 100) / F.approx_count_distinct(order)).alias("_rate"))
+    near = rows.join(F.broadcast(rates), label).where(F.pmod(order, F.lit(1 << 40)) < F.col("_rate") * float(1 << 40)).drop("_rate").distinct()
+    turn = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(order, F.lit(1 << 40)), *keys))
+    return near.withColumn("_turn", turn).where(F.col("_turn") <= per_class).drop("_turn")
 
 
 class Adam:

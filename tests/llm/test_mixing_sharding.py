@@ -74,6 +74,24 @@ def test_mix_rows(odd, nothing):
     assert mixing.copies(nothing).collect() == [] and mixing.mix(nothing).collect() == []
 
 
+def test_mix_keeps_whole_rows_of_any_names(spark):
+    """Columns named as internal ones are, nested columns, rows equal but for one column."""
+    names = ["_doc_key", "_text_key", "_turn", "_times", "_copy", "_least_1", "doc_key", "text_key", "whole", "row", "times", "turn", "copy", "least_1", "s", "k", "t", "copies", "a.b"]
+    docs = spark.range(90).select(
+        F.when(F.col("id") % 9 > 0, F.col("id") % 4).alias("doc_id"), F.concat(F.lit("some words "), F.repeat(F.lit("again "), (F.col("id") % 3).cast("int"))).alias("text"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).cast("string").alias("source"), *[F.concat(F.lit(n), F.col("id") % 30).alias(n) for n in names],
+        F.create_map(F.lit("m"), F.col("id") % 30).alias("mapped"), F.array(F.struct(F.col("id") % 2)).alias("listed"))
+    out = mixing.mix(docs)
+    assert out.dtypes == docs.dtypes
+    per, again, n = (Counter(map(repr, d.collect())) for d in (out, mixing.mix(docs.repartition(7)), docs))
+    assert per == again and set(per) <= set(n) and all(per[k] <= 3 * n[k] for k in per)
+    taken = defaultdict(int)
+    for r in out.select("source", "text").collect():
+        taken[r.source] += len(words(r.text))
+    sums = {r.source: r.taken for r in mixing.copies(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()}
+    assert taken == {s: x for s, x in sums.items() if x}
+
+
 def test_no_python_in_the_mix(small):
     plan = mixing.mix(small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

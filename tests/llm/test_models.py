@@ -145,3 +145,78 @@ def test_language_of_bytes_that_are_no_utf8(spark):
     bad = spark.sql("SELECT id AS doc_id, CAST(unhex(h) AS STRING) AS text FROM VALUES (1L, 'FF'), (2L, '41FF42'), (3L, 'C3') AS t(id, h)")
     got = {r.doc_id: r._language.lang_pred for r in langid.identify(bad, langid.fit(docs, F.lit(True))).collect()}
     assert got == {1: "und", 2: "en", 3: "und"}
+
+
+@pytest.mark.parametrize("n", [400, 3000])
+@pytest.mark.parametrize("one_id", ["CAST(NULL AS BIGINT)", "7L"])
+def test_fits_under_repeated_ids_are_bounded_and_whole(spark, monkeypatch, n, one_id):
+    """All rows under one id (or none): the fit gets distinct texts, bounded, and every class."""
+    docs = spark.range(n).selectExpr(f"{one_id} AS doc_id", "concat(IF(id % 2 = 0, 'the words of ', 'die worte von '), id % 1500) AS text", "IF(id % 2 = 0, 'en', 'de') AS lang")
+    got = {}
+    monkeypatch.setattr(langid, "train", lambda texts, labels: got.update(texts=texts, labels=labels))
+    langid.fit(docs.repartition(5), F.lit(True))
+    first = dict(got)
+    langid.fit(docs.repartition(3), F.lit(True))
+    assert got == first and len(set(got["texts"])) == len(got["texts"])
+    counts = {x: got["labels"].count(x) for x in ("de", "en")}
+    assert counts == {x: min(langid.PER_LANGUAGE, min(n, 1500) // 2) for x in ("de", "en")}
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    more = docs.select("doc_id", "text").unionByName(spark.range(2).selectExpr("8L AS doc_id", "'other words' AS text"))
+    monkeypatch.setattr(quality, "train", lambda texts, labels: got.update(texts=texts, labels=labels))
+    quality.fit(more, labels, F.lit(True))
+    assert got["labels"].count(0) == 1  # equal rows count once
+    assert got["labels"].count(1) == (min(n, 1500, quality.PER_CLASS) if "7" in one_id else 0)
+
+
+def test_accepted_keeps_columns_of_any_name(odd, network):
+    plain = sorted(repr(r) for r in langid.accepted(odd, network).collect())
+    named = odd.withColumnsRenamed({"size": "_language", "_doc_key": "row", "shard": "guess"}).withColumn("a.b", F.lit(1))
+    got = langid.accepted(named, network)
+    assert got.columns == named.columns
+    back = got.drop("a.b").withColumnsRenamed({"_language": "size", "row": "_doc_key", "guess": "shard"})
+    assert sorted(repr(r) for r in back.collect()) == plain
+
+
+def test_attention_against_plain_loops():
+    """Every bag by itself, passage by passage."""
+    import math
+
+    rng = np.random.default_rng(2)
+    m = quality.BagModel.fresh(5)
+    p = m.params
+    x, owner = rng.normal(size=(9, quality.N_FEATURES)), np.array([0, 1, 1, 1, 2, 2, 2, 2, 2])
+    got = m.forward(x, owner, 3)["score"]
+    for bag in range(3):
+        hidden, weights = [], []
+        for row in x[owner == bag]:
+            h = [math.tanh(sum(row[i] * p["encode"][i, j] for i in range(len(row))) + p["shift"][j]) for j in range(p["encode"].shape[1])]
+            gate = 0.0
+            for k in range(len(p["w"])):
+                t = math.tanh(sum(h[j] * p["v"][j, k] for j in range(len(h))))
+                g = 1 / (1 + math.exp(-sum(h[j] * p["u"][j, k] for j in range(len(h)))))
+                gate += t * g * p["w"][k]
+            hidden.append(h)
+            weights.append(math.exp(gate))
+        z = [sum(w * h[j] for w, h in zip(weights, hidden)) / sum(weights) for j in range(len(hidden[0]))]
+        assert abs(got[bag] - 1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, p["out"])) + p["bias"][0])))) < 1e-9
+
+
+def test_network_against_plain_loops():
+    """Every filter at every place of a window, the largest response, softmax."""
+    import math
+
+    rng = np.random.default_rng(3)
+    net = langid.Network.fresh(["a", "b"])
+    p = net.params = {k: v.astype(np.float64) for k, v in net.params.items()}
+    p["shift"] = rng.normal(0, 0.1, p["shift"].shape)
+    batch = rng.integers(1, 200, (2, langid.WINDOW + max(langid.WIDTHS) - 1)).astype(np.uint8)
+    got, size = net.log_probabilities(batch), p["embed"].shape[1]
+    for row, seen in enumerate(batch):
+        hidden = []
+        for f in range(len(p["shift"])):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            best = max(sum(float(p["embed"][seen[at + j]] @ p["filters"][j * size : (j + 1) * size, f]) for j in range(width)) for at in range(langid.WINDOW))
+            hidden.append(max(best + p["shift"][f], 0.0))
+        logits = [sum(hidden[f] * p["out"][f, c] for f in range(len(hidden))) + p["bias"][c] for c in range(2)]
+        total = math.log(sum(math.exp(x) for x in logits))
+        assert np.allclose(got[row], [x - total for x in logits], atol=1e-6)
