@@ -7,6 +7,13 @@ from docroll.operators.joins import (
     key_match_counts,
     orphans,
 )
+from docroll.operators.key_filter import (
+    filtered_join,
+    filtered_order_rollup,
+    filtered_orphans,
+    key_filter,
+    may_match,
+)
 from docroll.operators.keyed import (
     combine_mean,
     count_by,
@@ -29,15 +36,20 @@ __all__ = [
     "combine_mean",
     "count_by",
     "customer_rollup",
+    "filtered_join",
+    "filtered_order_rollup",
+    "filtered_orphans",
     "first_per_key",
     "fold_by_key",
     "global_int_mean",
     "group_documents",
     "kept_order_rollup",
+    "key_filter",
     "key_match_counts",
     "keyed_last_doubled",
     "keyed_sum",
     "list_total",
+    "may_match",
     "nest",
     "order_rollup",
     "orphans",

@@ -454,6 +454,10 @@ UNION ALL
 SELECT 'order_without_lines', o.o_orderkey FROM orders o
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def orphan_report_q(spark, d):
+    return _orphan_report(spark, d, orphans)
+
+
+def _orphan_report(spark, d, find):
     c, o, l, e = (_t(spark, d, n) for n in ("customer", "orders", "lineitem", "events"))
     checks = [
         ("line_without_order", l, o, "l_orderkey", "o_orderkey", "l_orderkey"),
@@ -464,7 +468,7 @@ def orphan_report_q(spark, d):
     ]
     out = None
     for kind, child, parent, child_on, parent_on, key in checks:
-        part = orphans(child, parent, child_on, parent_on).select(F.lit(kind).alias("kind"), F.col(key).alias("child_key"))
+        part = find(child, parent, child_on, parent_on).select(F.lit(kind).alias("kind"), F.col(key).alias("child_key"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -1,6 +1,6 @@
 """Registered queries of the operators that write and reread what they need: the term index,
-sorted positions, folds in order, user-written aggregates, keyed merges, the kept rollup and
-records of varying shape.
+sorted positions, folds in order, user-written aggregates, keyed merges, the kept rollup,
+records of varying shape and joins behind a key filter.
 Importing this module adds them to the catalog."""
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docroll.operators.combine import combine_by_key
+from docroll.operators.key_filter import filtered_order_rollup, filtered_orphans
 from docroll.operators.ordered import fold_by_key, running_fold, with_positions
 from docroll.operators.rollup_state import add_to_order_state, kept_order_rollup
 from docroll.plans import catalog as C
@@ -234,3 +235,26 @@ def varied_typed_fields_q(spark, d):
     """Typed columns of the mixed records; an event's id is no number and stays in the rest."""
     typed = typed_fields(_records(spark, d), {"kind": "string", "id": "bigint", "amount": "decimal(15,2)", "user": "bigint"})
     return typed.select("kind", "id", F.col("amount").cast("double").alias("amount"), "user", F.to_json("rest").alias("rest"))
+
+
+# 8. Joins behind a filter of the small side's keys -------------------------------
+
+#: Orders of the last weeks: few, so most lines leave before their shuffle.
+LATE = "2001-06-01"
+
+
+@register("late_order_rollup", f"""
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(cents AS DOUBLE) / 100 AS total, n_lines
+FROM ({C._ROLLED_ORDERS}) r WHERE o_orderdate >= TIMESTAMP '{LATE}'""")
+def late_order_rollup_q(spark, d):
+    """The order rollup of late orders; other orders' lines are neither summed nor shuffled."""
+    late = table(spark, d, "orders").where(F.col("o_orderdate") >= F.lit(LATE).cast("timestamp"))
+    return filtered_order_rollup(
+        table(spark, d, "lineitem"), late, "l_orderkey", "o_orderkey", "l_extendedprice", ["o_custkey", "o_orderdate"]
+    )
+
+
+@register("filtered_orphan_report", ORACLE["orphan_report"])
+def filtered_orphan_report_q(spark, d):
+    """``orphan_report`` with what the parents' filter rejects reported unshuffled."""
+    return C._orphan_report(spark, d, filtered_orphans)
