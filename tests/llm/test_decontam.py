@@ -44,7 +44,8 @@ def tables(spark):
     r = random.Random(11)
     word = lambda: "".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 8)))
     prose = lambda n: " ".join(word() for _ in range(n))
-    items = [(i, prose(r.randint(15, 45)).capitalize() + ".") for i in range(12)] + [(12, ""), (13, None), (14, "too short"), (None, prose(20)), (3, "Ünï cödé " + prose(20))]
+    items = [(i, prose(r.randint(15, 45)).capitalize() + ".") for i in range(12)] + [(12, ""), (13, None), (14, "too short"), (None, prose(20)), (3, "Ünï cödé " + prose(20)), (17, "Twenty folded chars."), (18, "thirteen char")]
+    items += [items[2]]
     docs = []
     for i in range(60):
         text = prose(r.randint(5, 120))
@@ -54,6 +55,7 @@ def tables(spark):
             text = text[:at] + " \n" + edited(r, item, r.choice([0, 1, 3, 6, 9, 14, 20])).upper() + "!! " + text[at:]
         docs.append((i, text))
     docs += [(100, None), (101, ""), (102, " \n"), (None, items[15][1]), (103, items[16][1].replace(" ", "\n--")), (104, (items[1][1] + " ") * 3), (104, (items[1][1] + " ") * 3)]
+    docs += [(105, prose(9) + " twenty fulded chars " + prose(9)), (106, "twenty foldd cars"), (107, "xx thirteen char xx thirteen chair")]
     return spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
 
 
@@ -66,7 +68,7 @@ def test_occurrences_match_brute_force(tables):
         p = folded(raw or "")
         if len(p) < D.Q:
             continue
-        budget = min(int(D.RATE * len(p)), (len(p) - D.Q) // D.Q)
+        budget = int(D.RATE * len(p))
         for doc, t in texts:
             if (e := best(p, t)) <= budget:
                 want.add((doc, item, e))
@@ -81,12 +83,15 @@ def test_occurrences_match_brute_force(tables):
     for d, i, e in want:
         expected[key(d, i)] = min(expected.get(key(d, i), 99), e)
     assert least == expected and len(expected) > 12
+    assert (105, 17) in least and (107, 18) in least and (106, 17) not in least
+    assert sum(r.doc_key == 104 and r.item_key == 1 for r in got) == 6  # three times in each of two rows
 
 
 def test_slices_of_the_benchmark_find_the_same(tables, monkeypatch):
     docs, items = tables
     whole = sorted(map(tuple, D.contaminations(docs, items).collect()))
     monkeypatch.setattr(D, "SLICE_CHARS", 400)
+    assert len(list(D._slices(items, D.Q, D.RATE))) > 4
     assert sorted(map(tuple, D.contaminations(docs, items).collect())) == whole
 
 
@@ -117,6 +122,34 @@ def test_alignment_in_a_band():
         k = r.randint(0, 3)
         arrays = [np.array([ord(c) for c in s], np.uint16) for s in (p, t)]
         got, e = D.align(*arrays, -k, len(t) - len(p) + k, k), best(p, t)
-        assert (got is None) == (e > k)
-        if got:
-            assert got[0] == e and best(p, t[got[1] : got[2]]) <= e
+        assert bool(got) == (e <= k)
+        assert not got or got[0][0] == e
+        places = sorted(place for _, *place in got)
+        assert all(best(p, t[a:b]) <= c <= k for c, a, b in got)
+        assert all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+
+
+def test_every_exact_occurrence_is_found():
+    """Of several copies in a text, near and far, each; an exact copy is within the found ones."""
+    r = random.Random(6)
+    index = D.Index([(5, "abcdefghij klmnop qrstu " * 2)])
+    for _ in range(20):
+        gaps = ["x" * r.randint(1, 60) for _ in range(4)]
+        text = " ".join(g + " abcdefghij klmnop qrstu abcdefghij klmnop qrstu" for g in gaps)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        got = list(index.found(raw, np.array([0, len(raw)])))
+        assert len([g for g in got if g[2] == 0]) == 4
+
+
+def test_a_q_gram_repeated_without_end(monkeypatch):
+    """Equal letters in text and item: all disjoint copies, hits held in blocks."""
+    index = D.Index([(1, "a" * 100), (2, "a" * 60)])
+    raw = np.frombuffer(b"a" * 5000, np.uint8)
+    whole = list(index.found(raw, np.array([0, 2000, 5000])))
+    assert {(key, row): sum(g[1] == key and g[0] == row for g in whole) for key in (1, 2) for row in (0, 1)} == {(1, 0): 20, (1, 1): 30, (2, 0): 33, (2, 1): 50}
+    held = []
+    hits = D.Grams._hits
+    monkeypatch.setattr(D, "PAIRS", 1000)
+    monkeypatch.setattr(D.Grams, "_hits", lambda *a: held.append(hits(*a)) or held[-1])
+    assert list(index.found(raw, np.array([0, 2000, 5000]))) == whole
+    assert len(held) > 100 and max(map(len, held)) <= 2 * 1000
