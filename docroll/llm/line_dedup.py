@@ -4,9 +4,10 @@ Every line (text split at \\n) has a key: the line without the bytes
 [\\x20\\x09-\\x0D] at both ends, A-Z lower-cased. Rows (128-bit hash of the key,
 doc_id, hash of the text, line number) are range-partitioned and sorted by all of these, so a
 task streams over runs of equal hashes in document order and decides each run on
-the spot; a run may be longer than memory. A key that very many documents hold
-spreads over several ranges; the runs at the two ends of a range (at most two
-keys a range) are decided together in a small second step.
+the spot and holds at most the rows of one key in its range. A key that very many documents
+hold spreads over several ranges; the runs at the two ends of a range (at most two
+keys a range) are decided together in a small second step, whose verdicts (one row a
+key) are broadcast to their lines, so a hot key's lines stay in the tasks they are in.
 
 Two rules:
 
@@ -21,7 +22,8 @@ Null and empty texts are one empty line. Lines with an empty key are never
 dropped. Rows with equal doc_id and text are one document and share the result;
 rows that share a doc_id (or have none: the smallest) but not the text are judged
 and cut each by itself. ``min_docs`` counts doc_ids, and of rows without one the
-different texts. Columns other than doc_id and text are not read.
+different texts. Texts of any length are read whole, an empty table gives no rows.
+Columns other than doc_id and text are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -131,15 +133,15 @@ def dropped_lines(docs: DataFrame, min_docs: int | None = None) -> DataFrame:
     rows = docs.select(doc_key().alias("doc_key"), text_key().alias("text_key"), F.col("text").cast("string").alias("text")).mapInArrow(_line_rows, ROWS)
     ranges = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), *KEYS).sortWithinPartitions(*KEYS)
     decided = stage(ranges.mapInArrow(_runs(min_docs), ROWS + ", edge int"), "line-runs")
-    edges = decided.where("edge = 1")
+    edges = decided.where("edge = 1")  # at most two keys a range
     if min_docs is None:
         first = edges.groupBy("h1", "h2").agg(F.min(F.struct("doc_key", "text_key", "line")).alias("first"))
-        late = edges.join(first, ["h1", "h2"]).where(F.struct("doc_key", "text_key", "line") > F.col("first"))
+        late = edges.join(F.broadcast(first), ["h1", "h2"]).where(F.struct("doc_key", "text_key", "line") > F.col("first"))
     else:
         nameless = F.when(F.col("doc_key") == F.lit(NO_ID), F.col("text_key"))
         per_doc = edges.groupBy("h1", "h2", "doc_key", nameless.alias("nameless")).agg(F.count("*").alias("c"))
         common = per_doc.groupBy("h1", "h2").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs)
-        late = edges.join(common, ["h1", "h2"], "left_semi")
+        late = edges.join(F.broadcast(common), ["h1", "h2"], "left_semi")
     columns = ["doc_key", "text_key", "line", "n_lines"]
     return decided.where("edge = 0").select(*columns).unionByName(late.select(*columns))
 
