@@ -179,12 +179,23 @@ def release() -> None:
         _TRIM(0)
 
 
+#: Spark's own setting: the shuffle files of a statement go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and read it back: it cuts the
-    lineage, and a lost executor costs no recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, and a lost executor costs no recomputation. What was shuffled for it
+    is not read again, so it is deleted at once, not when the driver collects garbage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stage(df: DataFrame) -> None:

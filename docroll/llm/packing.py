@@ -33,6 +33,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -54,6 +55,11 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Latin letters and the marks behind them; perhaps a line's end and the next line's first word.
 _MARKED = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)"
 MARKED = re.compile(rf"{_MARKED}(?:\n{_MARKED})?")
+#: What byte-level pre-tokenizers split texts into.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters beyond the Latin, Greek and Cyrillic ones and common marks, whose class may
+#: differ between the libraries' versions of Unicode, and very long runs of white space.
+ODD = re.compile(r"[^\x00-\u024f\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f\u2010-\u2027\u2030-\u205e\u20ac]|\s{2048}")
 #: Ids of words kept by a worker, and the longest word kept.
 KEPT_WORDS, KEPT_CHARS = 1 << 20, 48
 
@@ -239,7 +245,10 @@ def places(runs: list[tuple[int, tuple[tuple[int, int], ...]]]) -> dict[str, np.
 def _merges(spec: dict) -> dict[bytes, int] | None:
     """The ranks of a byte-level BPE tokenizer whose ids are in the order of its merges, else None."""
     model = spec["model"]
-    if model.get("type") != "BPE" or spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+    before = spec.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    if model.get("dropout") or model.get("ignore_merges") or spec.get("truncation") or spec.get("padding"):
         return None
     shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xAD)]  # bytes that byte-level vocabularies print as they are
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -258,22 +267,41 @@ def _beside(word: str) -> bool:
 
 
 class Words:
-    """Token ids of texts as little-endian unsigned 32-bit bytes. A worker keeps the ids of
+    """Token ids of texts as little-endian unsigned 32-bit bytes. Texts without ``ODD``
+    characters and added tokens go whole to a faster library with the same pre-tokens and
+    merges, where the tokenizer allows it. Of all others a worker keeps the ids of
     the words it has met. A word is what stands between two single spaces; its ids are those
     of the space and the word. New words go to the tokenizer, but for words of Latin letters:
     these are one pre-token, to which a faster library applies the same merges."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
-            ranks = _merges(json.load(f))
-        self.letters = ranks and tiktoken.Encoding("letters", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            spec = json.load(f)
+        self.ranks = _merges(spec)
+        self.added = [t["content"] for t in spec.get("added_tokens") or ()]
+        self.whole = self.ranks and tiktoken.Encoding("texts", pat_str=PRETOKENS, mergeable_ranks=self.ranks, special_tokens={}).encode_to_numpy
         self.words: dict[str, bytes] = {}
-        self.ends: dict[str, bytes] = {"": b"", "\n": self._encode(["\n"])[0]}  # marks behind a word
+
+    @cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    @cached_property
+    def letters(self):
+        import tiktoken
+
+        return self.ranks and tiktoken.Encoding("letters", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+
+    @cached_property
+    def ends(self) -> dict[str, bytes]:
+        """Ids of the marks behind a word."""
+        return {"": b"", "\n": self._encode(["\n"])[0]}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -305,6 +333,13 @@ class Words:
             words[word] = own + self.ends["\n"] + np.array(plain(below), dtype="<u4").tobytes() + self.ends[last] if below else own
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.whole:
+            return self._by_words(texts)
+        odd = [i for i, t in enumerate(texts) if ODD.search(t) or any(a in t for a in self.added)]
+        slow = dict(zip(odd, self._by_words([texts[i] for i in odd]))) if odd else {}
+        return [slow[i] if i in slow else self.whole(t).astype("<u4").tobytes() for i, t in enumerate(texts)]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
         split = [t.split(" ") for t in texts]

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroll.llm.common import RollingHash, chunks, doc_key, long_column, mix, shuffle_partitions, stage, text_buffer, text_key
+from docroll.llm.common import RollingHash, chunks, doc_key, drop_stage, long_column, mix, shuffle_partitions, stage, text_buffer, text_key
 
 LENGTH = 100
 SEED = 32
@@ -165,10 +165,14 @@ def _wider_samples(length: int, seed: int):
     more = (length - seed) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # repeated rows of a document meet in one task
         for batch in batches:
             data, bounds = text_buffer(batch.column("text"))
             keys, texts = (long_column(batch.column(c)) for c in ("doc_key", "text_key"))
             for i, runs in enumerate(batch.column("runs")):
+                if (row := (int(keys[i]), int(texts[i]))) in seen:
+                    continue
+                seen.add(row)
                 body = data[bounds[i] : bounds[i + 1]]
                 first, last, at = (runs.values.field(c).to_numpy() for c in ("first", "last", "at"))
                 order = np.argsort(at)
@@ -195,10 +199,14 @@ def _first_ranks(length: int, seed: int, width: int):
     more = (length - seed) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # repeated rows of a document meet in one task
         for batch in batches:
             data, bounds = text_buffer(batch.column("text"))
             keys, texts = (long_column(batch.column(c)) for c in ("doc_key", "text_key"))
             for i, runs in enumerate(batch.column("runs")):
+                if (row := (int(keys[i]), int(texts[i]))) in seen:
+                    continue
+                seen.add(row)
                 body = data[bounds[i] : bounds[i + 1]]
                 first, last, at, sides = (runs.values.field(c).to_numpy() for c in ("first", "last", "at", "sides"))
                 # strings that reach ``more`` to the left hold the left sample, those
@@ -225,6 +233,9 @@ def _rerank(final: bool):
     pair, without the unique ones; at the end, the positions after the first of each."""
 
     def judge(r1, r2, doc, text, pos, base: int):
+        once = np.ones(len(r1), dtype=bool)  # a position may come twice
+        once[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (pos[1:] != pos[:-1])
+        r1, r2, doc, text, pos = (c[once] for c in (r1, r2, doc, text, pos))
         new = np.ones(len(r1), dtype=bool)
         new[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])
         rank = np.cumsum(new) - 1
@@ -282,18 +293,20 @@ def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
         _wider_samples(length, seed), "doc_key long, text_key long, first long, last long, at long, left long, right long"
     )
     found = stage(found, "suffix-edges")
-    sides = [found.select(F.col(c).alias("r1"), F.lit(i).cast("long").alias("r2"), *row, (F.col("first") * 2 + i).alias("pos")).where("r1 IS NOT NULL").distinct() for i, c in enumerate(("left", "right"))]
+    sides = [found.select(F.col(c).alias("r1"), F.lit(i).cast("long").alias("r2"), *row, (F.col("first") * 2 + i).alias("pos")).where("r1 IS NOT NULL") for i, c in enumerate(("left", "right"))]
     shared = _ranked(sides[0].unionByName(sides[1]), parts, False)
     shared = shared.groupBy(*row, F.floor(F.col("pos") / 2).alias("first")).agg(F.max(F.when(F.col("pos") % 2 == 0, 1).otherwise(0)).alias("l"), F.max(F.when(F.col("pos") % 2 == 0, 0).otherwise(2)).alias("r"))
     left = found.select(*row, "first", "last", "at").join(shared, [*row, "first"])
     left = left.groupBy(*row).agg(F.collect_set(F.struct("first", "last", "at", (F.col("l") + F.col("r")).alias("sides"))).alias("runs"))
     width = length // 4
     where = texts.join(left.hint("shuffle_hash"), row).mapInArrow(_first_ranks(length, seed, width), "doc_key long, text_key long, pos long, r1 long")
-    # neighbouring runs reach into each other, and rows may repeat a document
-    pairs = where.distinct().withColumn("r2", F.lit(0).cast("long"))
+    pairs = where.withColumn("r2", F.lit(0).cast("long"))
+    read = found  # the staged table that only the next one reads
     while True:
         final = width == length
         now = stage(_ranked(pairs, parts, final), "suffix-ranks")
+        drop_stage(read)
+        read = now
         if final:
             break
         # pairs of ranks at the offset of the width so far give twice the width

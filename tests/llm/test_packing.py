@@ -3,7 +3,9 @@ of sequences against the tokens and against best-fit decreasing."""
 
 from __future__ import annotations
 
+import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -147,3 +149,25 @@ def test_plan_is_near_best_fit_decreasing_and_does_not_grow_with_the_counts():
     many = hist.astype(np.int64) * 10_000_000
     assert len(K.plan(many)) < 6000
     assert placed(many) <= 1.01 * 10_000_000 * best_fit_decreasing(hist)
+
+
+def test_plain_texts_are_encoded_whole_and_odd_ones_by_words(tokenizer):
+    """Every plain character beside letters, digits, marks and white space; other texts as before."""
+    own = K.Words(PATH)
+    plain = [c for c in map(chr, range(0x2100)) if not K.ODD.search(c)]
+    texts = [f"a{c}b 1{c}2 {c} .{c}, {c}{c}a\n{c}\n'{c}s  {c}" for c in plain]
+    odd = ["漢字 and words, 漢字", "a<|endoftext|>b", "x" + " " * 5000 + "y", "क्षि ͸ z"]
+    got = own.ids(texts + ["it's I'LL 's" * 40, "q" * 90000, ""])
+    assert not own.words  # no text went word by word
+    got += own.ids(odd)
+    assert own.words
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in [*texts, "it's I'LL 's" * 40, "q" * 90000, "", *odd]]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert own._by_words(texts[:300]) == got[:300]
+
+
+def test_other_byte_level_settings_are_not_encoded_whole():
+    spec = json.loads(Path(PATH).read_text())
+    assert K._merges(spec)
+    for change in ({"add_prefix_space": True}, {"use_regex": False}):
+        assert K._merges(spec | {"pre_tokenizer": spec["pre_tokenizer"] | change}) is None
