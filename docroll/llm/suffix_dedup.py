@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroll.llm.common import RollingHash, chunks, doc_key, drop_stage, long_column, mix, shuffle_partitions, stage, text_buffer, text_key
@@ -249,7 +249,7 @@ def _rerank(final: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        base = TaskContext.get().partitionId() << 40  # ranges are ordered, and so are ranks
+        base = TaskContext.get().partitionId() << 40  # ranks tell pairs apart, their order means nothing
         held = None
         for batch in batches:
             if not batch.num_rows:
@@ -273,7 +273,7 @@ def _ranked(pairs: DataFrame, parts: int, final: bool) -> DataFrame:
     """Rows (doc_key, text_key, pos, rank) of the positions whose pair is not unique; at the
     end, of those behind the first of their pair."""
     order = ["r1", "r2", "doc_key", "text_key", "pos"]
-    ordered = pairs.select(*order).repartitionByRange(parts, "r1", "r2").sortWithinPartitions(*order)
+    ordered = pairs.select(*order).repartition(parts, "r1", "r2").sortWithinPartitions(*order)
     return ordered.mapInArrow(_rerank(final), "doc_key long, text_key long, pos long, rank long")
 
 
@@ -309,9 +309,10 @@ def covered_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
         read = now
         if final:
             break
-        # pairs of ranks at the offset of the width so far give twice the width
-        ahead = now.select(*row, (F.col("pos") - width).alias("pos"), F.col("rank").alias("r2"))
-        pairs = now.withColumnRenamed("rank", "r1").join(ahead, [*row, "pos"]).select(*row, "pos", "r1", "r2")
+        # pairs of ranks at the offset of the width so far give twice the width; each
+        # document's ranks are moved once
+        ahead = F.first("rank").over(Window.partitionBy(*row).orderBy("pos").rangeBetween(width, width))
+        pairs = now.select(*row, "pos", F.col("rank").alias("r1"), ahead.alias("r2")).where("r2 IS NOT NULL")
         width *= 2
     late = now.select(*row, F.col("pos").alias("first"), F.col("pos").alias("last"))
     return judged.where("covered").select(*row, "first", "last").unionByName(late)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import time
 from collections import defaultdict
 
 import pytest
@@ -190,3 +192,33 @@ def test_unit_dedup_of_bytes_that_are_no_utf8(spark):
     bad = spark.sql("SELECT id AS doc_id, CAST(unhex('41FF420A63') AS STRING) AS text FROM range(3)")
     got = {r.doc_key: (r.n_units, r.n_units_removed, r.n_removed) for r in unit_dedup.unit_digests(bad, min_words=1).collect()}
     assert got == {0: (2, 0, 0), 1: (2, 2, 4), 2: (2, 2, 4)}
+
+
+def test_stages_leave_no_shuffle_files(spark):
+    """A staged table's shuffle files go when it is written, not when the driver collects garbage."""
+    from docroll.llm.common import stage
+
+    folders = [d.toString() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files() -> int:
+        return sum(name.startswith("shuffle_") for d in folders for _, _, names in os.walk(d) for name in names)
+
+    before = files()
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    stage(spark.range(5000).repartition(7, "id"), "test-shuffle")
+    for _ in range(100):  # Spark deletes them in the background
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_suffix_ranks_of_repeated_rows_and_long_runs(spark):
+    """Rows that come twice, and strings that repeat at every offset, against plain Python."""
+    rows = [(1, "ab" * 400 + "x" * 120), (1, "ab" * 400 + "x" * 120), (2, "q" + "ab" * 150 + "é" * 80), (None, "x" * 333), (3, "é" * 90 + "ab" * 99)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = suffix_dedup.suffix_digests(docs)
+    plan = suffix_dedup._ranked(spark.range(3).selectExpr(*(f"id AS {c}" for c in ("r1", "r2", "doc_key", "text_key", "pos"))), 4, False)
+    assert "rangepartitioning" not in plan._jdf.queryExecution().toString()  # no pass for a sample of the pairs
+    assert sorted(map(tuple, got.drop("removed").collect())) == suffix_expected(rows_of(docs), 100)
