@@ -27,41 +27,65 @@ from docroll.session import remove_path, scratch_path
 from docroll.sources.search import _EDGE, any_field_matches, search
 
 BUCKETS = 64
+#: Bytes of staged documents whose terms, and that as documents, make one range at most: a
+#: range's sort stays in memory, however large the table is.
+TERM_RANGE, DOC_RANGE = 4 << 20, 16 << 20
+#: Values that Spark prints in ASCII alone.
+_PLAIN = (T.NumericType, T.DatetimeType, T.BooleanType)
 
 
-def _tokens(value: Column) -> Column:
-    none = F.array().cast("array<string>")
-    return F.coalesce(F.split(F.lower(value.cast("string")), f"{_EDGE}+"), none)
+def _tokens(text: Column, ascii_only: bool) -> Column:
+    # a replaced pattern is compiled once a task, a split one for every value unless it is one character
+    edge = "[^a-z0-9]+" if ascii_only else f"{_EDGE}+"
+    return F.split(F.regexp_replace(F.lower(text), edge, " "), " ")
 
 
-def _leaves(value: Column, dtype: T.DataType, path: str) -> list[tuple[str, Column]]:
-    """(field path, tokens) of every field of a value, at any depth."""
+def _texts(value: Column, dtype: T.DataType, path: str) -> list[tuple[str, Column, bool]]:
+    """(field path, text, whether it is ASCII) of every field of a value, at any depth. The
+    texts of an array's or a map's values are joined by a space: their tokens are the same."""
     if isinstance(dtype, T.StructType):
-        return [leaf for f in dtype.fields for leaf in _leaves(value.getField(f.name), f.dataType, f"{path}.{f.name}")]
+        return [leaf for f in dtype.fields for leaf in _texts(value.getField(f.name), f.dataType, f"{path}.{f.name}")]
     if isinstance(dtype, (T.ArrayType, T.MapType)):
         inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
         items = value if isinstance(dtype, T.ArrayType) else F.map_values(value)
-        none = F.array().cast("array<string>")
-        paths = [p for p, _ in _leaves(F.lit(None), inner, path)]
 
-        def tokens_of(i: int) -> Column:
-            return F.coalesce(F.flatten(F.transform(items, lambda x: _leaves(x, inner, path)[i][1])), none)
+        def text_of(i: int) -> Column:
+            return F.array_join(F.transform(items, lambda x: _texts(x, inner, path)[i][1]), " ")
 
-        return [(p, tokens_of(i)) for i, p in enumerate(paths)]
+        return [(p, text_of(i), plain) for i, (p, _, plain) in enumerate(_texts(F.lit(None), inner, path))]
     if isinstance(dtype, (T.BinaryType, T.NullType)):
         return []
-    return [(path, _tokens(value))]
+    return [(path, value.cast("string"), isinstance(dtype, _PLAIN))]
 
 
-def term_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """(term, field, key): the distinct tokens of each field of each document."""
+def _numbered(df: DataFrame, key: str, columns: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """(term, field, key) with each field as its place in the list of names, which is in order."""
     chosen = df.columns if columns is None else list(columns)
-    leaves = [leaf for c in chosen for leaf in _leaves(F.col(f"`{c}`"), df.schema[c].dataType, c)]
+    leaves = [leaf for c in chosen for leaf in _texts(F.col(f"`{c}`"), df.schema[c].dataType, c)]
+    names = sorted({path for path, _, _ in leaves})
     if not leaves:
-        return df.select(F.lit("").alias("term"), F.lit("").alias("field"), F.col(f"`{key}`").alias("key")).where("term <> ''")
-    fields = F.array(*[F.struct(F.lit(path).alias("field"), F.array_distinct(tokens).alias("terms")) for path, tokens in leaves])
+        return df.select(F.lit("").alias("term"), F.lit(0).alias("field"), F.col(f"`{key}`").alias("key")).where("term <> ''"), names
+    fields = F.array(*[F.struct(F.lit(names.index(path)).alias("field"), F.array_distinct(_tokens(text, plain)).alias("terms")) for path, text, plain in leaves])
     per_field = df.select(F.col(f"`{key}`").alias("key"), F.explode(fields).alias("f"))
-    return per_field.select(F.explode("f.terms").alias("term"), F.col("f.field").alias("field"), "key").where("term <> ''")
+    return per_field.select(F.explode("f.terms").alias("term"), F.col("f.field").alias("field"), "key").where("term <> ''"), names
+
+
+def _named(terms: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Field numbers as the names they stand for."""
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("field") + 1) if names else F.lit("")
+    return terms.select(*[name.alias(c) if c == "field" else F.col(f"`{c}`") for c in terms.columns])
+
+
+def term_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(term, field, key): the distinct tokens of each field of each document."""
+    return _named(*_numbered(df, key, columns))
+
+
+def _ranges(spark: SparkSession, path: str, size: int) -> int:
+    """The session's partitions, or more if what is written below the path is large."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    written = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-written // size))
 
 
 def _bucket(value: Column, buckets: int) -> Column:
@@ -78,12 +102,14 @@ def build_term_index(df: DataFrame, key: str, path: str, columns: Sequence[str]
     once = scratch_path(spark, "index-docs")  # read four times below: written once, deleted in the end
     df.write.parquet(once)
     df = spark.read.schema(df.schema).parquet(once)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a range holds some whole buckets, or a part of a large one
-    terms = term_rows(df, key, columns).withColumn("term_bucket", _bucket(F.col("term"), buckets))
-    order = ["term_bucket", "term", "key", "field"]  # a hot term is split between keys
-    terms.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/terms")
+    numbered, names = _numbered(df, key, columns)
+    terms = numbered.withColumn("term_bucket", _bucket(F.col("term"), buckets))
+    # a range holds some whole buckets, or a part of a large one; a hot term is split between keys
+    order = ["term_bucket", "term", "key", "field"]
+    terms = _named(terms.repartitionByRange(_ranges(spark, once, TERM_RANGE), *order).sortWithinPartitions(*order), names)
+    terms.write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/terms")
     docs = df.withColumn("key_bucket", _bucket(F.col(f"`{key}`"), buckets))
-    docs.repartitionByRange(n, "key_bucket", F.col(f"`{key}`")).sortWithinPartitions("key_bucket", F.col(f"`{key}`")).write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/docs")
+    docs.repartitionByRange(_ranges(spark, once, DOC_RANGE), "key_bucket", F.col(f"`{key}`")).sortWithinPartitions("key_bucket", F.col(f"`{key}`")).write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/docs")
     chosen = df.columns if columns is None else list(columns)
     spark.createDataFrame([(key, buckets, chosen, df.columns, df.schema.json(), terms.schema.json())], "key string, buckets int, searched array<string>, columns array<string>, docs string, terms string").coalesce(1).write.mode("overwrite").json(f"{path}/about")
     remove_path(spark, once)
