@@ -280,7 +280,8 @@ def _scores(width: int):
 
 
 def _search(queries: DataFrame, packed: DataFrame, graph: DataFrame, dimension: int) -> DataFrame:
-    """Pool (a: query node, b: node, s, new: 1 while unvisited) of each query's best nodes."""
+    """Pool (a: query node, b: node, s, new: 1 while unvisited, go: to be visited next) of
+    each query's best nodes."""
     back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s")
     turn = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
     back = back.withColumn("turn", turn).where(F.col("turn") <= BACK).select("a", "b")
@@ -291,27 +292,31 @@ def _search(queries: DataFrame, packed: DataFrame, graph: DataFrame, dimension:
         met = pairs.join(packed.withColumnRenamed("node", "b"), "b").join(asked, "a")
         return met.select("a", "b", "q_vec", "vec").mapInArrow(_scores(dimension + 1), "a long, b long, s float").withColumn("new", F.lit(1))
 
+    def kept(every: DataFrame) -> DataFrame:
+        # both orders are within one query: they share a shuffle
+        best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
+        unvisited = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("new"), F.desc("s"), "b"))
+        cut = every.withColumn("turn", best).where(F.col("turn") <= BEAM + 1).drop("turn")
+        return stage(cut.withColumn("go", (F.col("new") == 1) & (unvisited <= EXPAND)), "ann-pool")
+
     # a query starts at its own node, the neighbours that the graph gives it, and a
     # few nodes that are the same for all
     entries = [r[0] for r in packed.orderBy(F.xxhash64("node"), "node").select("node").limit(ENTRIES).collect()]
     if not entries:
-        return graph.select("a", "b", "s", "new")
+        return graph.select("a", "b", "s", "new", F.lit(False).alias("go"))
     own = asked.select("a", F.col("a").alias("b"), F.lit(float("inf")).cast("float").alias("s"), F.lit(1).alias("new"))
     near = graph.join(asked.select("a"), "a").select("a", "b")
     far = asked.select("a", F.explode(F.array(*[F.lit(e) for e in entries])).alias("b"))
-    pool = stage(own.unionByName(scored(near.unionByName(far).where("a <> b").distinct())), "ann-pool")
+    pool = kept(own.unionByName(scored(near.unionByName(far).where("a <> b").distinct())))
     for _ in range(SEARCH_ROUNDS):
-        order = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
-        next_ = stage(pool.where("new = 1").withColumn("turn", order).where(F.col("turn") <= EXPAND).select("a", "b"), "ann-next")
+        next_ = pool.where("go").select("a", "b")
         if not next_.take(1):
             break
         seen = pool.select("a", "b")
         met = next_.join(links, next_["b"] == links["from"]).select("a", F.col("to").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-        visited = pool.join(next_.withColumn("was", F.lit(0)), ["a", "b"], "left").select("a", "b", "s", F.coalesce("was", "new").alias("new"))
-        every = visited.unionByName(scored(met))
-        after = stage(every.withColumn("turn", order).where(F.col("turn") <= BEAM + 1).drop("turn"), "ann-pool")
+        visited = pool.select("a", "b", "s", F.when(F.col("go"), 0).otherwise(F.col("new")).alias("new"))
+        after = kept(visited.unionByName(scored(met)))
         drop_stage(pool)
-        drop_stage(next_)
         pool = after
     return pool
 

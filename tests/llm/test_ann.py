@@ -68,3 +68,11 @@ def test_few_rows_and_none(spark):
     assert got == [(0, 1, 20, 0.5), (0, 2, 3, 0.0), (20, 1, 0, 0.5), (20, 2, 3, 0.5)]
     assert ann.nearest(few.limit(0), lambda i: i % 20 == 0).collect() == []
     assert ann.nearest(few.where("vec_id = 0"), lambda i: i % 20 == 0).collect() == []
+
+
+def test_a_search_round_stages_the_pool_alone(spark, vectors, monkeypatch):
+    names, stage = [], ann.stage
+    monkeypatch.setattr(ann, "stage", lambda df, name: (names.append(name), stage(df, name))[1])
+    df = spark.createDataFrame(vectors[:150], "vec_id long, embedding array<float>")
+    ann.nearest(df, lambda i: i % 20 == 0, k=5).collect()
+    assert names.count("ann-pool") > 1 and "ann-next" not in names
