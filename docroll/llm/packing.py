@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroll.llm.common import chunks, stage, text_buffer
+from docroll.llm.common import chunks, release, stage, text_buffer
 
 CAPACITY = 1024
 END = 2
@@ -60,8 +60,8 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Characters beyond the Latin, Greek and Cyrillic ones and common marks, whose class may
 #: differ between the libraries' versions of Unicode, and very long runs of white space.
 ODD = re.compile(r"[^\x00-\u024f\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f\u2010-\u2027\u2030-\u205e\u20ac]|\s{2048}")
-#: Ids of words kept by a worker, and the longest word kept.
-KEPT_WORDS, KEPT_CHARS = 1 << 20, 48
+#: Ids of words kept by a worker (some 15 MB), and the longest word kept.
+KEPT_WORDS, KEPT_CHARS = 1 << 16, 48
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, turn long"
 
@@ -269,8 +269,9 @@ def _beside(word: str) -> bool:
 class Words:
     """Token ids of texts as little-endian unsigned 32-bit bytes. Texts without ``ODD``
     characters and added tokens go whole to a faster library with the same pre-tokens and
-    merges, where the tokenizer allows it. Of all others a worker keeps the ids of
-    the words it has met. A word is what stands between two single spaces; its ids are those
+    merges, where the tokenizer allows it; of other texts, the stretches between the words that hold these.
+    Of such words, and of all where it doesn't, a worker keeps the ids of some that
+    it has met. A word is what stands between two single spaces; its ids are those
     of the space and the word. New words go to the tokenizer, but for words of Latin letters:
     these are one pre-token, to which a faster library applies the same merges."""
 
@@ -283,6 +284,7 @@ class Words:
         self.ranks = _merges(spec)
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
         self.whole = self.ranks and tiktoken.Encoding("texts", pat_str=PRETOKENS, mergeable_ranks=self.ranks, special_tokens={}).encode_to_numpy
+        self.odd = re.compile("|".join([ODD.pattern, *map(re.escape, self.added)]))
         self.words: dict[str, bytes] = {}
 
     @cached_property
@@ -335,9 +337,35 @@ class Words:
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.whole:
             return self._by_words(texts)
-        odd = [i for i, t in enumerate(texts) if ODD.search(t) or any(a in t for a in self.added)]
-        slow = dict(zip(odd, self._by_words([texts[i] for i in odd]))) if odd else {}
-        return [slow[i] if i in slow else self.whole(t).astype("<u4").tobytes() for i, t in enumerate(texts)]
+        return [self._by_stretches(t) if ODD.search(t) or any(a in t for a in self.added) else self._plain(t) for t in texts]
+
+    def _plain(self, text: str) -> bytes:
+        return self.whole(text).astype("<u4").tobytes()
+
+    def _by_stretches(self, text: str) -> bytes:
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        out, at = [], 0
+        while m := self.odd.search(text, at):
+            lo = text.rfind(" ", at + 1, m.start() + 1)
+            while lo > at and _beside(text[lo - 1] + text[lo + 1]):
+                lo = text.rfind(" ", at + 1, lo)
+            lo = max(lo, at)
+            cut = CUT.search(text, m.end())
+            hi = cut.start() if cut else len(text)
+            if lo > at:
+                out.append(self._plain(text[at:lo]))
+            word = text[lo:hi]
+            ids = self.words.get(word)
+            if ids is None:
+                ids = self._encode([word])[0]
+                if len(word) <= KEPT_CHARS:
+                    self.words[word] = ids
+            out.append(ids)
+            at = hi
+        if at < len(text):
+            out.append(self._plain(text[at:]))
+        return b"".join(out)
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > KEPT_WORDS:
@@ -395,6 +423,7 @@ def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
                 if keep_ids:
                     arrays, names = [*arrays, pa.array(own, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+        release()
 
     return run
 

@@ -171,3 +171,12 @@ def test_other_byte_level_settings_are_not_encoded_whole():
     assert K._merges(spec)
     for change in ({"add_prefix_space": True}, {"use_regex": False}):
         assert K._merges(spec | {"pre_tokenizer": spec["pre_tokenizer"] | change}) is None
+
+
+def test_plain_words_around_odd_ones_are_not_kept(tokenizer):
+    """A worker keeps the words that hold odd characters, not every word of their texts."""
+    own = K.Words(PATH)
+    texts = [" ".join(f"word{i}x{k}" for k in range(200)) + f" 中{i % 3}文 end" for i in range(50)]
+    texts += ["中 a  b 中", " 中", "a\n 中 b <|endoftext|> c d", "x" + " " * 3000 + "y 中z w", "中文" * 40 + " a"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(own.words) < 20
