@@ -222,3 +222,18 @@ def test_suffix_ranks_of_repeated_rows_and_long_runs(spark):
     plan = suffix_dedup._ranked(spark.range(3).selectExpr(*(f"id AS {c}" for c in ("r1", "r2", "doc_key", "text_key", "pos"))), 4, False)
     assert "rangepartitioning" not in plan._jdf.queryExecution().toString()  # no pass for a sample of the pairs
     assert sorted(map(tuple, got.drop("removed").collect())) == suffix_expected(rows_of(docs), 100)
+
+
+def test_suffix_ranks_only_what_wider_samples_share(spark, monkeypatch):
+    """Of two documents that share a passage, the doubling gets the halves of its strings and few others."""
+    import random
+
+    r = random.Random(11)
+    own = ["".join(r.choice("abcdefghijklmnop ") for _ in range(3000)) for _ in range(40)]
+    rows = [(i, own[i] + own[0][100:210] + own[i + 20]) for i in range(1, 20)]  # 11 strings each
+    docs = spark.createDataFrame([(0, own[0]), *rows], "doc_id long, text string")
+    ranked, sizes = suffix_dedup._ranked, []
+    monkeypatch.setattr(suffix_dedup, "_ranked", lambda pairs, *a: sizes.append(pairs.count()) or ranked(pairs, *a))
+    got = suffix_dedup.suffix_digests(docs).drop("removed").collect()
+    assert sorted(map(tuple, got)) == suffix_expected(rows_of(docs), 100)
+    assert sum(sizes) < 20 * 100
