@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroll.llm.common import drop_stage, mix, shuffle_partitions, stage
+from docroll.llm.common import drop_stage, mix, stage
 
 DEGREE = 40
 SAMPLE = 24
@@ -55,10 +55,10 @@ ENTRIES = 8
 PROPOSE = 10
 
 
-def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -> tuple[DataFrame, DataFrame, DataFrame, int, int, float]:
+def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -> tuple[DataFrame, DataFrame, DataFrame, int, float]:
     """Distinct vectors (node, v, norm2), members (node, vec_id) with up to k + 1
-    smallest ids each, queries (query_id, node), the number of nodes, the
-    dimension, and the largest squared norm."""
+    smallest ids each, queries (query_id, node), the dimension, and the largest
+    squared norm."""
     v = F.col("v")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"))
     finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -73,8 +73,8 @@ def nodes(table: DataFrame, id_column: str, vector_column: str, k: int, query) -
     ranked = named.select("same", "vec_id").withColumn("turn", F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
     members = stage(ranked.join(heads.select("same", "node"), "same").select("node", "vec_id"), "ann-members")
     asked = stage(named.where(query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "same").join(heads.select("same", "node"), "same").select("query_id", "node"), "ann-asked")
-    count, most = heads.agg(F.count("*"), F.max("norm2")).first()
-    return heads.select("node", "v", "norm2"), members, asked, count, dimension, float(most or 0.0)
+    most = heads.agg(F.max("norm2")).first()[0]
+    return heads.select("node", "v", "norm2"), members, asked, dimension, float(most or 0.0)
 
 
 def _pack(most: float):
@@ -191,8 +191,8 @@ def _keep_best(degree: int):
 
 
 def _graph_of(edges: DataFrame, degree: int) -> DataFrame:
-    parts = shuffle_partitions(edges.sparkSession)
-    return edges.repartition(parts, "a").sortWithinPartitions("a", "b").mapInArrow(_keep_best(degree), "a long, b long, s float, new int, turn int")
+    # no fixed number of partitions here and below: Spark joins small ones
+    return edges.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_keep_best(degree), "a long, b long, s float, new int, turn int")
 
 
 def _local_join(dimension: int):
@@ -236,14 +236,12 @@ def _local_join(dimension: int):
     return run
 
 
-def neighbour_graph(packed: DataFrame, count: int, dimension: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(packed: DataFrame, dimension: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """Staged edges (a, b, s, new, turn) of the NN-descent graph over (node, vec)."""
-    parts = shuffle_partitions(packed.sparkSession)
-    ranges = max(1, min(parts, count // (4 * BLOCK)))  # of some blocks at least
     first = None
     for order in range(ORDERS):
         coded = packed.mapInArrow(_codes(order, dimension), "node long, vec binary, code long, along double")
-        edges = coded.repartitionByRange(ranges, "code", "along").sortWithinPartitions("code", "along").select("node", "vec").mapInArrow(_blocks(dimension), "a long, b long, s float")
+        edges = coded.repartitionByRange("code", "along").sortWithinPartitions("code", "along").select("node", "vec").mapInArrow(_blocks(dimension), "a long, b long, s float")
         first = edges if first is None else first.unionByName(edges)
     graph = stage(_graph_of(first.withColumn("new", F.lit(1)), degree), "ann-graph")
     total = graph.count()
@@ -256,7 +254,7 @@ def neighbour_graph(packed: DataFrame, count: int, dimension: int, degree: int =
         chosen = sampled.select(F.col("a").alias("v"), F.col("b").alias("u"), "new").unionByName(back).groupBy("v", "u").agg(F.max("new").alias("new"))
         known = packed.join(worst, packed["node"] == worst["a"], "left").select(F.col("node").alias("u"), "vec", F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"))
         met = chosen.join(known, "u").select("v", "u", "new", "worst", "vec")
-        proposed = met.repartition(parts, "v").sortWithinPartitions("v").mapInArrow(_local_join(dimension), "a long, b long, s float")
+        proposed = met.repartition("v").sortWithinPartitions("v").mapInArrow(_local_join(dimension), "a long, b long, s float")
         # an edge whose pairs have been tried is old
         old = graph.select("a", "b", "s", F.when(F.col("turn") <= SAMPLE, 0).otherwise(F.col("new")).alias("new"))
         after = stage(_graph_of(old.unionByName(proposed.withColumn("new", F.lit(1))), degree), "ann-graph")
@@ -325,9 +323,9 @@ def nearest(table: DataFrame, query, k: int = 20, id_column: str = "vec_id", vec
     """For each row of ``table`` whose id meets the condition ``query`` (a function
     of the id column): query_id, rank, vec_id, score of the ``k`` nearest others found (inner product
     in double precision, ties to the smaller id)."""
-    heads, members, asked, count, dimension, most = nodes(table, id_column, vector_column, k, query)
+    heads, members, asked, dimension, most = nodes(table, id_column, vector_column, k, query)
     packed = stage(heads.mapInArrow(_pack(most), "node long, vec binary"), "ann-packed")
-    graph = neighbour_graph(packed, count, dimension)
+    graph = neighbour_graph(packed, dimension)
     pool = _search(asked.select("node").distinct(), packed, graph, dimension)
     dot = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     vectors = heads.select("node", "v")

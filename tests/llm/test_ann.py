@@ -76,3 +76,17 @@ def test_a_search_round_stages_the_pool_alone(spark, vectors, monkeypatch):
     df = spark.createDataFrame(vectors[:150], "vec_id long, embedding array<float>")
     ann.nearest(df, lambda i: i % 20 == 0, k=5).collect()
     assert names.count("ann-pool") > 1 and "ann-next" not in names
+
+
+def test_small_rounds_are_not_dealt_over_every_partition(spark):
+    """A graph of few edges is written by few tasks, however many shuffle partitions there are."""
+    x = np.random.default_rng(5).normal(size=(600, 5)).astype(np.float32)
+    packed = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, vec binary")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        graph = ann.neighbour_graph(packed, 4, rounds=1)
+        assert graph.select("a").distinct().count() == 600
+        assert len(graph.inputFiles()) <= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
