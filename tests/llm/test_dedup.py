@@ -94,6 +94,31 @@ def test_units(docs):
     assert sorted(got) == sorted(want)
 
 
+def test_units_of_any_length_against_a_walk(spark, docs):
+    """As op6 has them, min_words=1: rows in order, a line whose words came before goes. A passage inside a line that differs elsewhere is no unit and stays."""
+    from docroll.llm.common import doc_key, text_key
+
+    passage = " ".join(f"Word{i} and more." for i in range(30))
+    inside = spark.createDataFrame([(10**9 + i, f"own {i} start {passage} own end {i}\nMIT  License.\n{passage}") for i in range(3)], "doc_id long, text string")
+    df = docs.select("doc_id", "text").unionByName(inside)
+    rows = sorted((r.d, r.t, (r.text or "").encode()) for r in df.select(doc_key().alias("d"), text_key().alias("t"), "text").collect())
+    first, want = {}, []
+    for doc, key, text in rows:
+        at, n, kept, cuts = 0, 0, [], []
+        for line in text.split(b"\n"):
+            words = b" ".join(line.split()).decode().lower()
+            n += bool(words)
+            gone = words and first.setdefault(words, (doc, key, at)) != (doc, key, at)
+            if gone:
+                cuts.append((at, at + len(line)))
+            kept.append(b"" if gone else line)
+            at += len(line) + 1
+        want.append((doc, n, len(cuts), sum(e - s for s, e in cuts), cuts, sha(b"\n".join(kept))))
+    got = [(r.doc_key, r.n_units, r.n_units_removed, r.n_removed, [(s.start, s.end) for s in r.removed], r.kept_sha256) for r in unit_dedup.unit_digests(df, min_words=1).collect()]
+    assert sorted(got) == sorted(want)
+    assert [g[1:3] for g in sorted(got)[-3:]] == [(3, 0), (3, 2), (3, 2)]
+
+
 def test_paragraph_units():
     text = b"one two\nthree\n\n four five\n \nsix"
     got = [(text[s:e]) for s, e, _ in unit_dedup.units(text, "paragraph", 1)]
