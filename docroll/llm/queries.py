@@ -21,7 +21,7 @@ from docroll.llm.sample import held_out
 from docroll.llm.sharding import shard_rows
 from docroll.llm.ship import ship
 from docroll.llm.suffix_dedup import suffix_digests
-from docroll.llm.unit_dedup import unit_digests
+from docroll.llm.unit_dedup import PASSAGE, unit_digests
 
 #: Documents that must hold a line before it counts as boilerplate.
 COMMON_LINE = 10
@@ -81,9 +81,10 @@ def op5_suffix_array_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register
 def op6_line_hash_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Repeated lines of any length, cut but for the earliest: how many, and their bytes."""
-    got = unit_digests(read(spark, data_dir, "documents"), min_words=1)
-    return got.select(real_id().alias("doc_id"), "n_units", "n_units_removed", "n_removed", "kept_sha256", "removed")
+    """Repeated lines of any length, cut but for the earliest, and passages of over 50 words
+    that an earlier document holds, wherever they stand in their lines: how many of each, and the bytes of both."""
+    got = unit_digests(read(spark, data_dir, "documents"), min_words=1, passage=PASSAGE)
+    return got.select(real_id().alias("doc_id"), "n_passages_removed", "n_units", "n_units_removed", "n_removed", "kept_sha256", "removed")
 
 
 @register

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import time
 from collections import defaultdict
 
@@ -119,6 +120,70 @@ def test_units_of_any_length_against_a_walk(spark, docs):
     assert [g[1:3] for g in sorted(got)[-3:]] == [(3, 0), (3, 2), (3, 2)]
 
 
+def test_windows_depend_on_their_passage_only():
+    """Those of a text are those of its runs of that many words, each by itself; none crosses texts."""
+    import random
+
+    r = random.Random(6)
+    text = " ".join(r.choice(["a", "Bb", "ΑΣ", "ñ", "\n dd"]) for _ in range(280))
+    low, spans = text.encode(), [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text.encode())]
+    want = set()
+    for i in range(len(spans) - 50):
+        run = low[spans[i][0] : spans[i + 50][1]]
+        row, start, end, *digest = unit_dedup.windows([run], 51)
+        assert len(row) and not row.any()
+        want |= set(zip((start + spans[i][0]).tolist(), (end + spans[i][0]).tolist(), *(d.tolist() for d in digest)))
+    row, start, end, *digest = unit_dedup.windows([b"x", low[:300], b"", low], 51)
+    own = row == 3
+    assert set(zip(start[own].tolist(), end[own].tolist(), *(d[own].tolist() for d in digest))) == want
+    assert {len(low[s:e].split()) for s, e in zip(start[own], end[own])} == {27}
+    assert [c.tolist() for c in unit_dedup.windows([b"to " * 80], 51)[:3]] == [[0], [0], [239]]
+    lines = (f"{text.upper()}\r\n\t".replace(" ", "  \n").encode(), text.encode())
+    first, second = (unit_dedup.windows([t], 51)[3:] for t in lines)
+    assert [d.tolist() for d in first] == [d.tolist() for d in second]
+
+
+def test_passages_within_lines(spark, docs):
+    """A passage of 51 words that an earlier document holds is cut though its lines differ around it; documents without one keep all but their lines."""
+    from docroll.llm.common import doc_key, text_key
+
+    passage = " ".join(f"Word{i} and" for i in range(26))
+    inside = [(10**9 + i, f"own {i} start {passage} own end {i}") for i in range(3)]
+    inside += [(10**9 + 3, f"again {passage.upper()}\nand {passage} ends".replace(" ", " \n ")), (10**9 + 4, " ".join(passage.split()[:26]))]
+    alone = " ".join(f"alone{i}" for i in range(60))
+    inside += [(10**9 + 5, f"{alone} between {alone}")]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(inside, "doc_id long, text string"))
+    rows = sorted((r.d, r.t, (r.text or "").encode()) for r in df.select(doc_key().alias("d"), text_key().alias("t"), "text").collect())
+    found = {width: defaultdict(lambda: rows[-1][:2]) for width in (27, 51)}
+    held = {}
+    for width, first in found.items():
+        for doc, key, text in rows:
+            words = [w.decode().lower() for w in text.split()]
+            held[width, doc, key] = grams = {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
+            for g in grams:
+                first[g] = min(first[g], (doc, key))
+    plain = {(r.doc_key, r.kept_sha256): r for r in unit_dedup.unit_digests(df, min_words=1).collect()}
+    got = unit_dedup.unit_digests(df, min_words=1, passage=51).collect()
+    assert len(got) == len(rows)
+    by_doc = defaultdict(list)
+    for r in got:
+        by_doc[r.doc_key].append(r)
+    for doc, key, text in rows:
+        repeated = {w: any(found[w][g] < (doc, key) for g in held[w, doc, key]) for w in (27, 51)}
+        if len(by_doc[doc]) > 1:
+            continue
+        (r,) = by_doc[doc]
+        assert r.n_passages_removed > 0 if repeated[51] else r.n_passages_removed == 0 or repeated[27]
+        spans = [(s.start, s.end) for s in r.removed]
+        assert all(e < s for (_, e), (s, _) in zip(spans, spans[1:])) and r.n_removed == sum(e - s for s, e in spans)
+        assert r.kept_sha256 == sha(unit_dedup.remaining(text, spans))
+        assert r.n_passages_removed or (doc, r.kept_sha256) in plain
+    counts = {d: by_doc[10**9 + d][0] for d in range(6)}
+    assert [counts[d].n_passages_removed for d in range(6)] == [0, 1, 1, 2, 0, 0]
+    left = inside[1][1].encode()
+    assert len(unit_dedup.remaining(left, [(s.start, s.end) for s in counts[1].removed]).split()) < 6 + 51 - 26
+
+
 def test_paragraph_units():
     text = b"one two\nthree\n\n four five\n \nsix"
     got = [(text[s:e]) for s, e, _ in unit_dedup.units(text, "paragraph", 1)]

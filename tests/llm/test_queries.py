@@ -58,6 +58,16 @@ def test_op6_cuts_lines_of_any_length(spark, tmp_dir):
     assert got == {1: (2, 0, 0, []), 2: (3, 2, 12, [(13, 20), (22, 27)]), 3: (1, 1, 5, [(0, 5)]), 4: (0, 0, 0, [])}
 
 
+def test_op6_cuts_passages_within_lines(spark, tmp_dir):
+    passage = " ".join(f"word{i}" for i in range(51))
+    rows = [(1, f"one starts {passage} one ends"), (2, f"two starts {passage} two ends\nown"), (3, " ".join(passage.split()[:26])), (4, "own")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: r for r in Q.QUERIES["op6_line_hash_dedup"](spark, tmp_dir).collect()}
+    assert {d: (r.n_units, r.n_units_removed, r.n_passages_removed) for d, r in got.items()} == {1: (1, 0, 0), 2: (2, 0, 1), 3: (1, 0, 0), 4: (1, 1, 0)}
+    (cut,) = got[2].removed
+    assert rows[1][1][cut.start : cut.end] in passage and got[2].n_removed == cut.end - cut.start
+
+
 def test_stages(spark, odd, small, nothing):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language", "near_duplicates", "decontamination", "mixture", "shards"] and corpus_pipeline.ORACLE_SQL is None
